@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from pitwall.functions import scalars
+from pitwall.plans.performance import tires
 from suite.aggregates import SQL_POINTS
 from suite.registry import query
 
@@ -140,26 +141,18 @@ def id_concat(t):
     return [scalars.surrogate_id("session_key", "driver_number", kept).alias("id")]
 
 
-def used_compounds(t, unique=False):
-    """Compounds by stint, as a list per driver of as many entries as stints."""
-    ordered = F.sort_array(F.collect_list(F.struct("stint_number", "compound")))
-    per = t["stints"].groupBy("session_key", "driver_number").agg(F.transform(ordered, lambda x: x["compound"]).alias("list"))
-    return per.withColumn("list", F.array_distinct("list")) if unique else per
-
-
 @query("scalar_json_array", """
 SELECT session_key, driver_number, '["' || string_agg(compound, '","' ORDER BY stint_number) || '"]' AS compounds FROM stints GROUP BY ALL""")
 def json_array(t):
-    return used_compounds(t).select("session_key", "driver_number", F.to_json("list").alias("compounds"))
+    return tires(t["stints"]).select("session_key", "driver_number", F.to_json("tire_compounds_used").alias("compounds"))
 
 
 @query("scalar_array_distinct", """
-SELECT session_key, driver_number, string_agg(compound, '|' ORDER BY first) AS compounds, count(*) AS n
-FROM (SELECT session_key, driver_number, compound, min(stint_number) AS first FROM stints GROUP BY ALL) GROUP BY ALL""")
+SELECT session_key, driver_number, lap_number, CASE WHEN compound = 'SOFT' THEN 'SOFT|HARD' WHEN compound = 'HARD' THEN 'HARD'
+  ELSE compound || '|HARD' END AS compounds FROM laps""")
 def array_distinct(t):
-    rows = used_compounds(t, unique=True)
-    return rows.select("session_key", "driver_number", F.array_join("list", "|").alias("compounds"),
-                       F.size("list").cast("bigint").alias("n"))
+    used = F.array_distinct(F.array(F.col("compound"), F.lit("HARD"), F.col("compound")))
+    return t["laps"].select(*LAP, F.array_join(used, "|").alias("compounds"))
 
 
 @lap_query("scalar_between", "lap_number BETWEEN 10 AND 20 AS in_window")
@@ -167,11 +160,16 @@ def between(t):
     return [F.col("lap_number").between(10, 20).alias("in_window")]
 
 
-@query("scalar_hash_bucket")
+@query("scalar_hash_bucket", """
+SELECT full_name, count(*) AS laps, 1::BIGINT AS buckets, true AS in_range
+FROM laps JOIN drivers USING (session_key, driver_number) GROUP BY ALL""")
 def hash_bucket(t):
-    # The hash function is Spark's own, so there is no SQL to compare with.
+    # Which bucket a name gets is Spark's choice; that it is one, and within 1..23, is not.
     rows = t["laps"].join(t["drivers"].select("session_key", "driver_number", "full_name"), ["session_key", "driver_number"])
-    return rows.groupBy(scalars.hash_bucket("full_name", 23).alias("bucket")).agg(F.count(F.lit(1)).alias("laps"))
+    per = rows.groupBy("full_name", scalars.hash_bucket("full_name", 23).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    return per.groupBy("full_name").agg(
+        F.sum("n").alias("laps"), F.count("bucket").alias("buckets"),
+        F.every(F.col("bucket").between(1, 23)).alias("in_range"))
 
 
 @query("scalar_tyre_age", """
