@@ -12,6 +12,10 @@ from pitwall.session import work_dir
 from pitwall.sources.readers import FORMATS
 
 
+# Text formats would otherwise cut timestamps to milliseconds.
+MICROSECONDS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def with_date_parts(df: DataFrame, date_col: str = "date") -> DataFrame:
     return df.withColumns({"year": F.year(date_col), "month": F.month(date_col), "day": F.dayofmonth(date_col)})
 
@@ -21,6 +25,8 @@ def write_files(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     if fmt not in FORMATS:
         raise ValueError(f"unsupported format {fmt!r}; one of {FORMATS}")
     writer = df.write.mode(mode)
+    if fmt != "parquet":
+        writer = writer.options(**MICROSECONDS)
     (writer.option("header", True) if fmt == "csv" else writer).format(fmt).save(path)
 
 
@@ -40,7 +46,8 @@ def write_partitioned(df: DataFrame, path: str, cols: Sequence[str] = ("year", "
 def land(df: DataFrame, root: str, endpoint: str, extracted_at: Column, fmt: str = "parquet") -> None:
     """Append fetched rows, which carry their ``year``, below ``year=/endpoint=``."""
     tagged = tag_metadata(df, endpoint, extracted_at).withColumn("endpoint", F.lit(endpoint))
-    tagged.write.mode("append").partitionBy("year", "endpoint").format(fmt).save(root)
+    writer = tagged.write.mode("append").partitionBy("year", "endpoint")
+    (writer if fmt == "parquet" else writer.options(**MICROSECONDS)).format(fmt).save(root)
 
 
 def write_processed(df: DataFrame, root: str, endpoint: str) -> None:

@@ -1,5 +1,6 @@
 """The derived tables and the jobs that write them."""
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pitwall import catalog
@@ -52,8 +53,6 @@ FROM (SELECT *, row_number() OVER (PARTITION BY session_key ORDER BY fastest_lap
   FROM session_result JOIN (SELECT session_key, driver_number, min(lap_duration) AS fastest_lap FROM laps
     WHERE lap_duration IS NOT NULL GROUP BY ALL) USING (session_key, driver_number))""")
 def points_with_bonus(t):
-    from pyspark.sql import Window as W
-
     rows = t["session_result"].join(results.fastest_laps(t["laps"]), DRIVER)
     order = W.partitionBy("session_key").orderBy("fastest_lap", "driver_number")
     quick = F.row_number().over(order) == 1
@@ -71,8 +70,7 @@ races AS (SELECT *, dense_rank() OVER (PARTITION BY year ORDER BY date, grand_pr
   FROM (SELECT DISTINCT year, date, grand_prix FROM results)),
 raced AS (SELECT year, race_round, {by}, sum(points) AS points, min(final_position) AS place, count(*) FILTER (final_position = 1) AS wins,
     count(*) FILTER (final_position <= 3) AS podiums, count(*) FILTER (points > 0) AS points_finishes
-  FROM (SELECT r.*, x.race_round AS rr FROM results r JOIN races x USING (year, date, grand_prix)) q
-  JOIN races USING (year, date, grand_prix, race_round) GROUP BY year, race_round, {by}),
+  FROM (SELECT * EXCLUDE (race_round) FROM results) q JOIN races USING (year, date, grand_prix) GROUP BY year, race_round, {by}),
 known AS (SELECT year, {by}, min(race_round) AS first_round, arg_min(place, race_round) AS first_place FROM raced GROUP BY ALL),
 filled AS (SELECT races.year, races.race_round, races.grand_prix, known.{by}, first_round, first_place,
     coalesce(sum(points) OVER w, 0) AS points, coalesce(sum(wins) OVER w, 0) AS wins, coalesce(sum(podiums) OVER w, 0) AS podiums,
@@ -90,9 +88,7 @@ WINDOW w AS (PARTITION BY f.year, race_round ORDER BY points DESC, first_round,
 
 
 def standings_sql(by, names="", who=""):
-    sql = SQL_STANDINGS.format(results=SQL_RESULTS, by=by, names=names, who=who)
-    return sql.replace("(SELECT r.*, x.race_round AS rr FROM results r JOIN races x USING (year, date, grand_prix)) q", "(SELECT * EXCLUDE (race_round) FROM results) q").replace(
-        "USING (year, date, grand_prix, race_round) GROUP", "USING (year, date, grand_prix) GROUP")
+    return SQL_STANDINGS.format(results=SQL_RESULTS, by=by, names=names, who=who)
 
 
 @query("championship_standings", standings_sql("driver_number", "driver_name, team_name,", """JOIN (SELECT year, driver_number,
