@@ -7,6 +7,7 @@ import os
 import sys
 import time
 
+from pitwall.bindings import Tables
 from pitwall.session import local_session
 from suite.registry import load
 
@@ -27,7 +28,9 @@ def main() -> None:
     queries = load()[0]
     spark = local_session("bench", cores)
     spark.read.parquet(f"{folder}/lineitem.parquet").groupBy("l_returnflag").count().collect()  # start-up
-    seconds = {}
+    start = time.perf_counter()
+    Tables(spark, folder)["laps"]  # joined, de-duplicated and written once for all queries
+    seconds = {"stage_laps": round(time.perf_counter() - start, 3)}
     for name in names:
         start = time.perf_counter()
         queries[name](spark, folder).write.format("noop").mode("overwrite").save()

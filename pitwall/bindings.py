@@ -3,18 +3,24 @@
 Weeks of orders stand for sessions, line items for timed laps and the event log for
 telemetry, weather and race-control messages.  Each table is a lazy DataFrame built
 only when asked for, so a query scans just the inputs and columns it uses.
+
+Two tables feed nearly everything: the session calendar and the de-duplicated laps, which
+cost a join and a de-duplication of the largest inputs.  They are written once per Spark
+application to the shared folder, as the processed tables of a lake would be, and read
+back with column pruning and filter pushdown.  The rest stays lazy.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from pitwall.operators.joins import first_match
-from pitwall.session import configure
+from pitwall.session import configure, work_dir
+from pitwall.sources.readers import file_versions, path_exists
 
 WEEK = 604_800
 NO_TIME = 999.0  # stands for a missing lap time when ordering
@@ -28,6 +34,10 @@ def _week(date: str) -> Column:
     return F.expr(f"CAST(datediff(CAST({date} AS DATE), DATE'1995-01-01') AS BIGINT) div 7")
 
 
+# Where each staged table of an application lies; the inputs' versions are part of the key.
+_STAGED: dict[tuple, str] = {}
+
+
 class Tables(Mapping):
     """Racing tables by name over one folder of Parquet files."""
 
@@ -57,10 +67,23 @@ class Tables(Mapping):
     def source(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def _staged(self, name: str, inputs: tuple[str, ...], build: Callable[[], DataFrame]) -> DataFrame:
+        """The table as written earlier in this application, else write it now."""
+        versions = file_versions(self.spark, [f"{self.folder}/{i}.parquet" for i in inputs])
+        key = (self.spark.sparkContext.applicationId, name, self.folder, versions)
+        path = _STAGED.get(key)
+        if path is None or not path_exists(self.spark, f"{path}/_SUCCESS"):
+            path = work_dir(self.spark, f"staged-{name}")
+            build().write.parquet(path)
+            _STAGED[key] = path
+        return self.spark.read.parquet(path)
+
     # calendar -----------------------------------------------------------------
 
     def _session_keys(self) -> DataFrame:
-        return self.source("orders").select(_week("o_orderdate").alias("session_key")).distinct()
+        return self._staged("sessions", ("orders",), lambda: (
+            self.source("orders").select(_week("o_orderdate").alias("session_key")).distinct().coalesce(1)  # one row a week
+        ))
 
     def _sessions(self) -> DataFrame:
         slot = "session_key % 7"
@@ -130,11 +153,12 @@ class Tables(Mapping):
     LAP_ORDER = ("l_orderkey", "l_partkey", "l_extendedprice", "l_quantity", "l_tax")
 
     def _laps(self) -> DataFrame:
-        return first_match(self["laps_dup"], self.LAP_KEYS, [F.desc(c) for c in self.LAP_ORDER])
+        return self._staged("laps", ("orders", "lineitem"), lambda: (
+            first_match(self["laps_dup"], self.LAP_KEYS, [F.desc(c) for c in self.LAP_ORDER])
+        ))
 
     def _drivers(self) -> DataFrame:
-        # De-duplicating laps keeps every (session, driver), so the raw laps do.
-        pairs = self["laps_dup"].select("session_key", "driver_number").distinct()
+        pairs = self["laps"].select("session_key", "driver_number").distinct()
         return pairs.select(
             "session_key",
             "driver_number",

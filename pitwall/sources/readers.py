@@ -14,12 +14,20 @@ from pitwall.catalog import ENDPOINTS
 FORMATS = ("parquet", "csv", "json")
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path or glob matches anything, on whatever file system its scheme names."""
+def _matches(spark: SparkSession, path: str) -> list:
+    """File status of what a path or glob matches, on whatever file system its scheme names."""
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = fs.globStatus(hadoop_path)
-    return found is not None and len(found) > 0
+    return list(fs.globStatus(hadoop_path) or [])
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    return len(_matches(spark, path)) > 0
+
+
+def file_versions(spark: SparkSession, paths: Sequence[str]) -> tuple:
+    """Length and modification time of each path, to tell whether it changed."""
+    return tuple((s.getLen(), s.getModificationTime()) for p in paths for s in _matches(spark, p))
 
 
 def scan(spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None,
