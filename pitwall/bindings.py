@@ -17,6 +17,7 @@ from collections.abc import Callable, Iterator, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql.types import StructType
 
 from pitwall.operators.joins import first_match
 from pitwall.session import configure, work_dir
@@ -36,6 +37,7 @@ def _week(date: str) -> Column:
 
 # Where each staged table of an application lies; the inputs' versions are part of the key.
 _STAGED: dict[tuple, str] = {}
+_SCHEMAS: dict[str, StructType] = {}
 
 
 class Tables(Mapping):
@@ -45,6 +47,7 @@ class Tables(Mapping):
         self.spark = configure(spark)
         self.folder = folder.rstrip("/")
         self._built: dict[str, DataFrame] = {}
+        self._sources: dict[str, DataFrame] = {}
 
     NAMES = (
         "meetings", "sessions", "drivers", "laps", "laps_dup", "position", "session_result",
@@ -65,7 +68,10 @@ class Tables(Mapping):
         return len(self.NAMES)
 
     def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A generic test table; its schema is read once."""
+        if name not in self._sources:
+            self._sources[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._sources[name]
 
     def _staged(self, name: str, inputs: tuple[str, ...], build: Callable[[], DataFrame]) -> DataFrame:
         """The table as written earlier in this application, else write it now."""
@@ -74,9 +80,11 @@ class Tables(Mapping):
         path = _STAGED.get(key)
         if path is None or not path_exists(self.spark, f"{path}/_SUCCESS"):
             path = work_dir(self.spark, f"staged-{name}")
-            build().write.parquet(path)
+            df = build()
+            df.write.parquet(path)
             _STAGED[key] = path
-        return self.spark.read.parquet(path)
+            _SCHEMAS[path] = df.schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     # calendar -----------------------------------------------------------------
 

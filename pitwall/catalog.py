@@ -48,8 +48,9 @@ _ANALYTICS = {
                            "starting_grid_position int; final_position int; points real!=0; fastest_lap real; "
                            "total_time_penalty real!=0; total_season_points real!=0; drivers_championship_ranking int; "
                            "points_from_first real!=0; dnf bool!=false; dns bool!=false; dsq bool!=false; created_at ts!"),
-    "grand_prix_performance": ("performance_id", "performance_id text!; date ts!; year int!; grand_prix text!; "
-                               "session_name text!; driver_number int!; driver_name text!; best_lap_time real; "
+    "grand_prix_performance": ("performance_id", "performance_id text!; session_key key!; date ts!; year int!; "
+                               "grand_prix text!; session_name text!; driver_number int!; driver_name text!; "
+                               "team_name text!; best_lap_time real; "
                                "average_lap_time real; total_pit_time real!=0; pit_stops int!=0; avg_speed real; "
                                "max_speed real; avg_throttle real; time_spent_braking_pct real; tire_compounds_used texts; "
                                "tire_stint_count int!=0; created_at ts!"),

@@ -86,7 +86,8 @@ def speed_ranks(laps: DataFrame) -> DataFrame:
 def driver_features(t: Mapping[str, DataFrame], performance: DataFrame, results: DataFrame) -> DataFrame:
     """One row per driver of a team with two cars or more in a session.
 
-    The field mean covers all drivers of the session, one-car teams included.
+    The field mean covers all drivers of the session, one-car teams included.  Both inputs
+    are read several times: pass saved or staged tables.
     """
     session = ["year", "grand_prix", "session_name"]
     outcome = results.select(

@@ -99,10 +99,10 @@ def save_analytics(t: Mapping[str, DataFrame], database: str, created_at: Column
 
 
 def save_features(t: Mapping[str, DataFrame], database: str, created_at: Column) -> dict[str, bool]:
-    """Write driver features and race context from the analytics tables and the raw ones."""
+    """Write driver features and race context from the saved analytics tables and the raw ones."""
     spark = t["laps"].sparkSession
     results = spark.table(f"{database}.grand_prix_results")
-    performance = gp_performance(t)
+    performance = spark.table(f"{database}.grand_prix_performance")
     return {
         "driver_performance_features": _save(driver_features(t, performance, results), database, "driver_performance_features", created_at),
         "race_context_features": _save(race_context(t), database, "race_context_features", created_at),

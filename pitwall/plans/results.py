@@ -99,7 +99,8 @@ def standings(results: DataFrame, by: str = "driver_number", names: Sequence[str
 
     Somebody absent from a race keeps their points and still has a row.  Level on points,
     who appeared first stays ahead: by first race, then by place in it.  With
-    ``by="team_name"`` the same gives the constructors' table.
+    ``by="team_name"`` the same gives the constructors' table.  The results are read
+    several times: pass a saved or staged table.
     """
     season = ["year", by]
     per_race = results.groupBy("year", "date", "grand_prix", by).agg(

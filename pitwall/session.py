@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that change results or plans; everything else is left to the cluster.
 RUNTIME_CONF = {
@@ -65,3 +65,14 @@ def work_dir(spark: SparkSession, label: str) -> str:
     """A new, never reused path below the shared folder."""
     app = spark.sparkContext.applicationId
     return f"{shared_root(spark)}/pitwall/{app}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write a result to the shared folder and go on from there.
+
+    For results several later steps read: they are computed once, the plan behind them is
+    cut, and a lost executor costs a re-read.
+    """
+    path = work_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,7 +8,7 @@ from pitwall.functions.scalars import points
 from pitwall.operators.upsert import upsert, upsert_path
 from pitwall.plans import features, jobs, performance, reports, results
 from pitwall.plans.results import DRIVER
-from pitwall.session import work_dir
+from pitwall.session import stage, work_dir
 from pitwall.sources import tables, writers
 from suite.aggregates import SQL_POINTS, SQL_RACE_TIME, SQL_TELEMETRY
 from suite.filters import SQL_LAP_RULES, SQL_LAP_SCORE
@@ -94,12 +94,12 @@ def standings_sql(by, names="", who=""):
 @query("championship_standings", standings_sql("driver_number", "driver_name, team_name,", """JOIN (SELECT year, driver_number,
   arg_min(driver_name, date) AS driver_name, arg_min(team_name, date) AS team_name FROM results GROUP BY ALL) n USING (year, driver_number)"""))
 def championship_standings(t):
-    return results.standings(results.gp_results(t))
+    return results.standings(stage(results.race_results(t), "results"))
 
 
 @query("constructor_standings", standings_sql("team_name"))
 def constructor_standings(t):
-    return reports.constructor_standings(results.race_results(t))
+    return reports.constructor_standings(stage(results.race_results(t), "results"))
 
 
 # Performance -----------------------------------------------------------------
@@ -149,7 +149,8 @@ WHERE cars >= 2"""
 
 @query("driver_features", SQL_FEATURES)
 def driver_features(t):
-    return rounded(features.driver_features(t, performance.gp_performance(t), results.race_results(t)))
+    saved = stage(performance.gp_performance(t), "performance"), stage(results.race_results(t), "results")
+    return rounded(features.driver_features(t, *saved))
 
 
 @query("race_context", f"""
@@ -333,7 +334,8 @@ WHERE cars >= 2 GROUP BY year
 UNION ALL SELECT 'race_context_features', CAST(year AS INT), count(*) FROM sessions WHERE session_type = 'Race' GROUP BY year""")
 def save_features(t):
     db = analytics_database(t)
-    tables.save_table(results.gp_results(t).withColumn("created_at", extracted()), f"{db}.grand_prix_results")
+    for name, rows in (("grand_prix_results", results.gp_results(t)), ("grand_prix_performance", performance.gp_performance(t))):
+        tables.save_table(rows.withColumn("created_at", extracted()), f"{db}.{name}")
     jobs.save_features(t, db, extracted())
     return per_year(t, db, ("driver_performance_features", "race_context_features"))
 
