@@ -93,14 +93,16 @@ def range_join(
     Ranges are copied to the buckets they cross, so a left row meets only the ranges near
     its point.
     """
-    l_rows = left.withColumn("_b", F.floor(F.col(point) / bucket))
-    r_rows = right.where(F.col(lo) <= F.col(hi)).withColumn(
-        "_b", F.explode(F.sequence(F.floor(F.col(lo) / bucket), F.floor(F.col(hi) / bucket)))
-    )
-    on = [l_rows[k] == r_rows[k] for k in [*keys, "_b"]]
-    inside = l_rows[point].between(r_rows[lo], r_rows[hi])
-    matched = l_rows.join(r_rows, [*on, inside], "left").drop(*[r_rows[k] for k in [*keys, "_b"]])
-    return first_match(matched, [*keys, "_b", *left_id], first_by).drop("_b")
+    spans = F.sequence(F.floor(F.col(lo) / bucket), F.floor(F.col(hi) / bucket))
+    rows = left.withColumn("_b", F.floor(F.col(point) / bucket))
+    ranges = right.where(F.col(lo) <= F.col(hi)).withColumn("_b", F.explode(spans))
+    on = [*keys, "_b"]
+    # Own names for the right keys: both sides may stem from one table.
+    ranges = ranges.select(*[F.col(k).alias(f"_r_{k}") for k in on], *[c for c in right.columns if c not in keys])
+    inside = F.col(point).between(F.col(lo), F.col(hi))
+    matched = rows.join(ranges, [F.col(k) == F.col(f"_r_{k}") for k in on] + [inside], "left")
+    matched = matched.drop(*[f"_r_{k}" for k in on])
+    return first_match(matched, [*on, *left_id], first_by).drop("_b")
 
 
 def orphans(df: DataFrame, parent: DataFrame, key: str | Sequence[str]) -> DataFrame:

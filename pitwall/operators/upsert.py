@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pitwall.operators.joins import first_match
 from pitwall.session import work_dir
@@ -50,15 +51,17 @@ def upsert_path(spark: SparkSession, path: str, updates: DataFrame, keys: Sequen
         fresh = first_match(updates, keys, order_by)
         _write(fresh, path, parts)
         return
-    target = spark.read.parquet(path)
-    columns = target.columns
+    stored = spark.read.parquet(path).schema
+    columns, kinds = stored.names, {f.name: f for f in updates.schema}
+    schema = StructType([kinds.get(f.name, f) for f in stored])
+    target = spark.read.schema(schema).parquet(path)  # partition values typed as in the batch
     if not parts:
         staged = work_dir(spark, "upsert")
         upsert(target, updates, keys, order_by, update_cols).write.parquet(staged)
         spark.read.parquet(staged).write.mode("overwrite").parquet(path)
         return
-    touched = updates.select(*parts).distinct()
-    current = target.join(touched, parts, "left_semi").select(*columns)
+    touched = updates.select(*[F.col(p).alias(f"_t_{p}") for p in parts]).distinct()
+    current = target.join(touched, [F.col(p).eqNullSafe(F.col(f"_t_{p}")) for p in parts], "left_semi")
     _write(upsert(current, updates.select(*columns), keys, order_by, update_cols), path, parts)
 
 

@@ -19,7 +19,7 @@ from pitwall.plans.performance import gp_performance
 from pitwall.plans.results import gp_results, standings
 from pitwall.sources.readers import scan, scan_raw
 from pitwall.sources.tables import save_table
-from pitwall.sources.writers import compact, write_partitioned
+from pitwall.sources.writers import write_partitioned
 
 
 def raw_job(spark: SparkSession, landed: str, processed: str, endpoints: Sequence[str] = tuple(PROCESSED),
@@ -50,8 +50,9 @@ def lake_job(spark: SparkSession, processed: str, lake: str, endpoint: str,
              clean: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame | None:
     """Clean one processed table, keep the latest row per key and merge it into the lake table.
 
-    Serves meetings, sessions, drivers and laps alike.  Returns the lake table, or nothing
-    when there was no input.
+    Serves meetings, sessions, drivers and laps alike.  The merge rewrites each partition it
+    touches into well-sized files, so no separate compaction of the table is needed.
+    Returns the lake table, or nothing when there was no input.
     """
     table = TABLES[f"lake_{endpoint}"]
     source = scan(spark, f"{processed}/{endpoint}")
@@ -63,7 +64,6 @@ def lake_job(spark: SparkSession, processed: str, lake: str, endpoint: str,
     order = [F.desc_nulls_last("processing_timestamp"), *[F.asc_nulls_last(c) for c in columns if c not in table.keys]]
     keys = list(dict.fromkeys([*table.keys, *table.partition_by]))
     upsert_path(spark, path, batch.select(*columns), keys, order, table.partition_by)
-    compact(spark, path, table.partition_by)
     return spark.read.parquet(path)
 
 

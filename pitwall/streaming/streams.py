@@ -65,7 +65,9 @@ def stream_upsert(df: DataFrame, path: str, keys: Sequence[str], order_by: Seque
     """
 
     def merge(batch: DataFrame, _: int) -> None:
+        batch.persist()  # read twice: for the partitions it touches and for its rows
         upsert_path(batch.sparkSession, path, batch, keys, order_by, partition_by)
+        batch.unpersist()
 
     return (
         df.writeStream.outputMode(output_mode).foreachBatch(merge)
