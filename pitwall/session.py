@@ -16,6 +16,10 @@ RUNTIME_CONF = {
 }
 
 
+# Stand-in for the shared folder of local-mode applications that name none.
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else started."""
     for key, value in RUNTIME_CONF.items():
@@ -56,9 +60,10 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="pitwall-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="pitwall-")
+    return _LOCAL_ROOTS[app]
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
