@@ -37,7 +37,7 @@ WITH team_stats AS (SELECT team_name, m.year, meeting_name, session_name, count(
   FROM laps l JOIN drivers d USING (session_key, driver_number) JOIN sessions s USING (session_key)
     JOIN meetings m USING (meeting_key) WHERE lap_time > 0 GROUP BY ALL)
 SELECT team_name, year, count(DISTINCT meeting_name) AS races_participated,
-  round(avg(drivers_count), 6) AS avg_drivers_per_race, round(avg(avg_lap_time), 6) AS season_avg_lap_time,
+  round(avg(drivers_count) + 1e-9, 6) AS avg_drivers_per_race, round(avg(avg_lap_time) + 1e-9, 6) AS season_avg_lap_time,
   min(fastest_lap_time) AS season_fastest_lap, CAST(sum(total_laps) AS BIGINT) AS season_total_laps,
   CAST(rank() OVER (PARTITION BY year ORDER BY avg(avg_lap_time)) AS INT) AS performance_rank
 FROM team_stats GROUP BY team_name, year"""
@@ -51,8 +51,8 @@ def team_performance(t):
 @query("session_statistics", """
 SELECT meeting_name, m.year, country_name, circuit_short_name, session_name, session_type, s.date_start, s.date_end,
   count(DISTINCT d.driver_number) AS participating_drivers, count(DISTINCT d.team_name) AS participating_teams,
-  count(l.lap_number) AS total_laps_recorded, round(avg(lap_time), 6) AS average_lap_time,
-  min(lap_time) AS fastest_lap_time, max(lap_time) AS slowest_lap_time, round(stddev(lap_time), 6) AS lap_time_variation
+  count(l.lap_number) AS total_laps_recorded, round(avg(lap_time) + 1e-9, 6) AS average_lap_time,
+  min(lap_time) AS fastest_lap_time, max(lap_time) AS slowest_lap_time, round(stddev(lap_time) + 1e-9, 6) AS lap_time_variation
 FROM laps l LEFT JOIN drivers d USING (session_key, driver_number) JOIN sessions s USING (session_key)
   JOIN meetings m USING (meeting_key) WHERE lap_time > 0
 GROUP BY meeting_name, m.year, country_name, circuit_short_name, session_name, session_type, s.date_start, s.date_end""")
@@ -62,9 +62,9 @@ def session_statistics(t):
 
 @query("driver_consistency", """
 SELECT full_name AS driver_name, team_name, m.year, session_type, count(lap_number) AS total_laps,
-  round(avg(lap_time), 6) AS avg_lap_time, round(stddev(lap_time), 6) AS consistency_score, min(lap_time) AS best_lap_time,
-  max(lap_time) AS worst_lap_time, round(percentile_cont(0.5) WITHIN GROUP (ORDER BY lap_time), 6) AS median_lap_time,
-  round(stddev(lap_time) / avg(lap_time) * 100, 6) AS coefficient_of_variation
+  round(avg(lap_time) + 1e-9, 6) AS avg_lap_time, round(stddev(lap_time) + 1e-9, 6) AS consistency_score, min(lap_time) AS best_lap_time,
+  max(lap_time) AS worst_lap_time, round(percentile_cont(0.5) WITHIN GROUP (ORDER BY lap_time) + 1e-9, 6) AS median_lap_time,
+  round(stddev(lap_time) / avg(lap_time) * 100 + 1e-9, 6) AS coefficient_of_variation
 FROM laps l JOIN drivers d USING (session_key, driver_number) JOIN sessions s USING (session_key)
   JOIN meetings m USING (meeting_key) WHERE lap_time > 0 GROUP BY full_name, team_name, m.year, session_type
 HAVING count(lap_number) >= 10""")
@@ -73,22 +73,22 @@ def driver_consistency(t):
 
 
 @query("lap_performance", """
-SELECT session_key, driver_number, min(lap_duration) AS best_lap_time, round(avg(lap_duration), 6) AS average_lap_time
+SELECT session_key, driver_number, min(lap_duration) AS best_lap_time, round(avg(lap_duration) + 1e-9, 6) AS average_lap_time
 FROM laps WHERE lap_duration IS NOT NULL AND NOT is_pit_out_lap GROUP BY ALL""")
 def lap_performance(t):
     return rounded(performance.lap_perf(t["laps"]))
 
 
 @query("pit_performance", """
-SELECT session_key, driver_number, round(coalesce(sum(pit_duration), 0), 6) AS total_pit_time, count(pit_duration) AS pit_stops
+SELECT session_key, driver_number, round(coalesce(sum(pit_duration), 0) + 1e-9, 6) AS total_pit_time, count(pit_duration) AS pit_stops
 FROM drivers LEFT JOIN pit USING (session_key, driver_number) GROUP BY ALL""")
 def pit_performance(t):
     rows = t["drivers"].select(*DRIVER).join(performance.pit_perf(t["pit"]), DRIVER, "left")
     return rounded(rows.na.fill({"total_pit_time": 0.0, "pit_stops": 0}))
 
 
-SQL_TELEMETRY = """round(avg(speed), 6) AS avg_speed, max(speed) AS max_speed, round(avg(throttle), 6) AS avg_throttle,
-  round(count(*) FILTER (brake > 0) * 100.0 / count(*), 6) AS time_spent_braking_pct"""
+SQL_TELEMETRY = """round(avg(speed) + 1e-9, 6) AS avg_speed, max(speed) AS max_speed, round(avg(throttle) + 1e-9, 6) AS avg_throttle,
+  round(count(*) FILTER (brake > 0) * 100.0 / count(*) + 1e-9, 6) AS time_spent_braking_pct"""
 
 
 @query("telemetry_aggregates", f"""
@@ -126,13 +126,13 @@ def race_events_distinct(t):
 
 @query("weather_features", """
 SELECT session_key, coalesce(var_samp(air_temperature) > 5, false) AS weather_changes,
-  round(avg(coalesce(rainfall > 0, false)::INT), 6) AS rain_probability FROM weather GROUP BY ALL""")
+  round(avg(coalesce(rainfall > 0, false)::INT) + 1e-9, 6) AS rain_probability FROM weather GROUP BY ALL""")
 def weather_features(t):
     return rounded(features.weather_features(t["weather"]))
 
 
 @query("weather_context", """
-SELECT session_key, round(avg(air_temperature), 6) AS air_temperature, round(avg(track_temperature), 6) AS track_temperature
+SELECT session_key, round(avg(air_temperature) + 1e-9, 6) AS air_temperature, round(avg(track_temperature) + 1e-9, 6) AS track_temperature
 FROM weather GROUP BY ALL""")
 def weather_context(t):
     return rounded(features.weather_context(t["weather"]))
@@ -156,7 +156,7 @@ SQL_LAKE_LAPS = """(SELECT session_key, driver_number, lap_time, CAST(date_start
 
 @query("table_stats_laps", f"""
 SELECT date_start, count(*) AS total_laps, count(DISTINCT session_key) AS unique_sessions,
-  count(DISTINCT driver_number) AS unique_drivers, round(avg(data_completeness_score), 6) AS avg_completeness_score,
+  count(DISTINCT driver_number) AS unique_drivers, round(avg(data_completeness_score) + 1e-9, 6) AS avg_completeness_score,
   count(CASE WHEN lap_time IS NOT NULL THEN 1 END) AS laps_with_times
 FROM {SQL_LAKE_LAPS} GROUP BY date_start ORDER BY date_start DESC LIMIT 10""")
 def table_stats_laps(t):
@@ -203,7 +203,7 @@ SQL_RACE_TIME = """(SELECT session_key, min(s) AS total_race_time FROM (SELECT s
   FROM laps JOIN session_result USING (session_key, driver_number) WHERE NOT dnf GROUP BY ALL) GROUP BY ALL)"""
 
 
-@query("total_race_time", f"SELECT session_key, round(total_race_time, 6) AS total_race_time FROM {SQL_RACE_TIME}")
+@query("total_race_time", f"SELECT session_key, round(total_race_time + 1e-9, 6) AS total_race_time FROM {SQL_RACE_TIME}")
 def total_race_time(t):
     return rounded(features.total_race_time(t["laps"], t["session_result"]))
 

@@ -66,7 +66,7 @@ SQL_LAP_RULES = """session_key IS NOT NULL AND date_start IS NOT NULL AND lap_nu
   AND coalesce(i1_speed > 0, true) AND coalesce(i2_speed > 0, true) AND coalesce(st_speed > 0, true)
   AND coalesce(tyre_life >= 0, true)"""
 SQL_LAP_SCORE = """round((lap_time IS NOT NULL)::INT * 0.3::DOUBLE + (i1_speed IS NOT NULL)::INT * 0.2::DOUBLE
-  + (i2_speed IS NOT NULL)::INT * 0.2::DOUBLE + (st_speed IS NOT NULL)::INT * 0.2::DOUBLE + (compound IS NOT NULL)::INT * 0.1::DOUBLE, 6)"""
+  + (i2_speed IS NOT NULL)::INT * 0.2::DOUBLE + (st_speed IS NOT NULL)::INT * 0.2::DOUBLE + (compound IS NOT NULL)::INT * 0.1::DOUBLE + 1e-9, 6)"""
 
 
 @query("validate_laps", f"""

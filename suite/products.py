@@ -109,9 +109,9 @@ SQL_PERFORMANCE = f"""(SELECT s.year || '_' || session_key || '_' || driver_numb
   best_lap_time, average_lap_time, coalesce(total_pit_time, 0) AS total_pit_time, coalesce(pit_stops, 0) AS pit_stops,
   avg_speed, max_speed, avg_throttle, time_spent_braking_pct, coalesce(compounds, '') AS compounds, coalesce(tire_stint_count, 0) AS tire_stint_count
 FROM drivers d JOIN sessions s USING (session_key) JOIN meetings m USING (meeting_key)
-LEFT JOIN (SELECT session_key, driver_number, min(lap_duration) AS best_lap_time, round(avg(lap_duration), 6) AS average_lap_time
+LEFT JOIN (SELECT session_key, driver_number, min(lap_duration) AS best_lap_time, round(avg(lap_duration) + 1e-9, 6) AS average_lap_time
   FROM laps WHERE lap_duration IS NOT NULL AND NOT is_pit_out_lap GROUP BY ALL) l USING (session_key, driver_number)
-LEFT JOIN (SELECT session_key, driver_number, round(sum(pit_duration), 6) AS total_pit_time, count(*) AS pit_stops FROM pit GROUP BY ALL)
+LEFT JOIN (SELECT session_key, driver_number, round(sum(pit_duration) + 1e-9, 6) AS total_pit_time, count(*) AS pit_stops FROM pit GROUP BY ALL)
   p USING (session_key, driver_number)
 LEFT JOIN (SELECT session_key, driver_number, {SQL_TELEMETRY} FROM car_data WHERE speed IS NOT NULL GROUP BY ALL)
   c USING (session_key, driver_number)
@@ -137,9 +137,9 @@ deltas AS (SELECT *, best_lap_time - avg(best_lap_time) OVER (PARTITION BY year,
   FROM perf WINDOW team AS (PARTITION BY year, grand_prix, session_name, team_name))
 SELECT d.year || '_' || coalesce(race_round, 0) || '_' || session_name || '_' || driver_number AS feature_id, d.year,
   CAST(coalesce(race_round, 0) AS INT) AS race_round, session_name AS session_type, driver_number,
-  round(best_lap_time - others, 6) AS pace_vs_teammate, round(field, 6) AS pace_vs_field, round(spread, 6) AS consistency_score,
+  round(best_lap_time - others + 1e-9, 6) AS pace_vs_teammate, round(field + 1e-9, 6) AS pace_vs_field, round(spread + 1e-9, 6) AS consistency_score,
   starting_grid_position AS track_position_start, CAST(final_position AS DOUBLE) AS track_position_avg,
-  straight_line_speed_rank, cornering_speed_rank, round(air, 6) AS air_temperature, round(track, 6) AS track_temperature
+  straight_line_speed_rank, cornering_speed_rank, round(air + 1e-9, 6) AS air_temperature, round(track + 1e-9, 6) AS track_temperature
 FROM deltas d LEFT JOIN rounds USING (year, grand_prix)
 LEFT JOIN (SELECT session_key, avg(air_temperature) AS air, avg(track_temperature) AS track FROM weather GROUP BY ALL) w USING (session_key)
 LEFT JOIN (SELECT session_key, driver_number, stddev_samp(lap_duration) AS spread FROM laps GROUP BY ALL) k USING (session_key, driver_number)
@@ -158,8 +158,8 @@ SELECT r.year || '_' || race_round AS context_id, r.year, CAST(race_round AS INT
   CASE circuit WHEN 'Monaco' THEN 3.337::DOUBLE WHEN 'Monza' THEN 5.793::DOUBLE WHEN 'Silverstone' THEN 5.891::DOUBLE END AS circuit_length,
   CASE circuit WHEN 'Monaco' THEN 19 WHEN 'Monza' THEN 11 WHEN 'Silverstone' THEN 18 END AS number_of_turns,
   CASE circuit WHEN 'Monaco' THEN 0.9::DOUBLE WHEN 'Monza' THEN 0.3::DOUBLE WHEN 'Silverstone' THEN 0.5::DOUBLE END AS overtaking_difficulty,
-  coalesce(safety, 0) AS safety_car_deployments, coalesce(red, 0) AS red_flag_periods, round(total_race_time, 6) AS total_race_time,
-  coalesce(changes, false) AS weather_changes, round(rain, 6) AS rain_probability
+  coalesce(safety, 0) AS safety_car_deployments, coalesce(red, 0) AS red_flag_periods, round(total_race_time + 1e-9, 6) AS total_race_time,
+  coalesce(changes, false) AS weather_changes, round(rain + 1e-9, 6) AS rain_probability
 FROM (SELECT session_key, s.year, meeting_name AS grand_prix, circuit_short_name AS circuit,
     dense_rank() OVER (PARTITION BY s.year ORDER BY s.date_start, meeting_name) AS race_round
   FROM sessions s JOIN meetings m USING (meeting_key) WHERE session_type = 'Race') r
@@ -177,7 +177,7 @@ WITH near AS (SELECT n.*, meeting_name FROM {SQL_NEAREST} n JOIN sessions s USIN
   WHERE session_type = 'Race')
 SELECT n.session_key, n.driver_number, n.lap_number, position, lap_duration AS lap_time,
   s.tyre_age_at_start + n.lap_number - s.lap_start AS tire_age, lead(n.driver_number) OVER w IS NOT NULL AS has_car_behind,
-  round(lead(lap_duration) OVER w - lap_duration, 6) AS gap_to_behind, lead(n.driver_number) OVER w AS car_behind_driver,
+  round(lead(lap_duration) OVER w - lap_duration + 1e-9, 6) AS gap_to_behind, lead(n.driver_number) OVER w AS car_behind_driver,
   lag(n.driver_number) OVER w IS NOT NULL AS has_car_ahead, lag(n.driver_number) OVER w AS car_ahead_driver, meeting_name
 FROM near n LEFT JOIN stints s ON n.session_key = s.session_key AND n.driver_number = s.driver_number
   AND n.lap_number BETWEEN s.lap_start AND s.lap_end

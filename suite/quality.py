@@ -24,7 +24,7 @@ def null_counts(t):
 
 
 @query("completeness_table", f"""
-SELECT count(*) AS total_records, round(1 - ({" + ".join(f"count(*) - count({c})" for c in CHECKED)}) / (count(*) * {len(CHECKED)}), 6)
+SELECT count(*) AS total_records, round(1 - ({" + ".join(f"count(*) - count({c})" for c in CHECKED)}) / (count(*) * {len(CHECKED)}) + 1e-9, 6)
   AS completeness_score FROM laps""")
 def completeness_table(t):
     return rounded(quality.completeness(t["laps"].select(*CHECKED)))
@@ -70,9 +70,9 @@ def quality_tier(t):
 
 
 @query("freshness_outliers", """
-SELECT latest_data_timestamp, round(epoch(TIMESTAMP '2025-01-01' - latest_data_timestamp) / 3600.0, 6) AS data_freshness_hours,
-  outlier_count, round(outlier_count / total_records, 6) AS anomaly_score, total_records, duplicate_records,
-  CAST(0 AS BIGINT) AS constraint_violations, round(completeness, 6) AS completeness_score
+SELECT latest_data_timestamp, round(epoch(TIMESTAMP '2025-01-01' - latest_data_timestamp) / 3600.0 + 1e-9, 6) AS data_freshness_hours,
+  outlier_count, round(outlier_count / total_records + 1e-9, 6) AS anomaly_score, total_records, duplicate_records,
+  CAST(0 AS BIGINT) AS constraint_violations, round(completeness + 1e-9, 6) AS completeness_score
 FROM (SELECT max(date) AS latest_data_timestamp, count(*) AS total_records,
     count(*) FILTER (abs(speed - m) > 3 * s) AS outlier_count, 1 - (count(*) - count(speed)) / (count(*) * 6) AS completeness,
     count(*) - count(DISTINCT (session_key, driver_number, date)) AS duplicate_records

@@ -42,7 +42,7 @@ def default(t):
     return [F.coalesce("lap_time", F.lit(0.0)).alias("lap_time_or_zero")]
 
 
-@lap_query("scalar_null_guard", "round(i2_speed - i1_speed, 6) AS gain")
+@lap_query("scalar_null_guard", "round(i2_speed - i1_speed + 1e-9, 6) AS gain")
 def null_guard(t):
     return [F.round(F.col("i2_speed") - F.col("i1_speed"), 6).alias("gain")]
 
@@ -53,27 +53,27 @@ def epoch_delta(t):
     return [scalars.abs_seconds("date_start", F.lit("2020-06-01 12:00:30").cast("timestamp")).alias("seconds_apart")]
 
 
-@lap_query("scalar_round_ratio", "round(i1_speed / st_speed * 100, 6) AS ratio_pct, round(lap_duration, 3) AS seconds")
+@lap_query("scalar_round_ratio", "round(i1_speed / st_speed * 100 + 1e-9, 6) AS ratio_pct, round(lap_duration, 3) AS seconds")
 def round_ratio(t):
-    return [F.round(scalars.ratio("i1_speed", "st_speed") * 100, 6).alias("ratio_pct"), F.round("lap_duration", 3).alias("seconds")]
+    return [F.round(scalars.ratio("i1_speed", "st_speed") * 100 + 1e-9, 6).alias("ratio_pct"), F.round("lap_duration", 3).alias("seconds")]
 
 
 @query("scalar_pct", """
 SELECT session_key, driver_number, round(coalesce(count(*) FILTER (brake > 0 AND throttle > 90) * 100.0
-  / nullif(count(*) FILTER (brake > 0), 0), 0), 6) AS share FROM car_data GROUP BY ALL""")
+  / nullif(count(*) FILTER (brake > 0), 0), 0) + 1e-9, 6) AS share FROM car_data GROUP BY ALL""")
 def pct(t):
     braking = F.col("brake") > 0
     per = t["car_data"].groupBy("session_key", "driver_number").agg(
         F.count_if(braking & (F.col("throttle") > 90)).alias("part"), F.count_if(braking).alias("whole"))
-    return per.select("session_key", "driver_number", F.round(scalars.pct("part", "whole"), 6).alias("share"))
+    return per.select("session_key", "driver_number", F.round(scalars.pct("part", "whole") + 1e-9, 6).alias("share"))
 
 
 @query("scalar_cast_double", """
-SELECT session_key, round(avg(CAST(lap_number AS DOUBLE)), 6) AS mean_lap, max(CAST(driver_number AS DOUBLE)) AS top
+SELECT session_key, round(avg(CAST(lap_number AS DOUBLE)) + 1e-9, 6) AS mean_lap, max(CAST(driver_number AS DOUBLE)) AS top
 FROM laps GROUP BY session_key""")
 def cast_double(t):
     return t["laps"].groupBy("session_key").agg(
-        F.round(F.avg(F.col("lap_number").cast("double")), 6).alias("mean_lap"), F.max(F.col("driver_number").cast("double")).alias("top"))
+        F.round(F.avg(F.col("lap_number").cast("double")) + 1e-9, 6).alias("mean_lap"), F.max(F.col("driver_number").cast("double")).alias("top"))
 
 
 @lap_query("scalar_typed_cast", """

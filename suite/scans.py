@@ -96,7 +96,7 @@ def sink_processed(t):
 
 @query("sink_hive_partitioned", """
 SELECT CAST(year(date) AS INT) AS year, CAST(month(date) AS INT) AS month, CAST(day(date) AS INT) AS day,
-  count(*) AS n, round(sum(pit_duration), 6) AS total_pit
+  count(*) AS n, round(sum(pit_duration) + 1e-9, 6) AS total_pit
 FROM pit GROUP BY ALL""")
 def sink_hive_partitioned(t):
     path = work_dir(t.spark, "hive")

@@ -84,7 +84,7 @@ def stream_telemetry_window(t):
 
 
 @query("stream_incremental_endpoint", """
-SELECT session_key, driver_number, count(*) AS n, round(sum(pit_duration), 6) AS total FROM pit GROUP BY ALL""")
+SELECT session_key, driver_number, count(*) AS n, round(sum(pit_duration) + 1e-9, 6) AS total FROM pit GROUP BY ALL""")
 def stream_incremental_endpoint(t):
     root, out = work_dir(t.spark, "landed"), work_dir(t.spark, "pit")
     years = t["sessions"].select("session_key", F.col("year").cast("int").alias("year"))

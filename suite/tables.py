@@ -20,7 +20,7 @@ def new_database(t, layer="raw"):
 def raw_rows(t, source):
     """Rows of a table with the columns all raw tables carry."""
     years = t["sessions"].select("session_key", "meeting_key", F.col("year").cast("int").alias("year"))
-    rows = t[source] if source in ("sessions", "meetings") else t[source].join(years, "session_key")
+    rows = t[source] if source in ("sessions", "meetings") else t[source].join(years, "session_key", "left")
     return rows.withColumns({"_extracted_at": extracted(), "_endpoint": F.lit(source)})
 
 
@@ -54,7 +54,7 @@ def create_table(t):
 
 
 @query("sink_table", """
-SELECT step, CAST(year AS INT) AS year, count(*) AS n, round(sum(pit_duration), 6) AS total
+SELECT step, CAST(year AS INT) AS year, count(*) AS n, round(sum(pit_duration) + 1e-9, 6) AS total
 FROM (SELECT 'appended twice' AS step, * FROM pit UNION ALL SELECT 'appended twice', * FROM pit
   UNION ALL SELECT 'seasons replaced', * FROM pit UNION ALL SELECT 'replaced', * FROM pit)
 JOIN sessions USING (session_key) WHERE step <> 'replaced' OR year >= 2021 GROUP BY ALL""")

@@ -115,7 +115,7 @@ def best_of_entrants(t):
 
 
 @query("teammate_delta", f"""
-SELECT a.session_key, a.driver_number, round(a.best - avg(b.best), 6) AS pace_vs_teammate FROM {SQL_BEST} a
+SELECT a.session_key, a.driver_number, round(a.best - avg(b.best) + 1e-9, 6) AS pace_vs_teammate FROM {SQL_BEST} a
 LEFT JOIN {SQL_BEST} b ON a.session_key = b.session_key AND a.team_name = b.team_name AND a.driver_number <> b.driver_number
 GROUP BY a.session_key, a.driver_number, a.best""")
 def teammate_delta(t):
@@ -124,7 +124,7 @@ def teammate_delta(t):
 
 
 @query("field_delta", f"""
-SELECT session_key, driver_number, round(best - avg(best) OVER (PARTITION BY session_key), 6) AS pace_vs_field FROM {SQL_BEST}""")
+SELECT session_key, driver_number, round(best - avg(best) OVER (PARTITION BY session_key) + 1e-9, 6) AS pace_vs_field FROM {SQL_BEST}""")
 def field_delta(t):
     rows = windows.field_delta(best_of_entrants(t), ["session_key"], "best", "pace_vs_field")
     return rounded(rows.select(*DRIVER, "pace_vs_field"))
@@ -158,6 +158,6 @@ def speed_ranks(t):
 
 
 @query("consistency", """
-SELECT session_key, driver_number, round(stddev_samp(lap_duration), 6) AS consistency_score FROM laps GROUP BY ALL""")
+SELECT session_key, driver_number, round(stddev_samp(lap_duration) + 1e-9, 6) AS consistency_score FROM laps GROUP BY ALL""")
 def consistency(t):
     return rounded(features.consistency(t["laps"]))
