@@ -57,16 +57,13 @@ def freshness(df: DataFrame, ts: str, as_of: Column) -> DataFrame:
 def outliers(df: DataFrame, col: str, group: Sequence[str] = ()) -> DataFrame:
     """Rows whose value lies beyond 3 sample standard deviations from the mean of its group."""
     spread = F.stddev_samp(col) * SIGMAS
-    keys = {f"_k{i}": F.col(g) for i, g in enumerate(group)} or {"_k0": F.lit(0)}
-    stats = df.groupBy(*[k.alias("_g" + n) for n, k in keys.items()]).agg(
-        (F.avg(col) - spread).alias("_lo"), (F.avg(col) + spread).alias("_hi")
-    )
+    bounds = [(F.avg(col) - spread).alias("_lo"), (F.avg(col) + spread).alias("_hi")]
     if not group:
-        stats = F.broadcast(stats)  # exactly one row
-    keyed = df.withColumns(keys)
-    on = [F.col(n).eqNullSafe(F.col("_g" + n)) for n in keys]
-    far = (F.col(col) < F.col("_lo")) | (F.col(col) > F.col("_hi"))
-    return keyed.join(stats, on).where(far).select(*df.columns)
+        whole = df.agg(*bounds)
+        return df.where((F.col(col) < whole.select("_lo").scalar()) | (F.col(col) > whole.select("_hi").scalar()))
+    stats = df.groupBy(*group).agg(*bounds).select(*[F.col(g).alias(f"_g_{g}") for g in group], "_lo", "_hi")
+    joined = df.join(stats, [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in group])
+    return joined.where((F.col(col) < F.col("_lo")) | (F.col(col) > F.col("_hi"))).select(*df.columns)
 
 
 def validation_report(df: DataFrame, keys: Sequence[str], rules: Column) -> DataFrame:

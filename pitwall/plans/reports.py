@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from pitwall.functions.scalars import points, ratio
+from pitwall.functions.scalars import epoch_seconds, points, ratio
 from pitwall.operators.joins import first_match, star
 from pitwall.operators.windows import running_total
 from pitwall.plans.performance import telemetry
@@ -142,26 +142,32 @@ def constructor_standings(results: DataFrame) -> DataFrame:
 def telemetry_by_lap(t: Mapping[str, DataFrame]) -> DataFrame:
     """Telemetry aggregates of each driver's laps.
 
-    Samples carry no lap number.  Each belongs to the driver's latest lap started by then;
-    laps and samples are merged by time and the lap number carried forward.  Lap numbers
-    rise with time, so carrying forward is a running maximum, taken in two steps: within a
-    minute, and over the minutes before.
+    Samples carry no lap number: each belongs to the driver's latest lap started by then.
+    A lap lasts until the driver's next start, the last one until the driver's last sample;
+    these spans do not overlap, so a sample joins at most one.  The minute is part of the
+    join key, which spreads a driver with very many samples over many tasks.
     """
-    starts = t["laps"].where(F.col("date_start").isNotNull()).select(
-        *DRIVER, F.col("date_start").alias("date"), F.struct(F.col("date_start").alias("d"), "lap_number").alias("lap"),
-        *[F.lit(None).cast("int").alias(c) for c in ("speed", "throttle", "brake")], F.lit(0).alias("_kind"),
+    samples = t["car_data"].where(F.col("speed").isNotNull()).withColumn("_m", _minute("date"))
+    ends = samples.groupBy(*DRIVER).agg(F.max("_m").alias("_end"))
+    by_start = W.partitionBy(*DRIVER).orderBy("date_start", "lap_number")
+    laps = t["laps"].where(F.col("date_start").isNotNull()).select(
+        *DRIVER, "lap_number", "date_start", F.lead("date_start").over(by_start).alias("_next")
+    ).join(ends, DRIVER)
+    first = _minute("date_start")
+    last = F.greatest(first, F.coalesce(_minute("_next"), "_end"))
+    spans = laps.select(
+        *[F.col(c).alias(f"_l_{c}") for c in DRIVER], "lap_number", "date_start", "_next",
+        F.explode(F.sequence(first, last)).alias("_l_m"),
     )
-    samples = t["car_data"].where(F.col("speed").isNotNull())
-    rows = starts.unionByName(samples.select(*DRIVER, "date", "speed", "throttle", "brake", F.lit(1).alias("_kind")), True)
-    rows = rows.withColumn("_minute", F.date_trunc("minute", "date"))
-    before = W.partitionBy(*DRIVER).orderBy("_minute").rowsBetween(W.unboundedPreceding, -1)
-    minutes = rows.groupBy(*DRIVER, "_minute").agg(F.max("lap").alias("_m")).select(
-        *DRIVER, "_minute", F.max("_m").over(before).alias("_earlier")
-    )
-    within = W.partitionBy(*DRIVER, "_minute").orderBy("date", "_kind").rowsBetween(W.unboundedPreceding, W.currentRow)
-    placed = rows.withColumn("_here", F.max("lap").over(within)).join(minutes, [*DRIVER, "_minute"])
-    placed = placed.where("_kind = 1").withColumn("lap_number", F.coalesce("_here", "_earlier")["lap_number"])
-    return telemetry(placed, (*DRIVER, "lap_number"))
+    on = [
+        *[F.col(c) == F.col(f"_l_{c}") for c in DRIVER], F.col("_m") == F.col("_l_m"),
+        F.col("date") >= F.col("date_start"), F.col("_next").isNull() | (F.col("date") < F.col("_next")),
+    ]
+    return telemetry(samples.join(spans, on, "left"), (*DRIVER, "lap_number"))
+
+
+def _minute(ts: str) -> Column:
+    return F.floor(epoch_seconds(ts) / 60)
 
 
 def meeting_stats(meetings: DataFrame) -> DataFrame:

@@ -60,10 +60,12 @@ def write_clustered(df: DataFrame, path: str, partition_by: Sequence[str], clust
     """Save with rows ordered by ``cluster_by`` across and within files.
 
     Range partitions keep each file to a narrow span of keys, so the Parquet min/max
-    values let a keyed read skip most files and row groups.
+    values let a keyed read skip most files and row groups.  A hash of the row comes last
+    in the range, so that the rows of one very common key can still be split.
     """
     spread = [*partition_by, *cluster_by]
-    ranged = df.repartitionByRange(files, *spread) if files else df.repartitionByRange(*spread)
+    ranges = [*[F.col(c) for c in spread], F.xxhash64(*df.columns)]
+    ranged = df.repartitionByRange(files, *ranges) if files else df.repartitionByRange(*ranges)
     writer = ranged.sortWithinPartitions(*spread).write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
