@@ -10,6 +10,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitwall.catalog import TABLES
 from pitwall.operators.clean import PROCESSED, dedup, process, valid_laps, valid_meetings
@@ -22,6 +23,13 @@ from pitwall.sources.tables import save_table
 from pitwall.sources.writers import write_partitioned
 
 
+def _as_text(endpoint: str, fmt: str) -> T.StructType | None:
+    """Text formats are read as text: inferring types would take a pass over all the data."""
+    if fmt == "parquet" or endpoint not in PROCESSED:
+        return None
+    return T.StructType([T.StructField(c, T.StringType()) for c in PROCESSED[endpoint][0]])
+
+
 def raw_job(spark: SparkSession, landed: str, processed: str, endpoints: Sequence[str] = tuple(PROCESSED),
             years: Sequence[int] | None = None, fmt: str = "json", multi_line: bool = False,
             processed_at: Column | None = None) -> DataFrame:
@@ -32,7 +40,7 @@ def raw_job(spark: SparkSession, landed: str, processed: str, endpoints: Sequenc
     done = spark.createDataFrame([], "endpoint string, year int, records_processed bigint, status string")
     for endpoint in endpoints:
         try:
-            raw = scan_raw(spark, landed, endpoint, years, fmt=fmt, multi_line=multi_line)
+            raw = scan_raw(spark, landed, endpoint, years, _as_text(endpoint, fmt), fmt, multi_line)
             out = f"{processed}/{endpoint}"
             write_partitioned(process(raw, endpoint, processed_at, keep=["year"]), out, ["year"])
             rows = spark.read.parquet(out)

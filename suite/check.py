@@ -30,6 +30,11 @@ def duck(folder: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+# Spark type names and what DuckDB calls the same type.
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+         "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
 def norm(v):
     if isinstance(v, bool) or v is None or isinstance(v, str):
         return v
@@ -62,6 +67,10 @@ def compare(spark, con, fn, sql, folder) -> str | None:
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} against {sorted(names)}"
     want = rows_of(names, rel.fetchall())
+    kinds = {row[0]: row[1] for row in con.execute(f"DESCRIBE {sql}").fetchall()}
+    other = [(f.name, f.dataType.simpleString(), kinds[f.name]) for f in df.schema if TYPES.get(f.dataType.simpleString()) != kinds[f.name]]
+    if other:
+        return f"types {other}"
     if got == want:
         return None
     only, missing = list((got - want).items())[:3], list((want - got).items())[:3]
