@@ -64,45 +64,61 @@ def interval_join(
 
 
 def nearest_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], left_id: Sequence[str],
-    lt: str, rt: str, seconds: int, tie: Sequence[str | Column] = (), bucket: int | None = None,
+    left: DataFrame, right: DataFrame, keys: Sequence[str], lt: str, rt: str, seconds: int,
+    tie: Sequence[str | Column] = (), bucket: int | None = None,
 ) -> DataFrame:
-    """For each left row the right row nearest in time, closer than ``seconds``; else none.
-
-    ``left_id`` names the columns that, with ``keys``, identify a left row.  The nearest
-    row is found by whole-second distance, then the earlier time, then ``tie``.  Right rows
-    of one key and second are thinned to their first beforehand, since all of them are
-    equally far from any left row: a left row then meets at most ``2 * seconds - 1``
-    candidates however dense the right side is.
+    """Left rows with the right row nearest in time, if one is closer than ``seconds``.
+
+    Nearest means by whole-second distance, then the earlier time, then ``tie``.  So the
+    answer depends on the key and the second alone: left rows are reduced to their distinct
+    seconds and right rows to the first of each second, both before the shuffle.  The last
+    right row before a second and the first one after it are then carried along the time
+    order within a bucket, which holds no more rows than it has seconds, and the winner is
+    joined back to the left rows.
     """
     width = bucket or 8 * seconds
-    right = right.withColumn("_sec", epoch_seconds(rt))
-    right = first_match(right, [*keys, "_sec"], [F.col(rt), *tie]).drop("_sec")
-    left, right = _bucketed(left, right, lt, rt, seconds, width)
-    gap = F.abs(F.col("_ls") - F.col("_rs"))
-    pairs = left.join(right, [*keys, "_b"]).where(gap < seconds)
-    return first_match(pairs, [*keys, "_b", *left_id], [gap, F.col(rt), *tie]).drop("_ls", "_rs", "_b")
+    reach = seconds - 1
+    first = first_match(right.withColumn("_sec", epoch_seconds(rt)), [*keys, "_sec"], [F.col(rt), *tie])
+    lo, hi = F.floor((F.col("_sec") - reach) / width), F.floor((F.col("_sec") + reach) / width)
+    rights = first.select(
+        *keys, "_sec", F.struct(*[c for c in right.columns if c not in keys]).alias("_right"),
+        F.explode(F.sequence(lo, hi)).alias("_b"),
+    )
+    timed = left.withColumn("_sec", epoch_seconds(lt))
+    lefts = timed.select(*keys, "_sec").distinct().withColumn("_b", F.floor(F.col("_sec") / width))
+    rows = lefts.unionByName(rights, allowMissingColumns=True)
+
+    is_left = F.col("_right").isNull()
+    seen = F.last(F.when(~is_left, F.struct("_sec", "_right")), ignorenulls=True)
+    span = W.partitionBy(*keys, "_b")
+    up = span.orderBy("_sec", is_left).rowsBetween(W.unboundedPreceding, W.currentRow)
+    down = span.orderBy(F.desc("_sec"), is_left).rowsBetween(W.unboundedPreceding, W.currentRow)
+    both = rows.withColumns({"_before": seen.over(up), "_after": seen.over(down)}).where(is_left)
+    back, ahead = F.col("_sec") - F.col("_before._sec"), F.col("_after._sec") - F.col("_sec")
+    take_after = F.col("_after").isNotNull() & (F.col("_before").isNull() | (ahead < back))
+    hits = both.select(
+        *keys, "_sec", F.when(take_after, F.col("_after")).otherwise(F.col("_before")).alias("_hit")
+    ).where(F.abs(F.col("_hit._sec") - F.col("_sec")) < seconds)
+    return timed.join(hits.select(*keys, "_sec", "_hit._right.*"), [*keys, "_sec"]).drop("_sec")
 
 
 def range_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], left_id: Sequence[str],
-    point: str, lo: str, hi: str, first_by: Sequence[str | Column], bucket: int = 16,
+    left: DataFrame, right: DataFrame, keys: Sequence[str], point: str, lo: str, hi: str,
+    first_by: Sequence[str | Column], bucket: int = 16,
 ) -> DataFrame:
     """Left rows with the first right row whose ``[lo, hi]`` holds ``point``; nulls if none.
 
-    Ranges are copied to the buckets they cross, so a left row meets only the ranges near
-    its point.
+    The answer depends on the key and the point alone, so it is found once per distinct
+    point and joined back.  Ranges are copied to the buckets they cross, so a point meets
+    only the ranges near it.
     """
     spans = F.sequence(F.floor(F.col(lo) / bucket), F.floor(F.col(hi) / bucket))
-    rows = left.withColumn("_b", F.floor(F.col(point) / bucket))
+    points = left.where(F.col(point).isNotNull()).select(*keys, point).distinct()
+    points = points.withColumn("_b", F.floor(F.col(point) / bucket))
     ranges = right.where(F.col(lo) <= F.col(hi)).withColumn("_b", F.explode(spans))
-    on = [*keys, "_b"]
-    # Own names for the right keys: both sides may stem from one table.
-    ranges = ranges.select(*[F.col(k).alias(f"_r_{k}") for k in on], *[c for c in right.columns if c not in keys])
-    inside = F.col(point).between(F.col(lo), F.col(hi))
-    matched = rows.join(ranges, [F.col(k) == F.col(f"_r_{k}") for k in on] + [inside], "left")
-    matched = matched.drop(*[f"_r_{k}" for k in on])
-    return first_match(matched, [*on, *left_id], first_by).drop("_b")
+    pairs = points.join(ranges, [*keys, "_b"]).where(F.col(point).between(F.col(lo), F.col(hi)))
+    hits = first_match(pairs, [*keys, "_b", point], first_by).drop("_b")
+    return left.join(hits, [*keys, point], "left")
 
 
 def orphans(df: DataFrame, parent: DataFrame, key: str | Sequence[str]) -> DataFrame:

@@ -157,13 +157,13 @@ def laps_with_position(t: Mapping[str, DataFrame], literal: bool = False) -> Dat
     samples = t["position"].join(races, "session_key", "left_semi").select(*DRIVER, "date", "position")
     if literal:
         return interval_join(laps, samples, DRIVER, "date_start", "date", POSITION_SECONDS)
-    return nearest_join(laps, samples, DRIVER, ["lap_number"], "date_start", "date", POSITION_SECONDS, ["position"])
+    return nearest_join(laps, samples, DRIVER, "date_start", "date", POSITION_SECONDS, ["position"])
 
 
-def laps_with_tyre_age(laps: DataFrame, stints: DataFrame, left_id: list[str]) -> DataFrame:
+def laps_with_tyre_age(laps: DataFrame, stints: DataFrame) -> DataFrame:
     """Laps with the age of the tyres; null outside the driver's stints."""
     known = stints.select(*DRIVER, "lap_start", "lap_end", "tyre_age_at_start")
-    joined = range_join(laps, known, DRIVER, left_id, "lap_number", "lap_start", "lap_end",
+    joined = range_join(laps, known, DRIVER, "lap_number", "lap_start", "lap_end",
                         [F.asc_nulls_last("lap_start"), F.asc_nulls_last("lap_end"), F.asc_nulls_last("tyre_age_at_start")])
     age = tyre_age("tyre_age_at_start", "lap_number", "lap_start")
     return joined.withColumn("tire_age", age).drop("lap_start", "lap_end", "tyre_age_at_start")
@@ -174,7 +174,7 @@ def car_behind(t: Mapping[str, DataFrame], literal: bool = False) -> DataFrame:
     placed = laps_with_position(t, literal)
     around = neighbours(placed, ["session_key", "lap_number"], ["position", "driver_number", "date"],
                         {"lap_duration": "lap", "driver_number": "driver"})
-    aged = laps_with_tyre_age(around, t["stints"], ["lap_number", "date", "position"])
+    aged = laps_with_tyre_age(around, t["stints"])
     meetings = t["sessions"].select("session_key", "meeting_key").join(t["meetings"].select("meeting_key", "meeting_name"), "meeting_key")
     return aged.join(meetings.select("session_key", "meeting_name"), "session_key").select(
         *LAP, "position", F.col("lap_duration").alias("lap_time"), "tire_age",

@@ -15,7 +15,6 @@ from pyspark.sql import Window as W
 
 from pitwall.functions.scalars import epoch_seconds, points, ratio
 from pitwall.operators.joins import first_match, star
-from pitwall.operators.windows import running_total
 from pitwall.plans.performance import telemetry
 from pitwall.plans.results import DRIVER, standings
 from pitwall.plans.sessions import RACE
@@ -206,9 +205,3 @@ def summary_report(t: Mapping[str, DataFrame], tables: tuple[str, ...]) -> DataF
     for c in counts[1:]:
         union = union.unionByName(c)
     return union.agg(*[F.max(F.when(F.col("name") == n, F.col("n"))).alias(f"{n}_count") for n in tables])
-
-
-def cumulative_lap_time(laps: DataFrame) -> DataFrame:
-    """Time spent on timed laps so far in a session, lap by lap."""
-    timed = laps.where(F.col("lap_duration").isNotNull())
-    return running_total(timed, DRIVER, ["lap_number"], "lap_duration", "time_so_far")

@@ -92,7 +92,7 @@ SQL_NEAREST = """(SELECT * FROM (SELECT l.session_key, l.driver_number, l.lap_nu
 def asof_nearest(t):
     laps = t["laps"].where("lap_duration IS NOT NULL").select(*DRIVER, "lap_number", "date_start")
     samples = t["position"].select(*DRIVER, "date", "position")
-    near = joins.nearest_join(laps, samples, DRIVER, ["lap_number"], "date_start", "date", 30, ["position"])
+    near = joins.nearest_join(laps, samples, DRIVER, "date_start", "date", 30, ["position"])
     return near.select(*DRIVER, "lap_number", "date", "position")
 
 
@@ -106,7 +106,7 @@ def range_join_stints(t):
     laps = t["laps"].select(*DRIVER, "lap_number")
     stints = t["stints"].where("driver_number <> 3").select(  # a driver without stints keeps their laps
         *DRIVER, "lap_start", "lap_end", F.col("compound"), "tyre_age_at_start")
-    rows = joins.range_join(laps, stints, DRIVER, ["lap_number"], "lap_number", "lap_start", "lap_end",
+    rows = joins.range_join(laps, stints, DRIVER, "lap_number", "lap_start", "lap_end",
                             [F.asc_nulls_last("lap_start")])
     return rows.select(*DRIVER, "lap_number", "compound",
                        (F.col("tyre_age_at_start") + F.col("lap_number") - F.col("lap_start")).alias("tire_age"))

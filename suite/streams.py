@@ -51,7 +51,7 @@ SELECT user_id, event_type, arg_max(event_id, (ts, event_id)) AS event_id, max(t
 def stream_upsert(t):
     path, schema = landed_events(t, "parquet")
     out, keys = work_dir(t.spark, "current"), ["user_id", "event_type"]
-    # The newest of a batch and what is stored wins, so the order of files does not matter.
+    # Within a micro-batch the newest row of a key counts; a later batch replaces an earlier one.
     rows = streams.read_stream(t.spark, path, schema).select("user_id", "event_type", "event_id", "ts")
     streams.stream_upsert(rows, out, keys, [F.desc("ts"), F.desc("event_id")], work_dir(t.spark, "ckpt")).awaitTermination()
     return t.spark.read.parquet(out).withColumn("ts", F.col("ts").cast("timestamp_ntz"))

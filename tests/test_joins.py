@@ -47,7 +47,7 @@ def test_interval_join_equals_brute_force(spark, seed, bucket):
 def test_nearest_join_equals_brute_force(spark, seed):
     laps, samples = random_case(seed, span=4000)
     l_df, s_df = laps_and_samples(spark, laps, samples)
-    got = rows(joins.nearest_join(l_df, s_df, ["k"], ["lap"], "lt", "rt", 30, ["position"]), "k", "lap", "rt", "position")
+    got = rows(joins.nearest_join(l_df, s_df, ["k"], "lt", "rt", 30, ["position"]), "k", "lap", "rt", "position")
     want = []
     for k, i, lt in laps:
         near = [(abs(whole(lt) - whole(rt)), rt, p) for k2, rt, p in samples if k == k2 and abs(whole(lt) - whole(rt)) < 30]
@@ -80,7 +80,7 @@ def test_range_join_equals_brute_force(spark, points, spans):
     ranges = [(k, lo, lo + n, i) for i, (k, lo, n) in enumerate(spans)]
     left = spark.createDataFrame(points, "k int, lap int")
     right = spark.createDataFrame(ranges, "k int, lo int, hi int, id int")
-    got = rows(joins.range_join(left, right, ["k"], ["lap"], "lap", "lo", "hi", ["lo", "id"]), "k", "lap", "id")
+    got = rows(joins.range_join(left, right, ["k"], "lap", "lo", "hi", ["lo", "id"]), "k", "lap", "id")
     want = []
     for k, lap in points:
         hit = sorted((lo, i) for k2, lo, hi, i in ranges if k == k2 and lo <= lap <= hi)
@@ -91,14 +91,14 @@ def test_range_join_equals_brute_force(spark, points, spans):
 def test_range_join_of_tables_with_one_origin(spark):
     laps = spark.createDataFrame([(1, 4, 1), (1, 4, 50), (1, 5, 1)], "s int, d int, lap int")
     stints = laps.where("d = 4").select("s", "d").distinct().selectExpr("s", "d", "1 AS lo", "20 AS hi")
-    got = rows(joins.range_join(laps, stints, ["s", "d"], ["lap"], "lap", "lo", "hi", ["lo"]), "s", "d", "lap", "lo")
+    got = rows(joins.range_join(laps, stints, ["s", "d"], "lap", "lo", "hi", ["lo"]), "s", "d", "lap", "lo")
     assert got == sorted([(1, 4, 1, 1), (1, 4, 50, None), (1, 5, 1, None)], key=repr)
 
 
 def test_lap_on_a_stint_border_takes_the_earlier_stint(spark):
     left = spark.createDataFrame([(1, 10)], "k int, lap int")
     right = spark.createDataFrame([(1, 10, 20, "later"), (1, 1, 10, "earlier")], "k int, lo int, hi int, name string")
-    assert rows(joins.range_join(left, right, ["k"], ["lap"], "lap", "lo", "hi", ["lo"]), "name") == [("earlier",)]
+    assert rows(joins.range_join(left, right, ["k"], "lap", "lo", "hi", ["lo"]), "name") == [("earlier",)]
 
 
 def test_first_match_is_thinned_before_the_shuffle(spark):
