@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+from pitwall.llm.decontaminate import op5_suffix_arrays
+from pitwall.llm.language import op8_zstd_dictionaries
 from pitwall.llm.lines import OP4_SQL, op4_site_lines
+from pitwall.llm.minhash import op3_minhash_lsh
 from pitwall.llm.sharding import op9_external_shuffle
+from pitwall.llm.warc import OP6_SQL, op6_revisits
 
 QUERIES = {
+    "op3_minhash_lsh": op3_minhash_lsh,
     "op4_site_lines": op4_site_lines,
+    "op5_suffix_arrays": op5_suffix_arrays,
+    "op6_revisits": op6_revisits,
+    "op8_zstd_dictionaries": op8_zstd_dictionaries,
     "op9_external_shuffle": op9_external_shuffle,
 }
 
 SQL = {
     "op4_site_lines": OP4_SQL,
+    "op6_revisits": OP6_SQL,
 }
