@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 SAMPLE_DOCS = 128
 SAMPLE_BYTES = 8192
 DICTIONARY_BYTES = 112 << 10
-LEVEL = 3
-MIN_MARGIN = 0.01
+LEVEL = 9
+MIN_MARGIN = 0.004
 
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
@@ -39,7 +39,7 @@ def dictionaries(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_byt
     out: dict[str, bytes] = {}
     for lang, _, text in sorted(sample):
         held = out.setdefault(lang, b"")
-        if len(more := text.encode() + b"\n") + len(held) <= dictionary_bytes:
+        if len(more := text.lower().encode() + b"\n") + len(held) <= dictionary_bytes:
             out[lang] = more + held
     return out
 
@@ -61,7 +61,7 @@ def _classifier(learned: dict[str, bytes]):
                     preds.append(UNKNOWN)
                     scores.append(0.0)
                     continue
-                raw = text.encode("utf-8", "surrogatepass")
+                raw = text.lower().encode()
                 sizes = np.array([len(c.compress(raw)) for c in coders])
                 best = int(sizes.argmin())
                 second = np.delete(sizes, best).min(initial=1 << 62)
@@ -76,7 +76,8 @@ def _classifier(learned: dict[str, bytes]):
 def identify(docs: DataFrame, learned: dict[str, bytes], min_margin: float = MIN_MARGIN) -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` and ``rejected``; input columns of these names are replaced.
 
-    A whole text is compressed with the dictionary of each language; the smallest result wins, ties go to the first name.
+    A whole text, in lower case as the dictionaries are, is compressed with the dictionary of each language; the smallest
+    result wins, ties go to the first name.
     ``score`` is by how much of the second smallest size the smallest is smaller (1 with a single language). ``rejected`` tells
     that the score is under ``min_margin``. A null text, a text without a letter and anything when nothing was learned get
     ``und``, score 0, and are rejected. No other column has a say. Rows are answered one by one; there is no shuffle.

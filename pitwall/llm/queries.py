@@ -6,7 +6,9 @@ from pitwall.llm.decontaminate import op5_suffix_arrays
 from pitwall.llm.language import op8_zstd_dictionaries
 from pitwall.llm.lines import OP4_SQL, op4_site_lines
 from pitwall.llm.minhash import op3_minhash_lsh
+from pitwall.llm.pieces import op7_pieces
 from pitwall.llm.sharding import op9_external_shuffle
+from pitwall.llm.suffixes import op10_front_coded_merge
 from pitwall.llm.warc import OP6_SQL, op6_revisits
 
 QUERIES = {
@@ -14,8 +16,10 @@ QUERIES = {
     "op4_site_lines": op4_site_lines,
     "op5_suffix_arrays": op5_suffix_arrays,
     "op6_revisits": op6_revisits,
+    "op7_pieces": op7_pieces,
     "op8_zstd_dictionaries": op8_zstd_dictionaries,
     "op9_external_shuffle": op9_external_shuffle,
+    "op10_front_coded_merge": op10_front_coded_merge,
 }
 
 SQL = {
