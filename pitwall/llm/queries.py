@@ -7,11 +7,13 @@ from pitwall.llm.language import op8_zstd_dictionaries
 from pitwall.llm.lines import OP4_SQL, op4_site_lines
 from pitwall.llm.minhash import op3_minhash_lsh
 from pitwall.llm.pieces import op7_pieces
+from pitwall.llm.quality import op1_kneser_ney
 from pitwall.llm.sharding import op9_external_shuffle
 from pitwall.llm.suffixes import op10_front_coded_merge
 from pitwall.llm.warc import OP6_SQL, op6_revisits
 
 QUERIES = {
+    "op1_kneser_ney": op1_kneser_ney,
     "op3_minhash_lsh": op3_minhash_lsh,
     "op4_site_lines": op4_site_lines,
     "op5_suffix_arrays": op5_suffix_arrays,
