@@ -6,6 +6,7 @@ from pitwall.llm.decontaminate import op5_suffix_arrays
 from pitwall.llm.language import op8_zstd_dictionaries
 from pitwall.llm.lines import OP4_SQL, op4_site_lines
 from pitwall.llm.minhash import op3_minhash_lsh
+from pitwall.llm.neighbours import op2_hnsw
 from pitwall.llm.pieces import op7_pieces
 from pitwall.llm.quality import op1_kneser_ney
 from pitwall.llm.sharding import op9_external_shuffle
@@ -14,6 +15,7 @@ from pitwall.llm.warc import OP6_SQL, op6_revisits
 
 QUERIES = {
     "op1_kneser_ney": op1_kneser_ney,
+    "op2_hnsw": op2_hnsw,
     "op3_minhash_lsh": op3_minhash_lsh,
     "op4_site_lines": op4_site_lines,
     "op5_suffix_arrays": op5_suffix_arrays,
