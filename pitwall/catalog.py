@@ -43,7 +43,7 @@ _RAW = {
 }
 
 _ANALYTICS = {
-    "grand_prix_results": ("result_id", "result_id text!; date ts!; year int!; grand_prix text!; circuit_name text!; "
+    "grand_prix_results": ("result_id", "result_id text!; session_key key!; date ts!; year int!; race_round int!; grand_prix text!; circuit_name text!; "
                            "driver_number int!; driver_name text!; driver_acronym text!; team_name text!; "
                            "starting_grid_position int; final_position int; points real!=0; fastest_lap real; "
                            "total_time_penalty real!=0; total_season_points real!=0; drivers_championship_ranking int; "

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from pitwall.operators.joins import first_match
-from pitwall.session import work_dir
-from pitwall.sources.readers import path_exists
+from pitwall.session import stage
+from pitwall.sources.swap import has_data, replace
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column],
@@ -37,35 +37,67 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], order_by:
 
 def upsert_path(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str],
                 order_by: Sequence[str | Column], partition_by: Sequence[str] = (),
-                update_cols: Sequence[str] | None = None) -> None:
-    """Upsert a batch into a Parquet table, rewriting only the partitions it touches.
+                update_cols: Sequence[str] | None = None, ranked: bool = False) -> None:
+    """Upsert a batch into a Parquet table, reading and rewriting only the partitions it touches.
 
-    Partition columns must be keys, so that a row never changes partition.  The rewritten
-    partitions are swapped in when the write commits; until then readers and retried tasks
-    see the old files.  An unpartitioned table is written next to itself first.
+    Partition columns must be keys, so that a row never changes partition.  The batch is
+    saved first, as it is read several times.  The values of its partitions are fetched (no
+    more than the table has partitions or the batch adds) and become literals in the
+    filter on the table, so other partitions are not even listed by the scan.  The rewritten
+    partitions replace the old ones by ``swap``: after a failure at any point, run the same
+    batch again.
+
+    With ``ranked`` the stored row of a key takes part in ``order_by``: the result is then
+    the same however rows are dealt out over batches.
     """
     keys, parts = list(keys), list(partition_by)
     if not set(parts) <= set(keys):
         raise ValueError("partition columns must be part of the key")
-    if not path_exists(spark, path):
-        fresh = first_match(updates, keys, order_by)
-        _write(fresh, path, parts)
+    if ranked and update_cols is not None:
+        raise ValueError("a ranked upsert replaces whole rows")
+    if not has_data(spark, path):
+        replace(_balanced(first_match(updates, keys, order_by), parts), path, parts)
         return
     stored = spark.read.parquet(path).schema
     columns, kinds = stored.names, {f.name: f for f in updates.schema}
+    batch = stage(updates.select(*columns), "batch")
     schema = StructType([kinds.get(f.name, f) for f in stored])
     target = spark.read.schema(schema).parquet(path)  # partition values typed as in the batch
-    if not parts:
-        staged = work_dir(spark, "upsert")
-        upsert(target, updates, keys, order_by, update_cols).write.parquet(staged)
-        spark.read.parquet(staged).write.mode("overwrite").parquet(path)
-        return
-    touched = updates.select(*[F.col(p).alias(f"_t_{p}") for p in parts]).distinct()
-    current = target.join(touched, [F.col(p).eqNullSafe(F.col(f"_t_{p}")) for p in parts], "left_semi")
-    _write(upsert(current, updates.select(*columns), keys, order_by, update_cols), path, parts)
+    if parts:
+        touched = [tuple(r) for r in batch.select(*parts).distinct().collect()]
+        target = target.where(in_partitions(parts, touched))
+    merged = latest(target, batch, keys, order_by) if ranked else upsert(target, batch, keys, order_by, update_cols)
+    replace(_balanced(merged, parts), path, parts)
+
+
+def latest(target: DataFrame, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
+    """The first row per key of stored and new rows together; rows with a null key are all kept once."""
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    both = target.unionByName(batch.select(*target.columns))
+    return first_match(both.where(known), keys, order_by).unionByName(both.where(~known).distinct())
+
+
+def in_partitions(parts: Sequence[str], values: Sequence[tuple]) -> Column:
+    """Rows of the given partitions, as literals that a scan can prune by."""
+
+    def one(column: str, value: object) -> Column:
+        return F.col(column).isNull() if value is None else F.col(column) == F.lit(value)
+
+    if len(parts) == 1:
+        known = [v for (v,) in values if v is not None]
+        column = F.col(parts[0])
+        return column.isin(known) | column.isNull() if len(known) < len(values) else column.isin(known)
+    # By the first column, then the rest below each of its values: one branch a partition.
+    branches: dict[object, list[tuple]] = {}
+    for first, *rest in values:
+        branches.setdefault(first, []).append(tuple(rest))
+    out = F.lit(False)
+    for first, rest in branches.items():
+        out = out | (one(parts[0], first) & in_partitions(parts[1:], rest))
+    return out
 
 
-def _write(df: DataFrame, path: str, parts: list[str]) -> None:
-    writer = df.hint("rebalance", *parts).write if parts else df.write
-    writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    (writer.partitionBy(*parts) if parts else writer).parquet(path)
+def _balanced(df: DataFrame, parts: list[str]) -> DataFrame:
+    return df.hint("rebalance", *parts) if parts else df

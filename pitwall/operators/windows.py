@@ -28,18 +28,22 @@ def running_total(df: DataFrame, part: Sequence[str], order_by: Sequence[str | C
 
     ``block`` names a column that rises with the order, such as a day.  Sums are then taken
     within blocks, and each block starts from the total of the earlier ones, so that a long
-    group is worked on by as many tasks as it has blocks.
+    group is worked on by as many tasks as it has blocks.  The result is that without blocks:
+    null values add nothing, null groups are groups, and a null block comes first.
     """
     if block is None:
         order = W.partitionBy(*part).orderBy(*order_by).rowsBetween(W.unboundedPreceding, W.currentRow)
         return df.withColumn(out, F.sum(col).over(order))
     before = W.partitionBy(*part).orderBy(block).rowsBetween(W.unboundedPreceding, -1)
-    starts = df.groupBy(*part, block).agg(F.sum(col).alias("_s")).select(
-        *part, block, F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_start")
-    )
-    within = W.partitionBy(*part, block).orderBy(*order_by).rowsBetween(W.unboundedPreceding, W.currentRow)
-    summed = df.withColumn("_in", F.sum(col).over(within)).join(starts, [*part, block])
-    return summed.withColumn(out, F.col("_in") + F.col("_start")).drop("_in", "_start")
+    keys = list(dict.fromkeys([*part, block]))
+    starts = df.groupBy(*keys).agg(F.sum(col).alias("_s")).withColumn("_start", F.sum("_s").over(before))
+    starts = starts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_start")
+    within = W.partitionBy(*keys).orderBy(*order_by).rowsBetween(W.unboundedPreceding, W.currentRow)
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    summed = df.withColumn("_in", F.sum(col).over(within)).join(starts, same)
+    # Null only where no value has come yet.
+    total = F.coalesce(F.col("_in") + F.col("_start"), "_in", "_start")
+    return summed.withColumn(out, total).drop("_in", "_start", *[f"_k_{k}" for k in keys])
 
 
 def leave_one_out(df: DataFrame, part: Sequence[str], col: str, out: str) -> DataFrame:

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from pitwall.functions.scalars import contains_text, flag_above, surrogate_id, tyre_age
 from pitwall.operators.joins import first_match, interval_join, nearest_join, range_join
-from pitwall.operators.windows import at_least, field_delta, leave_one_out, neighbours
+from pitwall.operators.windows import neighbours
 from pitwall.plans.results import DRIVER
 from pitwall.plans.sessions import RACE, meeting_rounds, race_rounds, sessions_with_meeting
 
@@ -65,6 +65,39 @@ def total_race_time(laps: DataFrame, session_result: DataFrame) -> DataFrame:
     return per.groupBy("session_key").agg(F.min("s").alias("total_race_time"))
 
 
+def pace_deltas(rows: DataFrame, session: list[str]) -> DataFrame:
+    """Rows of teams with two cars or more, with ``pace_vs_field`` and ``pace_vs_teammate`` by best lap time."""
+    cars = ["_sum", "_n", "_size"]
+    teams = rows.groupBy(*session, "team_name").agg(
+        F.sum("best_lap_time").alias("_sum"), F.count("best_lap_time").alias("_n"), F.count(F.lit(1)).alias("_size"))
+    field = W.partitionBy(*session)  # over the teams of a session
+    teams = teams.withColumn("_mean", F.sum("_sum").over(field) / F.nullif(F.sum("_n").over(field), F.lit(0).cast("long")))
+    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in [*session, "team_name"]]
+    pairs = teams.where(F.col("team_name").isNotNull() & (F.col("_size") >= 2))
+    joined = rows.join(pairs.select(*[F.col(c).alias(f"_k_{c}") for c in [*session, "team_name"]], *cars, "_mean"), same)
+    own = F.col("best_lap_time")
+    return joined.withColumns({
+        "pace_vs_field": own - F.col("_mean"),
+        "pace_vs_teammate": own - (F.col("_sum") - own) / F.nullif(F.col("_n") - 1, F.lit(0).cast("long")),
+    }).drop(*cars, "_mean", *[f"_k_{c}" for c in [*session, "team_name"]])
+
+
+def lap_measures(laps: DataFrame) -> DataFrame:
+    """``consistency`` and ``speed_ranks`` in one pass over the laps."""
+    per = laps.groupBy(*DRIVER).agg(
+        F.stddev_samp("lap_duration").alias("consistency_score"),
+        F.max("st_speed").alias("top"), F.avg((F.col("i1_speed") + F.col("i2_speed")) / 2).alias("corner"))
+    return per.select(*DRIVER, "consistency_score", *_ranks())
+
+
+def _ranks() -> list[Column]:
+    session = W.partitionBy("session_key")
+    return [
+        F.rank().over(session.orderBy(F.desc_nulls_last("top"))).alias("straight_line_speed_rank"),
+        F.rank().over(session.orderBy(F.desc_nulls_last("corner"))).alias("cornering_speed_rank"),
+    ]
+
+
 def consistency(laps: DataFrame) -> DataFrame:
     """Spread of a driver's lap times in a session; lower is steadier."""
     return laps.groupBy(*DRIVER).agg(F.stddev_samp("lap_duration").alias("consistency_score"))
@@ -75,40 +108,31 @@ def speed_ranks(laps: DataFrame) -> DataFrame:
     per = laps.groupBy(*DRIVER).agg(
         F.max("st_speed").alias("top"), F.avg((F.col("i1_speed") + F.col("i2_speed")) / 2).alias("corner")
     )
-    session = W.partitionBy("session_key")
-    return per.select(
-        *DRIVER,
-        F.rank().over(session.orderBy(F.desc_nulls_last("top"))).alias("straight_line_speed_rank"),
-        F.rank().over(session.orderBy(F.desc_nulls_last("corner"))).alias("cornering_speed_rank"),
-    )
+    return per.select(*DRIVER, *_ranks())
 
 
-def driver_features(t: Mapping[str, DataFrame], performance: DataFrame, results: DataFrame) -> DataFrame:
+def driver_features(t: Mapping[str, DataFrame], performance: DataFrame, results: DataFrame, literal: bool = False) -> DataFrame:
     """One row per driver of a team with two cars or more in a session.
 
-    The field mean covers all drivers of the session, one-car teams included.  Both inputs
-    are read several times: pass saved or staged tables.
+    The field mean covers all drivers of the session, one-car teams included.  Grid and place are
+    those of the driver in that session; ``literal`` takes those of any race of the meeting
+    for the session named as the race, so that sprint weekends give several rows.  The sums of
+    teams are formed once and those of sessions from them.
     """
     session = ["year", "grand_prix", "session_name"]
-    outcome = results.select(
-        F.col("year").alias("r_year"), F.col("grand_prix").alias("r_gp"), F.col("driver_number").alias("r_driver"),
-        "final_position", "starting_grid_position",
-    )
-    on = (
-        (F.col("year") == F.col("r_year")) & (F.col("grand_prix") == F.col("r_gp"))
-        & (F.col("driver_number") == F.col("r_driver")) & (F.col("session_name") == RACE)
-    )
     rows = performance.select("session_key", *session, "driver_number", "team_name", "best_lap_time")
-    rows = rows.join(outcome, on, "left").drop("r_year", "r_gp", "r_driver")
-    rows = field_delta(rows, session, "best_lap_time", "pace_vs_field")
-    rows = at_least(rows.where(F.col("team_name").isNotNull()), [*session, "team_name"], 2)
-    rows = leave_one_out(rows, [*session, "team_name"], "best_lap_time", "pace_vs_teammate")
+    if literal:
+        outcome = results.select("year", "grand_prix", "driver_number", "final_position", "starting_grid_position", F.lit(RACE).alias("session_name"))
+        rows = rows.join(outcome, [*session, "driver_number"], "left")
+    else:
+        outcome = results.where(F.col("session_key").isNotNull()).select(*DRIVER, "final_position", "starting_grid_position")
+        rows = rows.join(outcome, DRIVER, "left")
+    rows = pace_deltas(rows, session)
     rounds = meeting_rounds(t).withColumnRenamed("meeting_name", "grand_prix")
     return (
         rows.join(rounds, ["year", "grand_prix"], "left")
         .join(weather_context(t["weather"]), "session_key", "left")
-        .join(consistency(t["laps"]), DRIVER, "left")
-        .join(speed_ranks(t["laps"]), DRIVER, "left")
+        .join(lap_measures(t["laps"]), DRIVER, "left")
         .withColumn("race_round", F.coalesce("race_round", F.lit(0)))  # a meeting without a race
         .select(
             surrogate_id("year", "race_round", "session_name", "driver_number").alias("feature_id"),
@@ -174,7 +198,10 @@ def car_behind(t: Mapping[str, DataFrame], literal: bool = False) -> DataFrame:
     placed = laps_with_position(t, literal)
     around = neighbours(placed, ["session_key", "lap_number"], ["position", "driver_number", "date"],
                         {"lap_duration": "lap", "driver_number": "driver"})
-    aged = laps_with_tyre_age(around, t["stints"])
+    # Ages belong to the plain laps, so that the placed ones are planned once.
+    races = t["sessions"].where(F.col("session_type") == RACE).select("session_key")
+    laps = t["laps"].where(F.col("lap_duration").isNotNull()).join(races, "session_key", "left_semi").select(*LAP).distinct()
+    aged = around.join(laps_with_tyre_age(laps, t["stints"]), LAP, "left")
     meetings = t["sessions"].select("session_key", "meeting_key").join(t["meetings"].select("meeting_key", "meeting_name"), "meeting_key")
     return aged.join(meetings.select("session_key", "meeting_name"), "session_key").select(
         *LAP, "position", F.col("lap_duration").alias("lap_time"), "tire_age",

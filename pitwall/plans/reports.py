@@ -67,13 +67,19 @@ def _lap_totals() -> list[Column]:
     return [
         F.count("lap_number").alias("n_laps"), F.count(lap).alias("n"), F.sum(lap).alias("s"),
         F.min(lap).alias("lo"), F.max(lap).alias("hi"),
-        (F.var_pop(lap) * F.count(lap) + F.sum(lap) * F.avg(lap)).alias("q"),
+        F.struct(F.count(lap).alias("n"), F.avg(lap).alias("mean"), (F.var_pop(lap) * F.count(lap)).alias("m2")).alias("moments"),
     ]
 
 
-def _stddev(n: Column, s: Column, q: Column) -> Column:
-    """Sample deviation from the count, sum and sum of squares; null for a single value."""
-    return F.sqrt(F.greatest(q - s * s / n, F.lit(0.0)) / F.nullif(n - 1, F.lit(0)))
+def _stddev(moments: Column) -> Column:
+    """Sample deviation from (n, mean, m2) of parts; null for a single value.
+
+    Squared distances are summed within parts and between their means, so nothing cancels.
+    """
+    n = F.aggregate(moments, F.lit(0).cast("long"), lambda a, x: a + x["n"])
+    mean = F.aggregate(moments, F.lit(0.0), lambda a, x: a + x["mean"] * x["n"]) / n
+    m2 = F.aggregate(moments, F.lit(0.0), lambda a, x: a + x["m2"] + x["n"] * (x["mean"] - mean) * (x["mean"] - mean))
+    return F.sqrt(m2 / F.nullif(n - 1, F.lit(0).cast("long")))
 
 
 def team_performance(t: Mapping[str, DataFrame]) -> DataFrame:
@@ -98,33 +104,34 @@ def session_stats(t: Mapping[str, DataFrame]) -> DataFrame:
     """Laps, drivers, teams and lap-time spread of every session with a timed lap."""
     per_driver = valid_times(t["laps"]).groupBy(*DRIVER).agg(*_lap_totals())
     keys = ["meeting_name", "year", "country_name", "circuit_short_name", "session_name", "session_type"]
-    n, s, q = F.sum("n"), F.sum("s"), F.sum("q")
+    n, s = F.sum("n"), F.sum("s")
     joined = star(per_driver, t["drivers"], t["sessions"], t["meetings"], how="left")
     return joined.groupBy(*keys, F.col("session_start").alias("date_start"), F.col("session_end").alias("date_end")).agg(
         F.count_distinct(F.when(F.col("full_name").isNotNull(), F.col("driver_number"))).alias("participating_drivers"),
         F.count_distinct("team_name").alias("participating_teams"),
         F.sum("n_laps").alias("total_laps_recorded"),
         (s / n).alias("average_lap_time"), F.min("lo").alias("fastest_lap_time"), F.max("hi").alias("slowest_lap_time"),
-        _stddev(n, s, q).alias("lap_time_variation"),
-    ).orderBy(F.desc("year"), F.desc("date_start"))
+        F.collect_list("moments").alias("_moments"),  # one a driver of the session
+    ).withColumn("lap_time_variation", _stddev(F.col("_moments"))).drop("_moments").orderBy(F.desc("year"), F.desc("date_start"))
 
 
 def driver_consistency(t: Mapping[str, DataFrame], min_laps: int = MIN_LAPS, rounded: bool = True) -> DataFrame:
     """Lap-time spread of each driver by season and session type.
 
-    Equal times are counted before the joins and the median takes the counts, so a driver's
-    list of values never holds more than the distinct times, which are on a millisecond grid.
+    Equal times are counted before the joins; the median and the deviation take the counts, so a
+    driver's list of values never holds more than the distinct times, which are on a millisecond grid.
     """
     times = valid_times(t["laps"]).groupBy(*DRIVER, F.col("lap_time").cast("double").alias("x")).agg(
         F.count(F.lit(1)).alias("n"), F.count("lap_number").alias("n_laps")
     )
     n, s = F.sum("n"), F.sum(F.col("n") * F.col("x"))
-    q = F.sum(F.col("n") * F.col("x") * F.col("x"))
+    moment = F.struct("n", F.col("x").alias("mean"), F.lit(0.0).alias("m2"))
     stats = _dims(t, times).groupBy(F.col("full_name").alias("driver_name"), "team_name", "year", "session_type").agg(
-        F.sum("n_laps").alias("total_laps"), (s / n).alias("avg_lap_time"), _stddev(n, s, q).alias("consistency_score"),
+        F.sum("n_laps").alias("total_laps"), (s / n).alias("avg_lap_time"), F.collect_list(moment).alias("_moments"),
         F.min("x").alias("best_lap_time"), F.max("x").alias("worst_lap_time"),
         F.percentile("x", 0.5, F.col("n")).alias("median_lap_time"),
     ).where(F.col("total_laps") >= min_laps)
+    stats = stats.withColumn("consistency_score", _stddev(F.col("_moments"))).drop("_moments")
     stats = stats.withColumn("coefficient_of_variation", ratio("consistency_score", "avg_lap_time") * 100)
     if rounded:
         places = {"avg_lap_time": 3, "consistency_score": 3, "best_lap_time": 3, "worst_lap_time": 3,
@@ -138,35 +145,35 @@ def constructor_standings(results: DataFrame) -> DataFrame:
     return standings(results, by="team_name", names=())
 
 
+TELEMETRY_BLOCK = 600
+
+
 def telemetry_by_lap(t: Mapping[str, DataFrame]) -> DataFrame:
     """Telemetry aggregates of each driver's laps.
 
-    Samples carry no lap number: each belongs to the driver's latest lap started by then.
-    A lap lasts until the driver's next start, the last one until the driver's last sample;
-    these spans do not overlap, so a sample joins at most one.  The minute is part of the
-    join key, which spreads a driver with very many samples over many tasks.
+    Samples carry no lap number: each belongs to the driver's latest lap started by then, of
+    laps that start together to the one with the highest number; earlier samples belong to none.
+    The latest start is carried along the time order within blocks of TELEMETRY_BLOCK seconds, and
+    the state at the start of each block along the blocks that have any rows.  So a driver with
+    very many samples is spread over many tasks, and no row depends on how far apart times are.
     """
-    samples = t["car_data"].where(F.col("speed").isNotNull()).withColumn("_m", _minute("date"))
-    ends = samples.groupBy(*DRIVER).agg(F.max("_m").alias("_end"))
-    by_start = W.partitionBy(*DRIVER).orderBy("date_start", "lap_number")
-    laps = t["laps"].where(F.col("date_start").isNotNull()).select(
-        *DRIVER, "lap_number", "date_start", F.lead("date_start").over(by_start).alias("_next")
-    ).join(ends, DRIVER)
-    first = _minute("date_start")
-    last = F.greatest(first, F.coalesce(_minute("_next"), "_end"))
-    spans = laps.select(
-        *[F.col(c).alias(f"_l_{c}") for c in DRIVER], "lap_number", "date_start", "_next",
-        F.explode(F.sequence(first, last)).alias("_l_m"),
-    )
-    on = [
-        *[F.col(c) == F.col(f"_l_{c}") for c in DRIVER], F.col("_m") == F.col("_l_m"),
-        F.col("date") >= F.col("date_start"), F.col("_next").isNull() | (F.col("date") < F.col("_next")),
-    ]
-    return telemetry(samples.join(spans, on, "left"), (*DRIVER, "lap_number"))
-
-
-def _minute(ts: str) -> Column:
-    return F.floor(epoch_seconds(ts) / 60)
+    lap = F.struct("date_start", "lap_number")
+    samples = t["car_data"].where(F.col("speed").isNotNull())
+    starts = t["laps"].where(F.col("date_start").isNotNull()).select(*DRIVER, F.col("date_start").alias("date"), lap.alias("_lap"))
+    for key in DRIVER:
+        starts = starts.where(F.col(key).isNotNull())
+    both = samples.withColumn("_sample", F.lit(1)).unionByName(starts.withColumn("_sample", F.lit(0)), allowMissingColumns=True)
+    both = both.withColumn("_block", F.floor(epoch_seconds("date") / TELEMETRY_BLOCK))
+
+    keys = [*DRIVER, "_block"]
+    earlier = W.partitionBy(*DRIVER).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    blocks = both.groupBy(*keys).agg(F.max("_lap").alias("_last"))
+    state = blocks.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.last("_last", ignorenulls=True).over(earlier).alias("_before"))
+    so_far = W.partitionBy(*keys).orderBy("date", "_sample", "_lap.lap_number").rowsBetween(W.unboundedPreceding, W.currentRow)
+    carried = both.withColumn("_now", F.last("_lap", ignorenulls=True).over(so_far)).where("_sample = 1")
+    placed = carried.join(state, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    known = F.when(F.col("date").isNotNull(), F.coalesce("_now", "_before"))
+    return telemetry(placed.withColumn("lap_number", known["lap_number"]), (*DRIVER, "lap_number"))
 
 
 def meeting_stats(meetings: DataFrame) -> DataFrame:

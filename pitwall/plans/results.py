@@ -79,10 +79,14 @@ def race_results(t: Mapping[str, DataFrame], literal: bool = False) -> DataFrame
     )
 
 
-def season_context(results: DataFrame) -> DataFrame:
-    """Season points after each result, and rank and gap among the drivers of that date."""
+def season_context(results: DataFrame, literal: bool = False) -> DataFrame:
+    """Season points after each result, and rank and gap among the drivers of that race.
+
+    A sprint weekend has two races on one date; ``literal`` ranks by date and so has its drivers
+    twice in one ranking.
+    """
     total = running_total(results, ["year", "driver_number"], ["date", "race_round"], "points", "total_season_points")
-    day = W.partitionBy("year", "date")
+    day = W.partitionBy("year", "date" if literal else "race_round")
     return total.withColumns({
         "drivers_championship_ranking": F.row_number().over(day.orderBy(F.desc("total_season_points"), "driver_number")),
         "points_from_first": F.max("total_season_points").over(day) - F.col("total_season_points"),
@@ -91,29 +95,32 @@ def season_context(results: DataFrame) -> DataFrame:
 
 def gp_results(t: Mapping[str, DataFrame], literal: bool = False) -> DataFrame:
     """The race-results table, all seasons in one plan."""
-    return season_context(race_results(t, literal))
+    return season_context(race_results(t, literal), literal)
 
 
 def standings(results: DataFrame, by: str = "driver_number", names: Sequence[str] = ("driver_name", "team_name")) -> DataFrame:
     """Championship table after every race, for everybody who has raced so far that season.
 
     Somebody absent from a race keeps their points and still has a row.  Level on points,
-    who appeared first stays ahead: by first race, then by place in it.  With
+    who appeared first stays ahead: by first race, then by place in it.  Rounds are those of the
+    results, if these have any, else races are numbered by date and name.  With
     ``by="team_name"`` the same gives the constructors' table.  The results are read
     several times: pass a saved or staged table.
     """
-    season = ["year", by]
-    per_race = results.groupBy("year", "date", "grand_prix", by).agg(
+    season, race = ["year", by], ["year", "date", "grand_prix"]
+    numbered = "race_round" in results.columns
+    race += ["race_round"] * numbered
+    per_race = results.groupBy(*race, by).agg(
         F.sum("points").alias("points"),
         F.min("final_position").alias("place"),
         F.count_if(F.col("final_position") == 1).alias("wins"),
         F.count_if(F.col("final_position") <= 3).alias("podiums"),
         F.count_if(F.col("points") > 0).alias("points_finishes"),
     )
-    calendar = results.select("year", "date", "grand_prix").distinct().withColumn(
-        "race_round", F.dense_rank().over(W.partitionBy("year").orderBy("date", "grand_prix"))
-    )
-    raced = per_race.join(calendar, ["year", "date", "grand_prix"])
+    calendar = results.select(*race).distinct()
+    if not numbered:
+        calendar = calendar.withColumn("race_round", F.dense_rank().over(W.partitionBy("year").orderBy("date", "grand_prix")))
+    raced = per_race if numbered else per_race.join(calendar, race)
     races = calendar.groupBy("year").agg(F.max("race_round").alias("last_round"))
     known = raced.groupBy(*season).agg(
         F.min("race_round").alias("first_round"), F.min_by("place", "race_round").alias("first_place")

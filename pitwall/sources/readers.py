@@ -57,11 +57,12 @@ def _endpoint(name: str, filters: Mapping[str, object]) -> None:
 
 def scan_raw(spark: SparkSession, root: str, endpoint: str, years: Sequence[int] | None = None,
              schema: StructType | None = None, fmt: str = "parquet", multi_line: bool = False,
-             processed_at: Column | None = None, **filters: object) -> DataFrame:
+             processed_at: Column | None = None, min_year: int | None = None, **filters: object) -> DataFrame:
     """Landed rows of one endpoint, all or some years, with equality filters it allows.
 
-    The layout is ``root/year=Y/endpoint=E/``.  Only the directories asked for are listed,
-    and the filters reach the Parquet scan.  Nothing landed gives an empty table.
+    The layout is ``root/year=Y/endpoint=E/``.  ``years`` are the only directories listed;
+    ``min_year`` prunes the listed ones, with no last year.  Filters reach the Parquet scan.
+    Nothing landed gives an empty table.
     """
     _endpoint(endpoint, filters)
     which = "*" if years is None else "{" + ",".join(str(int(y)) for y in years) + "}"
@@ -82,6 +83,8 @@ def scan_raw(spark: SparkSession, root: str, endpoint: str, years: Sequence[int]
         if fmt == "parquet" and schema is None:
             reader = reader.option("mergeSchema", True)
         df = reader.format(fmt).load(pattern)
+    if min_year is not None:
+        df = df.where(F.col("year") >= min_year)
     for name, value in filters.items():
         df = df.where(F.col(name) == F.lit(value))
     stamp = processed_at if processed_at is not None else F.current_timestamp()

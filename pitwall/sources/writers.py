@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitwall.operators.clean import tag_metadata
-from pitwall.session import work_dir
 from pitwall.sources.readers import FORMATS
+from pitwall.sources.swap import recover, replace
 
 
 # Text formats would otherwise cut timestamps to milliseconds.
@@ -73,14 +73,12 @@ def write_clustered(df: DataFrame, path: str, partition_by: Sequence[str], clust
 def compact(spark: SparkSession, path: str, partition_by: Sequence[str] = (), files: int | None = None) -> None:
     """Rewrite many small files as few.
 
-    Without ``files`` the number follows from the data size.  A partitioned dataset is
-    swapped directory by directory at commit; a plain one is staged in the shared folder
-    and then copied over.
+    Without ``files`` the number follows from the data size.  The new files are complete
+    before the old ones go; after a failure run it again.
     """
+    recover(spark, path)
     df = spark.read.parquet(path)
     if partition_by:
-        write_partitioned(df, path, partition_by)
-        return
-    staged = work_dir(spark, "compact")
-    (df.repartition(files) if files else df.hint("rebalance")).write.parquet(staged)
-    spark.read.parquet(staged).write.mode("overwrite").parquet(path)
+        replace(df.hint("rebalance", *partition_by), path, partition_by)
+    else:
+        replace(df.repartition(files) if files else df.hint("rebalance"), path)

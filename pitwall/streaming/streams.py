@@ -56,18 +56,19 @@ def stream_telemetry(df: DataFrame, window: str, delay: str, by: Sequence[str] =
     )
 
 
-def stream_upsert(df: DataFrame, path: str, keys: Sequence[str], order_by: Sequence[str | Column], checkpoint: str,
+def stream_upsert(df: DataFrame, path: str, keys: Sequence[str], order_by: Sequence[str | Column] | None, checkpoint: str,
                   partition_by: Sequence[str] = (), output_mode: str = "append") -> StreamingQuery:
-    """Merge every micro-batch into a Parquet table by key.
+    """Merge every micro-batch into a Parquet table by key, rewriting the partitions it touches.
 
-    A batch repeated after a failure merges to the same table.  In ``update`` mode this
-    keeps the current value of each aggregate.
+    Of the rows of a key, stored or new, the first in ``order_by`` stays, so the table does not
+    depend on how files are dealt out over batches.  ``order_by=None`` lets a later batch
+    replace an earlier one, as the current value of an aggregate in ``update`` mode must.  A
+    batch repeated after a failure merges to the same table.
     """
 
     def merge(batch: DataFrame, _: int) -> None:
-        batch.persist()  # read twice: for the partitions it touches and for its rows
-        upsert_path(batch.sparkSession, path, batch, keys, order_by, partition_by)
-        batch.unpersist()
+        order = list(keys) if order_by is None else order_by
+        upsert_path(batch.sparkSession, path, batch, keys, order, partition_by, ranked=order_by is not None)
 
     return (
         df.writeStream.outputMode(output_mode).foreachBatch(merge)

@@ -45,7 +45,7 @@ def lap_schema(t):
 SELECT CAST(year AS INT) AS extraction_year, 'laps' AS endpoint, session_key, {SQL_SUMS}
 FROM laps l JOIN sessions USING (session_key) WHERE year >= 2020 GROUP BY year, session_key""")
 def scan_raw_json(t):
-    raw = readers.scan_raw(t.spark, landed_laps(t, "json"), "laps", range(2020, 2031), lap_schema(t), "json")
+    raw = readers.scan_raw(t.spark, landed_laps(t, "json"), "laps", None, lap_schema(t), "json", min_year=2020)
     return raw.groupBy("extraction_year", "endpoint", "session_key").agg(*lap_sums())
 
 

@@ -18,11 +18,11 @@ def event_sums(df):
     return df.agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"), first.alias("first"), last.alias("last"))
 
 
-def landed_events(t, fmt="json"):
+def landed_events(t, fmt="json", parts=None):
     """The event log as files in a landing directory, in several parts."""
     path = work_dir(t.spark, "events")
     events = t.source("events").withColumn("ts", F.col("ts").cast("timestamp"))
-    writers.write_files(events, path, fmt)
+    writers.write_files(events.repartition(parts, "event_id") if parts else events, path, fmt)
     return path, events.schema
 
 
@@ -49,11 +49,11 @@ def stream_bookmark(t):
 @query("stream_upsert", """
 SELECT user_id, event_type, arg_max(event_id, (ts, event_id)) AS event_id, max(ts) AS ts FROM events GROUP BY ALL""")
 def stream_upsert(t):
-    path, schema = landed_events(t, "parquet")
+    path, schema = landed_events(t, "parquet", 4)
     out, keys = work_dir(t.spark, "current"), ["user_id", "event_type"]
-    # Within a micro-batch the newest row of a key counts; a later batch replaces an earlier one.
-    rows = streams.read_stream(t.spark, path, schema).select("user_id", "event_type", "event_id", "ts")
-    streams.stream_upsert(rows, out, keys, [F.desc("ts"), F.desc("event_id")], work_dir(t.spark, "ckpt")).awaitTermination()
+    # Several batches, in no order of time: the newest row of a key counts all the same.
+    rows = streams.read_stream(t.spark, path, schema, files_per_batch=2).select("user_id", "event_type", "event_id", "ts")
+    streams.stream_upsert(rows, out, keys, [F.desc("ts"), F.desc("event_id")], work_dir(t.spark, "ckpt"), ["event_type"]).awaitTermination()
     return t.spark.read.parquet(out).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
@@ -77,9 +77,10 @@ def stream_telemetry_window(t):
     writers.write_files(rows, path)
     live = streams.read_stream(t.spark, path, rows.schema)
     windows = streams.stream_telemetry(live, "10 minutes", "30 seconds")
-    out, keys = work_dir(t.spark, "windows"), ["window_start", "window_end", "session_key", "driver_number"]
-    streams.stream_upsert(windows, out, keys, ["avg_speed"], work_dir(t.spark, "ckpt"), output_mode="update").awaitTermination()
-    saved = t.spark.read.parquet(out)
+    windows = windows.withColumn("window_month", F.date_trunc("month", "window_start").cast("date"))
+    out, keys = work_dir(t.spark, "windows"), ["window_month", "window_start", "window_end", "session_key", "driver_number"]
+    streams.stream_upsert(windows, out, keys, None, work_dir(t.spark, "ckpt"), ["window_month"], "update").awaitTermination()
+    saved = t.spark.read.parquet(out).drop("window_month")
     return rounded(saved.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}))
 
 

@@ -86,14 +86,15 @@ def test_constructors(spark):
 
 
 def test_sprint_and_race_of_one_meeting(spark):
-    """Two race sessions of one meeting are two rounds of results and one line of standings."""
+    """Two race sessions of one meeting are two rounds, of results and of standings."""
     t = season(
         spark, sessions=[(11, 1, "Race", "Race", "2023-03-05 13:00:00", None, 2023), (10, 1, "Sprint", "Race", "2023-03-04 13:00:00", None, 2023)],
         session_result=[(11, 1, 1, False, False, False), (10, 1, 2, False, False, False)],
         drivers=[(s, 1, "Driver 1", "D1", "Red") for s in (10, 11)])
     got = results.race_results(t)
     assert rows(got, "race_round", "points") == [(1, 18), (2, 26)]
-    assert rows(results.standings(got), "race_round", "points", "wins", "podiums") == [(1, 44, 1, 2)]
+    assert rows(results.standings(got), "race_round", "points", "wins", "podiums") == [(1, 18, 1, 2), (2, 44, 1, 2)]
+    assert rows(results.season_context(got), "race_round", "drivers_championship_ranking") == [(1, 1), (2, 1)]
 
 
 def test_penalty_text_only(spark):
