@@ -90,7 +90,7 @@ class Tables(Mapping):
 
     def _session_keys(self) -> DataFrame:
         return self._staged("sessions", ("orders",), lambda: (
-            self.source("orders").select(_week("o_orderdate").alias("session_key")).distinct().coalesce(1)  # one row a week
+            self.source("orders").select(_week("o_orderdate").alias("session_key")).distinct().repartition(1)  # one row a week
         ))
 
     def _sessions(self) -> DataFrame:

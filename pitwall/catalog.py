@@ -40,6 +40,19 @@ _RAW = {
     "raw_weather": ("session_key date", "session_key key!; meeting_key key!; date ts!; air_temperature real; humidity int; "
                     "pressure real; rainfall int; track_temperature real; wind_direction int; wind_speed real; "
                     f"year int!; {_LANDED}"),
+    "raw_intervals": ("session_key driver_number date", f"{_SAMPLE}; gap_to_leader real; interval real; year int!; {_LANDED}"),
+    "raw_location": ("session_key driver_number date", f"{_SAMPLE}; x int; y int; z int; year int!; {_LANDED}"),
+    "raw_stints": ("session_key driver_number stint_number", "session_key key!; meeting_key key!; driver_number int!; "
+                   f"stint_number int!; lap_start int; lap_end int; compound text; tyre_age_at_start int; year int!; {_LANDED}"),
+    "raw_race_control": ("session_key date message", "session_key key!; meeting_key key!; date ts!; driver_number int; "
+                         f"lap_number int; category text; flag text; scope text; sector int; message text!; year int!; {_LANDED}"),
+    "raw_team_radio": ("session_key driver_number date", f"{_SAMPLE}; recording_url text!; year int!; {_LANDED}"),
+    "raw_overtakes": ("session_key date overtaking_driver_number overtaken_driver_number", "session_key key!; meeting_key key!; "
+                      f"date ts!; overtaking_driver_number int!; overtaken_driver_number int!; position int; year int!; {_LANDED}"),
+    "raw_session_result": ("session_key driver_number", "session_key key!; meeting_key key!; driver_number int!; position int; "
+                           f"number_of_laps int; dnf bool; dns bool; dsq bool; year int!; {_LANDED}"),
+    "raw_starting_grid": ("session_key driver_number", "session_key key!; meeting_key key!; driver_number int!; position int; "
+                          f"lap_duration real; year int!; {_LANDED}"),
 }
 
 _ANALYTICS = {
@@ -102,7 +115,7 @@ PARTITION_BY = {"lake_meetings": ["year"], "lake_sessions": ["year"], "lake_driv
 # Foreign keys of the raw layer.
 _SESSION_FK = {"session_key": "raw_sessions", "meeting_key": "raw_meetings"}
 FOREIGN_KEYS = {"raw_sessions": {"meeting_key": "raw_meetings"}} | {
-    t: _SESSION_FK for t in ("raw_drivers", "raw_laps", "raw_car_data", "raw_position", "raw_pit", "raw_weather")
+    t: _SESSION_FK for t in _RAW if t not in ("raw_meetings", "raw_sessions")
 }
 
 # What each derived table is computed from.
@@ -181,6 +194,13 @@ def get_table(name: str) -> Table:
     return TABLES[name]
 
 
+def endpoint_schema(name: str) -> T.StructType:
+    """What rows of a landing endpoint look like, without its two directory columns."""
+    if name not in ENDPOINTS:
+        raise ValueError(f"unknown endpoint {name!r}; one of {sorted(ENDPOINTS)}")
+    return T.StructType([f for f in TABLES[f"raw_{name}"].schema if f.name not in ("year", "endpoint")])
+
+
 def get_schema_by_layer(layer: str) -> dict[str, T.StructType]:
     if layer not in LAYERS:
         raise ValueError(f"unknown layer {layer!r}; one of {sorted(LAYERS)}")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,7 +18,7 @@ from pitwall.operators.upsert import upsert_path
 from pitwall.plans.features import driver_features, race_context
 from pitwall.plans.performance import gp_performance
 from pitwall.plans.results import gp_results, standings
-from pitwall.sources.readers import scan, scan_raw
+from pitwall.sources.readers import landed_years, scan, scan_raw
 from pitwall.sources.tables import save_table
 from pitwall.sources.writers import write_partitioned
 
@@ -33,25 +33,27 @@ def _as_text(endpoint: str, fmt: str) -> T.StructType | None:
 def raw_job(spark: SparkSession, landed: str, processed: str, endpoints: Sequence[str] = tuple(PROCESSED),
             years: Sequence[int] | None = None, fmt: str = "json", multi_line: bool = False,
             processed_at: Column | None = None) -> DataFrame:
-    """Process landed rows of each endpoint, all years at once; returns what was written.
+    """Process landed rows of each endpoint, all years at once; returns what this run wrote.
 
-    A failing endpoint is reported in its row and does not stop the others.
+    Rows are counted by season while they are written.  An endpoint without landed data is left
+    out; a failing one is reported in its row and does not stop the others.
     """
-    done = spark.createDataFrame([], "endpoint string, year int, records_processed bigint, status string")
+    done: list[tuple] = []
     for endpoint in endpoints:
         try:
-            raw = scan_raw(spark, landed, endpoint, years, _as_text(endpoint, fmt), fmt, multi_line)
-            out = f"{processed}/{endpoint}"
-            write_partitioned(process(raw, endpoint, processed_at, keep=["year"]), out, ["year"])
-            rows = spark.read.parquet(out)
-            if years is not None:
-                rows = rows.where(F.col("year").isin([int(y) for y in years]))
-            part = rows.groupBy(F.col("year").cast("int").alias("year")).agg(F.count(F.lit(1)).alias("records_processed"))
-            part = part.select(F.lit(endpoint).alias("endpoint"), "*", F.lit("SUCCESS").alias("status"))
+            seasons = landed_years(spark, landed, endpoint)
+            seasons = [y for y in seasons if years is None or y in {int(x) for x in years}]
+            if not seasons and endpoint in PROCESSED:
+                continue
+            raw = scan_raw(spark, landed, endpoint, seasons, _as_text(endpoint, fmt), fmt, multi_line)
+            written = Observation()
+            counts = [F.count_if(F.col("year") == y).alias(f"y{y}") for y in seasons]
+            rows = process(raw, endpoint, processed_at, keep=["year"]).observe(written, *counts)
+            write_partitioned(rows, f"{processed}/{endpoint}", ["year"])
+            done += [(endpoint, y, n, "SUCCESS") for y, n in zip(seasons, (written.get[f"y{y}"] for y in seasons), strict=True) if n]
         except Exception as e:  # noqa: BLE001 - one endpoint's failure is part of the report
-            part = spark.createDataFrame([(endpoint, None, 0, f"ERROR: {e}")], done.schema)
-        done = done.unionByName(part)
-    return done
+            done.append((endpoint, None, 0, f"ERROR: {e}"))
+    return spark.createDataFrame(done, "endpoint string, year int, records_processed bigint, status string")
 
 
 def lake_job(spark: SparkSession, processed: str, lake: str, endpoint: str,
@@ -118,9 +120,11 @@ def save_features(t: Mapping[str, DataFrame], database: str, created_at: Column)
 
 
 def _save(df: DataFrame, database: str, table: str, created_at: Column) -> bool:
-    name = f"{database}.{table}"
-    save_table(df.withColumn("created_at", created_at), name, "replace_partitions")
-    return not df.sparkSession.table(name).isEmpty()
+    """Write the rows; whether there were any."""
+    written = Observation()
+    rows = df.withColumn("created_at", created_at).observe(written, F.count(F.lit(1)).alias("n"))
+    save_table(rows, f"{database}.{table}", "replace_partitions")
+    return written.get["n"] > 0
 
 
 def aggregator_job(t: Mapping[str, DataFrame], database: str, created_at: Column) -> dict[str, bool]:

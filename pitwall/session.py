@@ -16,10 +16,6 @@ RUNTIME_CONF = {
 }
 
 
-# Stand-in for the shared folder of local-mode applications that name none.
-_LOCAL_ROOTS: dict[str, str] = {}
-
-
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else started."""
     for key, value in RUNTIME_CONF.items():
@@ -38,6 +34,7 @@ def local_session(app: str = "pitwall", cores: str = "*", memory: str = "8g") ->
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="pitwall-"))
     )
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
@@ -49,21 +46,11 @@ def local_session(app: str = "pitwall", cores: str = "*", memory: str = "8g") ->
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    ``spark.checkpoint.dir`` wins.  Only a local-mode session without it gets a
-    fresh temporary folder; on a cluster a missing setting is an error, because a
-    machine-local folder would be lost with its machine.
+    That is ``spark.checkpoint.dir``; where it is not set, a folder of the warehouse, which the
+    executors of a session share as well.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_ROOTS:
-        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="pitwall-")
-    return _LOCAL_ROOTS[app]
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return (root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work").rstrip("/")
 
 
 def work_dir(spark: SparkSession, label: str) -> str:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
-from pitwall.catalog import ENDPOINTS
+from pitwall.catalog import ENDPOINTS, endpoint_schema
 
 FORMATS = ("parquet", "csv", "json")
 
@@ -26,8 +26,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def file_versions(spark: SparkSession, paths: Sequence[str]) -> tuple:
-    """Length and modification time of each path, to tell whether it changed."""
-    return tuple((s.getLen(), s.getModificationTime()) for p in paths for s in _matches(spark, p))
+    """Name, length and modification time of each file, to tell whether anything changed.
+
+    Folders are listed: on an object store they have neither a length nor a time.
+    """
+    found = []
+    for status in (s for p in paths for s in _matches(spark, p)):
+        inner = _matches(spark, f"{status.getPath().toString()}/*") if status.isDirectory() else [status]
+        found += [(s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in inner if not s.isDirectory()]
+    return tuple(sorted(found))
+
+
+def landed_years(spark: SparkSession, root: str, endpoint: str) -> list[int]:
+    """Years with a landing directory of the endpoint."""
+    parents = (s.getPath().getParent().getName() for s in _matches(spark, f"{root}/year=*/endpoint={endpoint}"))
+    return sorted(int(p.removeprefix("year=")) for p in parents)
 
 
 def scan(spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None,
@@ -62,13 +75,14 @@ def scan_raw(spark: SparkSession, root: str, endpoint: str, years: Sequence[int]
 
     The layout is ``root/year=Y/endpoint=E/``.  ``years`` are the only directories listed;
     ``min_year`` prunes the listed ones, with no last year.  Filters reach the Parquet scan.
-    Nothing landed gives an empty table.
+    Nothing landed gives an empty table, by default with the endpoint's columns.  Without a
+    ``schema`` the columns of all Parquet files are merged, which reads all their footers.
     """
     _endpoint(endpoint, filters)
     which = "*" if years is None else "{" + ",".join(str(int(y)) for y in years) + "}"
     pattern = f"{root}/year={which}/endpoint={endpoint}"
     if not path_exists(spark, pattern):
-        fields = list(schema.fields) if schema else []
+        fields = list(schema if schema is not None else endpoint_schema(endpoint))
         fields += [f for f in (T.StructField("year", T.IntegerType()), T.StructField("endpoint", T.StringType()))
                    if f.name not in [x.name for x in fields]]
         df = spark.createDataFrame([], T.StructType(fields))

@@ -15,7 +15,7 @@ from suite.filters import SQL_LAP_RULES, SQL_LAP_SCORE
 from suite.joining import SQL_NEAREST, SQL_PENALTIES, rounded
 from suite.registry import query
 from suite.scans import extracted
-from suite.tables import new_database
+from suite.tables import closed, new_database
 from suite.windows import SQL_SPEED_RANKS
 
 # Results ---------------------------------------------------------------------
@@ -229,7 +229,7 @@ def lake_ddl(t):
         part = t.spark.table(f"{db}.{name}").groupBy(F.col(by).cast("string").alias("partition_value")).agg(F.count(F.lit(1)).alias("n"))
         part = part.select(F.lit(name).alias("table_name"), F.lit(by).alias("partition_column"), "partition_value", "n")
         out = part if out is None else out.unionByName(part)
-    return out
+    return closed(t, db, out)
 
 
 def landed(t, endpoints):
@@ -324,7 +324,7 @@ GROUP BY ALL""")
 def save_analytics(t):
     db = analytics_database(t)
     jobs.save_analytics(t, db, extracted())
-    return per_year(t, db, ("grand_prix_results", "grand_prix_performance", "driver_championship_standings"))
+    return closed(t, db, per_year(t, db, ("grand_prix_results", "grand_prix_performance", "driver_championship_standings")))
 
 
 @query("save_features", f"""
@@ -337,7 +337,7 @@ def save_features(t):
     for name, rows in (("grand_prix_results", results.gp_results(t)), ("grand_prix_performance", performance.gp_performance(t))):
         tables.save_table(rows.withColumn("created_at", extracted()), f"{db}.{name}")
     jobs.save_features(t, db, extracted())
-    return per_year(t, db, ("driver_performance_features", "race_context_features"))
+    return closed(t, db, per_year(t, db, ("driver_performance_features", "race_context_features")))
 
 
 @query("aggregator_job", f"""
@@ -347,5 +347,5 @@ def aggregator_job(t):
     db = analytics_database(t)
     jobs.aggregator_job(t, db, extracted())
     rows = t.spark.table(f"{db}.grand_prix_results")
-    return rows.groupBy("year", "driver_number").agg(
-        F.max("total_season_points").cast("bigint").alias("season_points"), F.count(F.lit(1)).alias("races"))
+    return closed(t, db, rows.groupBy("year", "driver_number").agg(
+        F.max("total_season_points").cast("bigint").alias("season_points"), F.count(F.lit(1)).alias("races")))

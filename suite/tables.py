@@ -5,7 +5,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from pitwall import catalog
-from pitwall.session import work_dir
+from pitwall.session import stage, work_dir
 from pitwall.sources import readers, tables, writers
 from suite.registry import query
 from suite.scans import extracted, LAP_COLUMNS, lap_sums, SQL_SUMS, laps_by_year
@@ -17,6 +17,13 @@ def new_database(t, layer="raw"):
     return name
 
 
+def closed(t, db, out):
+    """The result, saved, after which the database is dropped; its tables' files are in the working folder."""
+    out = stage(out, "result")
+    t.spark.sql(f"DROP DATABASE {db} CASCADE")
+    return out
+
+
 def raw_rows(t, source):
     """Rows of a table with the columns all raw tables carry."""
     years = t["sessions"].select("session_key", "meeting_key", F.col("year").cast("int").alias("year"))
@@ -39,7 +46,7 @@ def create_tables(t):
         part = t.spark.table(name).agg(F.count(F.lit(1)).alias("n")).select(
             F.lit(f"raw_{source}").alias("table_name"), F.lit(len(t.spark.table(name).columns)).alias("columns"), "n")
         out = part if out is None else out.unionByName(part)
-    return out
+    return closed(t, db, out)
 
 
 @query("create_table", f"SELECT session_key, {SQL_SUMS} FROM laps l GROUP BY session_key")
@@ -50,7 +57,7 @@ def create_table(t):
     tables.create_table(t.spark, f"{db}.laps", columns, work_dir(t.spark, "table"))
     tables.save_table(t["laps"].select(*LAP_COLUMNS), f"{db}.laps")
     saved = t.spark.table(f"{db}.laps").withColumn("date_start", F.col("date_start").cast("timestamp_ntz"))
-    return saved.groupBy("session_key").agg(*lap_sums())
+    return closed(t, db, saved.groupBy("session_key").agg(*lap_sums()))
 
 
 @query("sink_table", """
@@ -77,7 +84,7 @@ def sink_table(t):
     keep("seasons replaced")
     tables.save_table(rows.where("year >= 2021"), name, "replace")
     keep("replaced")
-    return t.spark.read.parquet(*steps)
+    return closed(t, db, t.spark.read.parquet(*steps))
 
 
 @query("table_exists", """
@@ -92,7 +99,7 @@ def table_exists(t):
         rows = t.spark.table(f"{db}.{name}") if found else t["pit"].where(F.lit(False))
         part = rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), F.lit(found).alias("found"), "n")
         out = part if out is None else out.unionByName(part)
-    return out
+    return closed(t, db, out)
 
 
 def filled_by_column(df, types):
@@ -111,7 +118,7 @@ def describe_table(t):
     db = new_database(t)
     tables.save_table(raw_rows(t, "pit"), f"{db}.raw_pit")
     types = tables.describe_table(t.spark, f"{db}.raw_pit")
-    return filled_by_column(t.spark.table(f"{db}.raw_pit"), {c: k for c, k in types.items() if c[0] != "_" and c != "meeting_key"})
+    return closed(t, db, filled_by_column(t.spark.table(f"{db}.raw_pit"), {c: k for c, k in types.items() if c[0] != "_" and c != "meeting_key"}))
 
 
 @query("get_schema_by_layer", """
@@ -159,4 +166,4 @@ def discover(t):
     db, root = new_database(t, "metadata"), work_dir(t.spark, "found")
     writers.write_processed(laps_by_year(t), root, "laps")
     tables.discover(t.spark, f"{db}.raw_laps", f"{root}/laps")
-    return t.spark.table(f"{db}.raw_laps").groupBy("year").agg(*lap_sums())
+    return closed(t, db, t.spark.table(f"{db}.raw_laps").groupBy("year").agg(*lap_sums()))
