@@ -15,7 +15,7 @@ from pitwall.llm.decontaminate import decontaminate
 from pitwall.llm.language import dictionaries, identify
 from pitwall.llm.lines import drop_boilerplate
 from pitwall.llm.minhash import near_duplicates
-from pitwall.llm.pieces import decode, encode
+from pitwall.llm.pieces import encode
 from pitwall.session import work_dir
 
 
@@ -46,9 +46,8 @@ def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, and whether decoding them gives the text back."""
-    coded = decode(encode(docs))
-    return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
-                        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+    coded = encode(docs, check=True)
+    return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
