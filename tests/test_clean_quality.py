@@ -153,7 +153,7 @@ def test_lineage_covers_every_table(spark):
 
 
 def test_layers():
-    assert len(catalog.get_schema_by_layer("raw")) == 8
+    assert len(catalog.get_schema_by_layer("raw")) == 16
     with pytest.raises(ValueError, match="unknown layer"):
         catalog.get_schema_by_layer("gold")
     with pytest.raises(ValueError, match="unknown column type"):
