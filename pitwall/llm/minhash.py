@@ -16,14 +16,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitwall.llm.components import components
+from pitwall.llm.packing import runs
 from pitwall.llm.words import NON_SPACE, raw_bytes, shingles, whole, words
 from pitwall.session import stage
 
 BANDS, ROWS = 32, 4  # a pair at 0.8 misses every band with a chance of (1 - 0.8**4)**32 = 5e-8
 PERCENT = 80
-# Share of equal minima below which a pair is not checked: 5.5 standard deviations under 0.8 for 128 minima.
+# Share of equal minima below which a pair is not checked: 5.5 standard deviations under 0.8 for 128 minima, 5 for FINE.
 LEAST_EQUAL = 0.605
+FINE, FINE_EQUAL = 512, 0.712
 BLOCK = 512
+# Ids that are broadcast to pick their texts; more of them are joined by a shuffle.
+BROADCAST_IDS = 2_000_000
 CHUNK_BYTES = 2 << 20
 
 
@@ -87,6 +91,22 @@ def _sketches(n: int, bands: int, rows: int):
     return run
 
 
+def _fine(n: int):
+    """(node, sig): FINE minima of a byte each, for a closer estimate."""
+    a, b = _family(FINE)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = raw_bytes(batch.column(1))
+            for at, to in _slices(data, offsets):
+                hashes, starts = words(data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at], NON_SPACE)
+                sigs = [signature(items, a, b).astype(np.uint8).tobytes() if len(items := shingle_set(hashes[starts[k] : starts[k + 1]], n)) else None
+                        for k in range(to - at)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), pa.array(sigs, pa.binary())], ["node", "sig"])
+
+    return run
+
+
 def _bands(bands: int, rows: int):
     """(node, key): a 64-bit key for each band of a signature."""
 
@@ -134,8 +154,7 @@ def _similar(n: int, percent: int):
 def _apart(least: float):
     """Pairs of one bucket block whose components differ and whose minima agree often enough; rows come sorted by key."""
 
-    def pairs(key, side, node, comp, sig):
-        m = sig
+    def pairs(side, node, comp, m):
         first, second = np.flatnonzero(side <= 1), np.flatnonzero(side != 1)  # side 0: in both halves
         for at in range(0, len(first), 64):
             i = first[at : at + 64]
@@ -147,11 +166,10 @@ def _apart(least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(table: pa.Table):
             key = table.column("block").to_numpy()
-            cuts = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
             side, node, comp = (table.column(c).to_numpy() for c in ("side", "node", "comp"))
-            sig = np.frombuffer(raw_bytes(table.column("sig"))[0].tobytes(), np.uint32).reshape(len(key), -1)
-            for s, e in zip(cuts[:-1], cuts[1:], strict=True):
-                for x, y in pairs(key[s], side[s:e], node[s:e], comp[s:e], sig[s:e]):
+            sig = raw_bytes(table.column("sig"))[0].reshape(len(key), -1)
+            for s, e in runs(key):
+                for x, y in pairs(side[s:e], node[s:e], comp[s:e], sig[s:e]):
                     if len(x):
                         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
 
@@ -182,7 +200,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = PERCENT, bands:
 
     No bucket is capped or sampled. Documents with equal sets are reduced to one first, by a sum and not by pairs. A bucket
     of m documents gives m - 1 pairs with its hub, the member with the most company over all bands. What the hubs leave
-    in different components is compared in blocks, by signatures only; pairs that may be similar are checked on the texts.
+    in different components is compared in blocks, by finer signatures; pairs that may be similar are checked on the texts.
     """
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
     sketch = stage(texts.mapInArrow(_sketches(n, bands, rows), "doc_id long, n_shingles long, set_key binary, sig binary"), "sketch")
@@ -206,7 +224,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = PERCENT, bands:
               .where(enough("sig_a", "sig_b") >= LEAST_EQUAL).select("a", "b").distinct())
 
     # All that may be asked for again: texts of nodes that share a bucket with another.
-    shared = texts.join(buckets.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    company_of = stage(buckets.select(F.col("node").alias("doc_id")).distinct(), "nodes")
+    few = company_of.count() <= BROADCAST_IDS
+    shared = stage(texts.join(F.broadcast(company_of) if few else company_of, "doc_id", "left_semi"), "shared")
     similar = F.pandas_udf(_similar(n, percent), "boolean")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
@@ -223,15 +243,18 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = PERCENT, bands:
 
     placed = (buckets.join(label, "node", "left").withColumn("comp", F.coalesce("component", "node")).select("key", "node", "size", "comp"))
     split = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
+    left = stage(placed.where("size > 2").join(split, "key"), "apart")
+    fine = (shared.join(left.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+            .mapInArrow(_fine(n), "node long, sig binary").where(F.col("sig").isNotNull()))
     parts = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), parts).cast("int")
-    mixed = (placed.where("size > 2").join(split, "key").join(sig, "node").select("key", "node", "comp", "sig", parts.alias("parts"), own.alias("own"))
+    mixed = (left.join(fine, "node").select("key", "node", "comp", "sig", parts.alias("parts"), own.alias("own"))
              .select("key", "node", "comp", "sig", "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
              .select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("block"),
                      F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"),
                      "node", "comp", "sig"))
     rest = (mixed.repartition("block").sortWithinPartitions("block")
-            .mapInArrow(_apart(LEAST_EQUAL), "a long, b long").distinct()
+            .mapInArrow(_apart(FINE_EQUAL), "a long, b long").distinct()
             .join(likely, ["a", "b"], "left_anti"))
     more = stage(confirmed(rest), "links")
     final = label if more.isEmpty() else stage(components(links.union(more)), "labels")

@@ -16,6 +16,12 @@ def pack(**arrays: np.ndarray) -> bytes:
     return zstandard.compress(b"".join(parts), 3)
 
 
+def runs(values: np.ndarray) -> list[tuple[int, int]]:
+    """Starts and ends of the runs of equal neighbours."""
+    cuts = np.flatnonzero(np.r_[True, values[1:] != values[:-1], True]).tolist() if len(values) else []
+    return list(zip(cuts, cuts[1:]))  # noqa: B905 - the last has no successor
+
+
 def unpack(blob: bytes) -> list[np.ndarray]:
     data, at, out = zstandard.decompress(blob), 0, []
     while at < len(data):
