@@ -145,6 +145,20 @@ def lineage(spark: SparkSession, version: str = "1", layers: Sequence[str] | Non
     return spark.createDataFrame(rows, schema)
 
 
+def schema_metadata(spark: SparkSession, as_of: Column, version: str = "1", layers: Sequence[str] | None = None,
+                    update_frequency: str | None = None) -> DataFrame:
+    """``lineage`` with all columns of the schema-metadata table, described from the definitions."""
+    rows = []
+    for t in TABLES.values():
+        if layers is None or t.layer in layers:
+            source = ", ".join(UPSTREAM.get(t.name, [])) or f"landing endpoint {t.name.removeprefix('raw_')}"
+            fields = {f.name: "key" if f.name in t.keys else "required" if f.name in t.required else "optional" for f in t.schema}
+            rows.append((t.name, f"{t.layer} table, a row for each {', '.join(t.keys)}", source, fields))
+    described = spark.createDataFrame(rows, "table_name string, description string, data_source string, field_descriptions map<string,string>")
+    return lineage(spark, version, layers).drop("layer").join(described, "table_name").withColumns(
+        {"last_updated": as_of, "update_frequency": F.lit(update_frequency).cast("string"), "created_at": as_of})
+
+
 def same_rows(a: DataFrame, b: DataFrame) -> DataFrame:
     """One row: rows only in the first and only in the second input, copies counted."""
     cols = a.columns

@@ -11,16 +11,19 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from pitwall.catalog import TABLES
 from pitwall.operators.clean import PROCESSED, dedup, process, valid_laps, valid_meetings
+from pitwall.operators.quality import metrics, schema_metadata
 from pitwall.operators.upsert import upsert_path
 from pitwall.plans.features import driver_features, race_context
 from pitwall.plans.performance import gp_performance
 from pitwall.plans.results import gp_results, standings
-from pitwall.sources.readers import landed_years, scan, scan_raw
+from pitwall.sources.readers import landed_years, path_exists, scan, scan_raw
 from pitwall.sources.tables import save_table
 from pitwall.sources.writers import write_partitioned
+from pitwall.streaming.streams import read_stream, stream_upsert
 
 
 def _as_text(endpoint: str, fmt: str) -> T.StructType | None:
@@ -77,6 +80,30 @@ def lake_job(spark: SparkSession, processed: str, lake: str, endpoint: str,
     return spark.read.parquet(path)
 
 
+def lake_stream(spark: SparkSession, processed: str, lake: str, endpoint: str, checkpoint: str,
+                clean: Callable[[DataFrame], DataFrame] = lambda df: df) -> StreamingQuery | None:
+    """``lake_job`` over the processed files not seen before; the checkpoint is the bookmark.
+
+    Only partitions with new rows are read and rewritten.  ``clean`` looks at single rows.
+    """
+    table, source = TABLES[f"lake_{endpoint}"], f"{processed}/{endpoint}"
+    if not path_exists(spark, source):
+        return None
+    batch = clean(read_stream(spark, source, scan(spark, source).schema))
+    columns = [c for c in table.schema.names if c in batch.columns]
+    order = [F.desc_nulls_last("processing_timestamp"), *[F.asc_nulls_last(c) for c in columns if c not in table.keys]]
+    keys = list(dict.fromkeys([*table.keys, *table.partition_by]))
+    return stream_upsert(batch.select(*columns), f"{lake}/{table.name}", keys, order, checkpoint, table.partition_by)
+
+
+def save_metadata(spark: SparkSession, database: str, tables: Mapping[str, DataFrame], as_of: Column) -> None:
+    """Append a row of quality metrics for each of the tables given, and replace the schema metadata of all."""
+    for name, df in tables.items():
+        ts = next((c for c in ("date", "date_start") if c in df.columns), None)
+        save_table(metrics(df, name, as_of, ts=ts), f"{database}.data_quality_metrics")
+    save_table(schema_metadata(spark, as_of), f"{database}.schema_metadata", "replace")
+
+
 def meetings_job(spark: SparkSession, processed: str, lake: str) -> DataFrame | None:
     return lake_job(spark, processed, lake, "meetings", valid_meetings)
 
