@@ -23,7 +23,7 @@ SHARD_NODES = 4096
 QUERY_BLOCK = 512
 NEIGHBOURS = 16  # of a node in the upper layers; twice as many in the lowest
 BUILD_WIDTH = 64
-SEARCH_WIDTH = 64
+SEARCH_WIDTH = 96
 
 
 class Graph:
