@@ -25,12 +25,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.llm.packing import pack, unpack
+from pitwall.llm.packing import pack, runs, unpack
 from pitwall.llm.words import mix, powers, prefix_hash, raw_bytes, substring_hash
 from pitwall.session import stage
 
 LENGTH = 50
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 3 << 20
 NO_ID = np.iinfo(np.int64).max
 # Text whose fingerprints, and whose suffixes, one task gathers from all chunks.
 BUCKET_TEXT, PART_TEXT = 24 << 20, 16 << 20
@@ -107,8 +107,7 @@ def _listed(bits: int, buckets: int, length: int):
             for chunk, docs, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 prints = np.unique(Anchors(docs, text, length).fingerprints(bits))
                 bucket = (prints * np.uint64(buckets)) >> np.uint64(bits)
-                cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, np.int64)
-                for s, e in zip(cuts, np.r_[cuts[1:], len(prints)], strict=True):
+                for s, e in runs(bucket):
                     blob = pack(prints=np.diff(prints[s:e], prepend=np.uint64(0)))
                     yield pa.RecordBatch.from_arrays([pa.array([int(bucket[s])], pa.int64()), pa.array([chunk], pa.int64()), pa.array([blob], pa.binary())],
                                                      ["bucket", "chunk", "prints"])
@@ -129,7 +128,7 @@ def _shared(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["chunk", "prints"])
 
 
-class Runs:
+class Suffixes:
     """The suffixes a chunk sends, as rows of bytes: gram and what follows, what precedes reversed, offsets least and most."""
 
     def __init__(self, a: Anchors, shared: list[bytes], bits: int, parts: int, length: int) -> None:
@@ -138,31 +137,29 @@ class Runs:
         wanted = np.concatenate([a.several(prints), *(np.cumsum(unpack(b)[0], dtype=np.uint64) for b in shared)])
         self.pick = np.flatnonzero(np.isin(prints, wanted))
         place, doc = a.place[self.pick], a.doc[self.pick]
-        begin, end = a.starts[doc][:, None], a.starts[doc + 1][:, None]
-        right = place[:, None] + np.arange(length)
-        left = place[:, None] - 1 - np.arange(half + length % 2)
-        rows = np.concatenate([
-            np.where(right < end, a.data[np.minimum(right, max(0, len(a.data) - 1))], 0),
-            np.where(left >= begin, a.data[np.maximum(left, 0)], 0),
-            a.low[self.pick][:, None], a.high[self.pick][:, None]], axis=1).astype(np.uint8)
+        back = length - half
+        padded = np.concatenate([np.zeros(back, np.uint8), a.data, np.zeros(length, np.uint8)])
+        around = np.lib.stride_tricks.sliding_window_view(padded, back + length)[place] if len(place) else np.zeros((0, back + length), np.uint8)
         part = (mix(a.gram[self.pick]) % np.uint64(parts)).astype(np.int64)
-        wide = np.zeros((len(rows), -(-rows.shape[1] // 8) * 8), np.uint8)
-        wide[:, : rows.shape[1]] = rows
-        order = np.lexsort([*wide.view(">u8").astype(np.uint64).T[::-1], part])
-        rows, part = rows[order], part[order]
-        differ = rows[1:] != rows[:-1]
-        new = np.r_[True, differ.any(axis=1) | (part[1:] != part[:-1])][: len(rows)]
+        # The part comes first, as four bytes, so that one sort of bytes does; bytes beyond the document are zero.
+        rows = np.zeros((len(place), 4 + length + back + 2), np.uint8)
+        rows[:, :4] = part.astype(">u4").view(np.uint8).reshape(-1, 4)
+        rows[:, 4 : 4 + length] = np.where(np.arange(length) < (a.starts[doc + 1] - place)[:, None], around[:, back:], 0)
+        rows[:, 4 + length : -2] = np.where(np.arange(back) < (place - a.starts[doc])[:, None], around[:, back - 1 :: -1] if back else 0, 0)
+        rows[:, -2], rows[:, -1] = a.low[self.pick], a.high[self.pick]
+        order = np.argsort(rows.view(f"S{rows.shape[1]}").ravel(), kind="stable")
+        rows, part = rows[order][:, 4:], part[order]
+        new = np.r_[True, (rows[1:] != rows[:-1]).any(axis=1) | (part[1:] != part[:-1])][: len(rows)]
         entry = np.cumsum(new) - 1
         self.entry = np.empty(len(rows), np.int64)  # of each picked anchor
         self.entry[order] = entry
         self.rows, self.part = rows[new], part[new]
         ids = a.ids[doc][order]
         self.least = np.minimum.reduceat(ids, np.flatnonzero(new)) if len(rows) else ids
-        self.cuts = np.flatnonzero(np.r_[True, self.part[1:] != self.part[:-1]]) if len(self.part) else np.zeros(0, np.int64)
 
     def coded(self) -> Iterator[tuple[int, bytes]]:
         """A front-coded run for each part: how much each row shares with the one before, and the rest of it."""
-        for s, e in zip(self.cuts, np.r_[self.cuts[1:], len(self.part)], strict=True):
+        for s, e in runs(self.part):
             rows = self.rows[s:e]
             common = np.zeros(len(rows), np.uint8)
             if len(rows) > 1:
@@ -175,7 +172,7 @@ def _runs(bits: int, parts: int, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, docs, text, shared in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for part, blob in Runs(Anchors(docs, text, length), shared or [], bits, parts, length).coded():
+                for part, blob in Suffixes(Anchors(docs, text, length), shared or [], bits, parts, length).coded():
                     yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([chunk], pa.int64()), pa.array([blob], pa.binary())],
                                                      ["part", "chunk", "run"])
 
@@ -322,28 +319,26 @@ OUT = "doc_id long, n_bytes long, spans array<struct<start:int,end:int>>, kept b
 def _cut(bits: int, parts: int, length: int):
     spread = length - length // 2 + 1
 
-    def answers(blob: bytes) -> np.ndarray:
-        changes, offsets, ids = unpack(blob)
-        out = np.zeros((len(changes), spread), np.int64)
-        step = np.diff(ids, prepend=0)
-        step[np.flatnonzero(offsets == 0)] = ids[offsets == 0]
-        out[np.repeat(np.arange(len(changes)), changes), offsets] = step
-        return np.cumsum(out, axis=1)
+    def covered(a: Anchors, own: Suffixes, found: list) -> np.ndarray:
+        """How many strings that go cover each byte, as differences."""
+        changes, offsets, ids = (np.concatenate(x) for x in zip(*(unpack(f["ids"]) for f in sorted(found, key=lambda f: f["part"])), strict=True))
+        first = np.r_[0, np.cumsum(changes, dtype=np.int64)]
+        until = np.r_[offsets[1:], 0]  # a change holds up to the next one, the last up to all offsets
+        until[first[1:] - 1] = spread
+        n = changes[own.entry].astype(np.int64)
+        anchor = np.repeat(np.arange(len(n)), n)
+        change = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + first[own.entry][anchor]
+        gone = ids[change] < a.ids[a.doc[own.pick]][anchor]
+        place, change = a.place[own.pick][anchor[gone]], change[gone]
+        size = len(a.data) + 1
+        return np.bincount(place - until[change] + 1, minlength=size) - np.bincount(place - offsets[change] + length, minlength=size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, docs, text, shared, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 a = Anchors(docs, text, length)
-                runs = Runs(a, shared or [], bits, parts, length)
-                cover = np.zeros(len(a.data) + 1, np.int32)
-                if found:
-                    ids = np.concatenate([answers(x["ids"]) for x in sorted(found, key=lambda x: x["part"])])[runs.entry]
-                    place, own = a.place[runs.pick], a.ids[a.doc[runs.pick]]
-                    hit, offset = np.nonzero(ids < own[:, None])
-                    start = place[hit] - offset
-                    np.add.at(cover, start, 1)
-                    np.add.at(cover, start + length, -1)
-                gone = np.cumsum(cover[:-1]) > 0
+                own = Suffixes(a, shared or [], bits, parts, length)
+                gone = np.cumsum(covered(a, own, found)[:-1]) > 0 if found else np.zeros(len(a.data), bool)
                 spans, kept = [], []
                 for s, e in zip(a.starts[:-1], a.starts[1:], strict=True):
                     turn = np.flatnonzero(np.diff(np.r_[False, gone[s:e], False]))
