@@ -17,7 +17,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pitwall.llm.packing import pack, unpack
+from pitwall.llm.memory import tidy
+from pitwall.llm.packing import pack, runs, unpack
 from pitwall.llm.words import mix
 from pitwall.session import stage
 
@@ -28,8 +29,8 @@ SLACK = 1.25  # a clean text may be that much harder than the quantile
 HELD_OUT = 5  # one in so many trusted documents is not trained on and sets the thresholds
 GRID = 1000  # steps of log perplexity between which quantiles are not told apart
 LEAST_TRUSTED = 30
-BLOCK_ROWS = 4096
-SLICE_CHARS = 2 << 20
+BLOCK_ROWS = 16384
+SLICE_CHARS, PACKED_CHARS = 1 << 20, 4 << 20
 # Ids of trusted documents that are broadcast; more of them are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 
@@ -55,12 +56,12 @@ def _language(lang: str | None) -> np.uint64:
     return mix(np.array([zlib.crc32((lang or "").encode()) + (lang is not None)], np.uint64))[0]
 
 
-def _slices(column: pa.Array) -> Iterator[tuple[int, int]]:
+def _slices(column: pa.Array, most: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
     at = to = size = 0
     lengths = pa.compute.utf8_length(column).fill_null(0).to_pylist()
     for to, n in enumerate(lengths, 1):
         size += n
-        if size >= SLICE_CHARS:
+        if size >= most:
             yield at, to
             at, size = to, 0
     if at < to:
@@ -68,9 +69,14 @@ def _slices(column: pa.Array) -> Iterator[tuple[int, int]]:
 
 
 def _grams(order: int, counted: bool):
-    """(key, lang, gram[, n]): distinct n-grams by key (block or nothing) and language, with counts if asked for."""
+    """(block, lang, gram[, n]): n-grams by block and language, with counts if asked for.
+
+    Without counts, an n-gram is told once for each run of rows of one block.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told: dict[str | None, np.ndarray] = {}
+        current: int | None = None
         for batch in batches:
             for at, to in _slices(batch.column(2)):
                 blocks, langs, texts = (c.slice(at, to - at).to_pylist() for c in batch.columns)
@@ -85,7 +91,15 @@ def _grams(order: int, counted: bool):
                     ends = np.flatnonzero(inside)
                     if not len(ends):
                         continue
-                    _, first, n = np.unique(_keys(points, order)[ends - order + 1], return_index=True, return_counts=True)
+                    keys, first, n = np.unique(_keys(points, order)[ends - order + 1], return_index=True, return_counts=True)
+                    if not counted:
+                        if block != current:
+                            told, current = {}, block
+                        known = told.get(lang, keys[:0])
+                        fresh = ~np.isin(keys, known, assume_unique=True)
+                        first, told[lang] = first[fresh], np.union1d(known, keys)
+                        if not len(first):
+                            continue
                     flat = points[(ends[first] - order + 1)[:, None] + np.arange(order)].astype("<u4").tobytes().decode("utf-32-le")
                     # With one code point a character, n-grams are equal slices.
                     grams = pa.array([flat[i : i + order] for i in range(0, len(flat), order)], pa.string())
@@ -93,7 +107,7 @@ def _grams(order: int, counted: bool):
                     names = ["block", "lang", "gram"]
                     yield pa.RecordBatch.from_arrays(columns + [pa.array(n, pa.int64())] * counted, names + ["n"] * counted)
 
-    return run
+    return tidy(run)
 
 
 def _discount(n: Column) -> Column:
@@ -158,19 +172,36 @@ def _packed(order: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, to in _slices(batch.column(3)):
+            for at, to in _slices(batch.column(3), PACKED_CHARS):
                 blocks = batch.column(0).slice(at, to - at).to_numpy()
-                cuts = np.flatnonzero(np.r_[True, blocks[1:] != blocks[:-1]])
-                for s, e in zip(cuts, np.r_[cuts[1:], len(blocks)], strict=True):
-                    ids, langs, texts = (batch.column(c).slice(at + int(s), int(e - s)) for c in (1, 2, 3))
+                for s, e in runs(blocks):
+                    ids, langs, texts = (batch.column(c).slice(at + s, e - s) for c in (1, 2, 3))
                     texts = texts.to_pylist()
                     sizes = np.array([-1 if t is None else len(t.encode()) for t in texts], np.int64)
-                    body = zstandard.compress("".join(t or "" for t in texts).encode(), 3)
+                    body = zstandard.compress("".join(t or "" for t in texts).encode(), 6)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([blocks[s]], pa.int64()), pa.array([ids.to_pylist()], pa.list_(pa.int64())), pa.array([langs.to_pylist()], pa.list_(pa.string())),
                          pa.array([pack(sizes=sizes)], pa.binary()), pa.array([body], pa.binary())], ["block", "ids", "langs", "sizes", "text"])
 
-    return run
+    return tidy(run)
+
+
+def _table(order: int):
+    """(block, answers): the n-grams of a block by key, sorted, with their log probabilities."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                a = batch.column(1)[row].values
+                points = np.frombuffer("".join(a.field("gram").to_pylist()).encode("utf-32-le"), np.uint32)
+                codes = pa.compute.dictionary_encode(a.field("lang"), null_encoding="encode")
+                seed = np.array([_language(x) for x in codes.dictionary.to_pylist()], np.uint64)[codes.indices.to_numpy()]
+                keys = _keys(points, order)[::order] ^ seed
+                by = np.argsort(keys)
+                value = a.field("logp").to_numpy(zero_copy_only=False)[by]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, 1), pa.array([pack(keys=keys[by], value=value)], pa.binary())], ["block", "answers"])
+
+    return tidy(run)
 
 
 def _score(order: int):
@@ -181,15 +212,7 @@ def _score(order: int):
                 ids, langs = ids.as_py(), langs.as_py()
                 (size,) = unpack(sizes.as_py())
                 body = zstandard.decompress(text.as_py()) if size.max(initial=0) > 0 else b""
-                table, value = np.zeros(0, np.uint64), np.zeros(0)
-                if answers.is_valid and len(answers.values):
-                    a = answers.values
-                    points = np.frombuffer("".join(a.field("gram").to_pylist()).encode("utf-32-le"), np.uint32)
-                    codes = pa.compute.dictionary_encode(a.field("lang"), null_encoding="encode")
-                    seed = np.array([_language(x) for x in codes.dictionary.to_pylist()], np.uint64)[codes.indices.to_numpy()]
-                    table = _keys(points, order)[::order] ^ seed
-                    by = np.argsort(table)
-                    table, value = table[by], a.field("logp").to_numpy(zero_copy_only=False)[by]
+                table, value = unpack(answers.as_py()) if answers.is_valid else (np.zeros(0, np.uint64), np.zeros(0))
                 sums, n = [], []
                 at = 0
                 for lang, s in zip(langs, size.tolist(), strict=True):
@@ -203,7 +226,7 @@ def _score(order: int):
                     [pa.array(ids, pa.int64()), pa.array(langs, pa.string()), pa.array(n, pa.int64()),
                      pa.array([None if x is None or np.isnan(x) else x for x in sums], pa.float64())], ["doc_id", "lang", "n_chars", "logp"])
 
-    return run
+    return tidy(run)
 
 
 def perplexities(docs: DataFrame, model: dict[int, tuple[DataFrame, DataFrame]], block: Column | None = None) -> DataFrame:
@@ -220,9 +243,11 @@ def perplexities(docs: DataFrame, model: dict[int, tuple[DataFrame, DataFrame]],
     asked = stage(rows.select("block", "lang", "text").mapInArrow(_grams(order, False), "block long, lang string, gram string"), "asked")
     known = log_probabilities(asked.select("lang", "gram").distinct(), model).select(F.col("lang").alias("_lang"), F.col("gram").alias("_gram"), "logp")
     answers = (asked.join(known, (asked["gram"] == known["_gram"]) & asked["lang"].eqNullSafe(known["_lang"]))
-               .groupBy("block").agg(F.collect_list(F.struct("lang", "gram", "logp")).alias("answers")))  # n-grams of one block
+               .groupBy("block").agg(F.collect_list(F.struct("lang", "gram", "logp")).alias("answers"))  # n-grams of one block
+               .mapInArrow(_table(order), "block long, answers binary"))
+    parts = asked.agg(F.count_distinct("block")).first()[0] or 1  # a block's texts and its answers meet in one task
     packed = rows.mapInArrow(_packed(order), "block long, ids array<long>, langs array<string>, sizes binary, text binary")
-    return (packed.join(answers, "block", "left").select("ids", "langs", "sizes", "text", "answers")
+    return (packed.repartition(min(parts, 100_000), "block").join(answers, "block", "left").select("ids", "langs", "sizes", "text", "answers")
             .mapInArrow(_score(order), "doc_id long, lang string, n_chars long, logp double")
             .select("doc_id", "lang", "n_chars", F.exp(-F.col("logp") / F.col("n_chars")).alias("perplexity")))
 
