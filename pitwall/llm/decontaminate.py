@@ -14,11 +14,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitwall.llm.memory import tidy
 from pitwall.llm.words import ALNUM, raw_bytes, words
 from pitwall.session import stage
 
 WINDOW = 10
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 # Text of test items that one broadcast carries; more items take several passes over the documents.
 BLOCK_BYTES = 16 << 20
 
@@ -190,7 +191,7 @@ def _matches(block, window: int):
                      pa.array(x.items, pa.list_(pa.string())), pa.array(x.longest, pa.int32())],
                     ["row", "doc_id", "n_words", "spans", "items", "longest"])
 
-    return run
+    return tidy(run)
 
 
 def _clean(block, window: int, column: int):
@@ -199,7 +200,7 @@ def _clean(block, window: int, column: int):
             for x in _shards(batch.column(column), block.value, window):
                 yield batch.slice(x.at, x.to - x.at).filter(pa.array([not s for s in x.spans]))
 
-    return run
+    return tidy(run)
 
 
 def _blocks(items: DataFrame) -> Iterator:

@@ -11,6 +11,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pitwall.llm.memory import tidy
+
 SAMPLE_DOCS = 128
 SAMPLE_BYTES = 8192
 DICTIONARY_BYTES = 112 << 10
@@ -70,7 +72,7 @@ def _classifier(learned: dict[str, bytes]):
             columns = [*batch.columns[:-1], pa.array(preds, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "lang_pred", "score"])
 
-    return run
+    return tidy(run)
 
 
 def identify(docs: DataFrame, learned: dict[str, bytes], min_margin: float = MIN_MARGIN) -> DataFrame:

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitwall.llm.memory import tidy
 from pitwall.llm.components import components
 from pitwall.llm.packing import runs
 from pitwall.llm.words import NON_SPACE, raw_bytes, shingles, whole, words
@@ -24,11 +25,11 @@ BANDS, ROWS = 32, 4  # a pair at 0.8 misses every band with a chance of (1 - 0.8
 PERCENT = 80
 # Share of equal minima below which a pair is not checked: 5.5 standard deviations under 0.8 for 128 minima, 5 for FINE.
 LEAST_EQUAL = 0.605
-FINE, FINE_EQUAL = 512, 0.712
+FINE, FINE_EQUAL = 1024, 0.738
 BLOCK = 512
 # Ids that are broadcast to pick their texts; more of them are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def _family(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -88,7 +89,7 @@ def _sketches(n: int, bands: int, rows: int):
                     [batch.column(0).slice(at, to - at), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())],
                     ["doc_id", "n_shingles", "set_key", "sig"])
 
-    return run
+    return tidy(run)
 
 
 def _fine(n: int):
@@ -104,7 +105,7 @@ def _fine(n: int):
                         for k in range(to - at)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), pa.array(sigs, pa.binary())], ["node", "sig"])
 
-    return run
+    return tidy(run)
 
 
 def _bands(bands: int, rows: int):
@@ -121,7 +122,7 @@ def _bands(bands: int, rows: int):
             nodes = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), bands)
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(key.ravel().view(np.int64))], ["node", "key"])
 
-    return run
+    return tidy(run)
 
 
 def _equal_minima(left: pd.Series, right: pd.Series) -> pd.Series:
@@ -156,8 +157,8 @@ def _apart(least: float):
 
     def pairs(side, node, comp, m):
         first, second = np.flatnonzero(side <= 1), np.flatnonzero(side != 1)  # side 0: in both halves
-        for at in range(0, len(first), 64):
-            i = first[at : at + 64]
+        for at in range(0, len(first), 16):
+            i = first[at : at + 16]
             near = (m[i][:, None, :] == m[second][None, :, :]).mean(axis=2) >= least
             near &= (comp[i][:, None] != comp[second][None, :]) & (node[i][:, None] != node[second][None, :])
             x, y = np.nonzero(near)
@@ -185,7 +186,7 @@ def _apart(least: float):
         if held is not None and held.num_rows:
             yield from flush(held.combine_chunks())
 
-    return run
+    return tidy(run)
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitwall.llm.memory import tidy
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 CACHED_WORDS = 300_000
@@ -211,6 +213,7 @@ def compiled(model: bytes) -> Transducer:
 def _encoder(block, check: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fst = compiled(block.value)
+        fst.cache.clear()  # of an earlier task
         for batch in batches:
             column, at = batch.column(batch.num_columns - 1), 0
             while at < len(column):
@@ -231,8 +234,9 @@ def _encoder(block, check: bool):
                     columns, names = [*columns, pa.array(same, pa.bool_())], [*names, "round_trip"]
                 yield pa.RecordBatch.from_arrays(columns, names)
                 at += len(coded)
+        fst.cache.clear()
 
-    return run
+    return tidy(run)
 
 
 def _decoder(block):
@@ -242,7 +246,7 @@ def _decoder(block):
             texts = [None if x.as_py() is None else fst.decode(x.values.to_numpy()) for x in batch.column(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], [*batch.schema.names[:-1], "decoded"])
 
-    return run
+    return tidy(run)
 
 
 def _model(spark: SparkSession, path: str):
