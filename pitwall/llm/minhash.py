@@ -108,19 +108,25 @@ def _fine(n: int):
     return tidy(run)
 
 
+def band_keys(sig: np.ndarray, rows: int) -> np.ndarray:
+    """A 64-bit key for each band of each signature."""
+    sig = sig.reshape(len(sig), -1, rows).astype(np.uint64)
+    key = np.broadcast_to(np.arange(1, sig.shape[1] + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), sig.shape[:2]).copy()
+    for r in range(rows):
+        key = (key ^ sig[:, :, r]) * np.uint64(0xBF58476D1CE4E5B9)
+        key ^= key >> np.uint64(29)
+    return key.view(np.int64)
+
+
 def _bands(bands: int, rows: int):
-    """(node, key): a 64-bit key for each band of a signature."""
+    """(node, key) for each band of a signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, _ = raw_bytes(batch.column(1))
-            sig = np.frombuffer(data.tobytes(), np.uint32).reshape(-1, bands, rows).astype(np.uint64)
-            key = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), sig.shape[:2]).copy()
-            for r in range(rows):
-                key = (key ^ sig[:, :, r]) * np.uint64(0xBF58476D1CE4E5B9)
-                key ^= key >> np.uint64(29)
+            key = band_keys(np.frombuffer(data.tobytes(), np.uint32).reshape(-1, bands * rows), rows)
             nodes = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), bands)
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(key.ravel().view(np.int64))], ["node", "key"])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(key.ravel())], ["node", "key"])
 
     return tidy(run)
 
@@ -152,25 +158,34 @@ def _similar(n: int, percent: int):
     return run
 
 
-def _apart(least: float):
-    """Pairs of one bucket block whose components differ and whose minima agree often enough; rows come sorted by key."""
+def _apart(least: float, rows: int):
+    """Pairs of one bucket block whose components differ and whose minima agree often enough; rows come sorted by block.
+
+    A pair is told in the first band that it shares only.
+    """
 
-    def pairs(side, node, comp, m):
+    def pairs(side, node, comp, m, base, key):
         first, second = np.flatnonzero(side <= 1), np.flatnonzero(side != 1)  # side 0: in both halves
         for at in range(0, len(first), 16):
             i = first[at : at + 16]
             near = (m[i][:, None, :] == m[second][None, :, :]).mean(axis=2) >= least
             near &= (comp[i][:, None] != comp[second][None, :]) & (node[i][:, None] != node[second][None, :])
             x, y = np.nonzero(near)
-            yield node[i[x]], node[second[y]]
+            if len(x):
+                mine = band_keys(base[i[x]], rows)
+                same = mine == band_keys(base[second[y]], rows)
+                told = mine[np.arange(len(x)), same.argmax(axis=1)] == key
+                yield node[i[x[told]]], node[second[y[told]]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(table: pa.Table):
             key = table.column("block").to_numpy()
             side, node, comp = (table.column(c).to_numpy() for c in ("side", "node", "comp"))
             sig = raw_bytes(table.column("sig"))[0].reshape(len(key), -1)
+            base, bucket = (table.column(c) for c in ("base", "key"))
+            base, bucket = np.frombuffer(raw_bytes(base)[0].tobytes(), np.uint32).reshape(len(key), -1), bucket.to_numpy()
             for s, e in runs(key):
-                for x, y in pairs(side[s:e], node[s:e], comp[s:e], sig[s:e]):
+                for x, y in pairs(side[s:e], node[s:e], comp[s:e], sig[s:e], base[s:e], bucket[s]):
                     if len(x):
                         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
 
@@ -249,13 +264,14 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = PERCENT, bands:
             .mapInArrow(_fine(n), "node long, sig binary").where(F.col("sig").isNotNull()))
     parts = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), parts).cast("int")
-    mixed = (left.join(fine, "node").select("key", "node", "comp", "sig", parts.alias("parts"), own.alias("own"))
-             .select("key", "node", "comp", "sig", "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    base = classes.select("node", F.col("sig").alias("base"))
+    mixed = (left.join(fine, "node").join(base, "node").select("key", "node", "comp", "sig", "base", parts.alias("parts"), own.alias("own"))
+             .select("key", "node", "comp", "sig", "base", "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
              .select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("block"),
                      F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"),
-                     "node", "comp", "sig"))
+                     "node", "comp", "sig", "base", "key"))
     rest = (mixed.repartition("block").sortWithinPartitions("block")
-            .mapInArrow(_apart(FINE_EQUAL), "a long, b long").distinct()
+            .mapInArrow(_apart(FINE_EQUAL, rows), "a long, b long").distinct()
             .join(likely, ["a", "b"], "left_anti"))
     more = stage(confirmed(rest), "links")
     final = label if more.isEmpty() else stage(components(links.union(more)), "labels")

@@ -74,12 +74,15 @@ def test_blocks_find_what_hubs_leave_apart():
     import pyarrow as pa
 
     one, two = np.arange(128, dtype=np.uint8), np.arange(128, 256, dtype=np.uint8)
+    base = np.arange(128, dtype=np.uint32).tobytes()
+    key = int(minhash.band_keys(np.frombuffer(base, np.uint32).reshape(1, -1), 4)[0, 0])
     sig = [one.tobytes(), two.tobytes(), one.tobytes(), two.tobytes()]
     batch = pa.RecordBatch.from_arrays(
         [pa.array([1, 1, 1, 1], pa.int64()), pa.array([0, 0, 0, 0], pa.int32()), pa.array([1, 2, 3, 4], pa.int64()),
-         pa.array([1, 2, 3, 4], pa.int64()), pa.array(sig, pa.binary())], ["block", "side", "node", "comp", "sig"])
+         pa.array([1, 2, 3, 4], pa.int64()), pa.array(sig, pa.binary()), pa.array([base] * 4, pa.binary()), pa.array([key] * 4)],
+        ["block", "side", "node", "comp", "sig", "base", "key"])
     halves = [batch.slice(0, 3), batch.slice(3)]  # a block over two batches
-    pairs = {(a, b) for out in minhash._apart(0.6)(iter(halves)) for a, b in zip(*(c.to_pylist() for c in out.columns), strict=True)}
+    pairs = {(a, b) for out in minhash._apart(0.6, 4)(iter(halves)) for a, b in zip(*(c.to_pylist() for c in out.columns), strict=True)}
     assert pairs == {(1, 3), (2, 4)}
 
 
