@@ -26,8 +26,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines of a source go; every document stays, with its new length."""
-    left = drop_boilerplate(docs)
+    """Boilerplate lines of a source go; every document stays, with its new length.
+
+    Copies are left to the next stage, so here they count as one page: the lines of a text that is copied often are kept.
+    """
+    left = drop_boilerplate(docs, copies=False)
     if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.length("text").cast("long"))
     return left.select(docs.columns)

@@ -9,19 +9,22 @@ RATIO = 0.1
 MIN_PAGES = 10
 
 
-def boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES, copies: bool = True) -> DataFrame:
     """(host, lines): hashes of the lines on more than ``ratio`` of the host's pages and on ``min_pages`` at least.
 
-    A page counts a line once. Page totals and line counts are summed in the map tasks before the shuffle, by host and
+    A page counts a line once. Without ``copies``, pages of one host with the same text are one page, in the counts and in the
+    totals (a null text is the empty one); copies are reduced in the map tasks before they are shuffled. Page totals and line counts are summed in the map tasks before the shuffle, by host and
     line, so a host with a third of all pages is spread over its lines. A host has at most (mean number of distinct
     lines of its pages) / ratio such lines, which bounds the array.
     """
     # A line of null stands for the page itself; it is counted by the same aggregation and gives the host's total.
-    lines = docs.select(
-        F.col(host).alias("_host"),
-        F.explode(F.array_append(F.array_distinct(F.transform(
-            F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.xxhash64(x))), F.lit(None).cast("long"))).alias("_line"),
-    )
+    text = F.coalesce("text", F.lit(""))
+    pages = docs.select(
+        F.col(host).alias("_host"), F.xxhash64(text).alias("_page"), F.octet_length(text).alias("_size"),
+        F.array_distinct(F.transform(F.split(text, "\n"), lambda x: F.xxhash64(x))).alias("_lines"))
+    if not copies:
+        pages = pages.groupBy("_host", "_page", "_size").agg(F.first("_lines").alias("_lines"))
+    lines = pages.select("_host", F.explode(F.array_append("_lines", F.lit(None).cast("long"))).alias("_line"))
     counts = lines.groupBy("_host", "_line").agg(F.count("*").alias("_n"))
     # Only lines on min_pages pages are candidates: few are left to be joined with the totals.
     often = counts.where(F.col("_line").isNotNull() & (F.col("_n") >= min_pages))
@@ -33,16 +36,17 @@ def boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, min
     )
 
 
-def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES, copies: bool = True) -> DataFrame:
     """``docs`` without the boilerplate lines of their host; all rows stay.
 
     ``text`` is what is left, its lines in their order, joined by a line feed; ``n_lines`` and ``n_dropped`` are added (and
     replace input columns of these names). Lines are compared exactly, including empty ones and white space at their ends.
     A text of boilerplate only becomes empty, a null text stays null with no lines, rows with a null host form a host of
-    their own. A host with fewer than ``min_pages`` pages loses nothing.
+    their own. A host with fewer than ``min_pages`` pages loses nothing. Without ``copies``, only pages of different texts count,
+    so that a text is not boilerplate for being copied; copies all lose the same lines.
     """
     lines = F.split(F.coalesce("text", F.lit("")), "\n")
-    bad = boilerplate(docs, host, ratio, min_pages).withColumnRenamed("_host", "_bad_host")
+    bad = boilerplate(docs, host, ratio, min_pages, copies).withColumnRenamed("_host", "_bad_host")
     joined = docs.join(bad, docs[host].eqNullSafe(bad["_bad_host"]), "left")
     left = F.filter("_split", lambda x: ~F.coalesce(F.array_contains("_lines", F.xxhash64(x)), F.lit(False)))
     kept = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]

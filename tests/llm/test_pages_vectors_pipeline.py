@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import random
 from collections import Counter
 from pathlib import Path
 
@@ -131,6 +132,34 @@ def test_pipeline_of_awkward_and_of_no_rows(spark, clashing, no_docs):
             docs = spark.read.parquet(path)
 
 
+def test_pipeline_keeps_one_of_a_large_group_of_copies(spark):
+    """Stages 4 and 3 by brute force: boilerplate counted over different pages, then one document of each group of copies."""
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(500)]
+
+    def own():
+        return "\n".join(" ".join(rng.choices(words, k=12)) for _ in range(4))
+
+    rows = [(i, f"site menu\n{own()}", "en", "a") for i in range(40)] + [(100 + i, own(), "en", "b") for i in range(30)]
+    copied, other = f"site menu\n{own()}", own()
+    rows += [(200 + i, copied, "en", "a") for i in range(35)] + [(300 + i, other, "en", "b") for i in range(12)]
+    menu = {}
+    for source in "ab":
+        pages = {t for _, t, _, s in rows if s == source}
+        n = Counter(x for t in pages for x in set(t.split("\n")))
+        menu[source] = {x for x, k in n.items() if k >= 10 and k > 0.1 * len(pages)}
+    want = {}
+    for i, t, _, s in sorted(rows):
+        left = "\n".join(x for x in t.split("\n") if x not in menu[s])
+        want.setdefault(left, i)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(4)
+    for name, stage in corpus_pipeline.STAGES:
+        if name in ("line_dedup", "near_dedup"):
+            docs = stage(spark, docs, FOLDER)
+    got = {r.text: r.doc_id for r in docs.collect()}
+    assert got == want and menu == {"a": {"site menu"}, "b": set()}
+
+
 def test_nothing_else_imports_the_subpackage():
     root = Path(__file__).resolve().parents[2]
     for top in ("pitwall", "suite", "tests"):

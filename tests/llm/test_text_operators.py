@@ -281,6 +281,15 @@ def test_boilerplate_lines(spark, no_docs, docs, corpus):
     assert lines.drop_boilerplate(docs).count() == len(corpus)
 
 
+def test_copies_are_one_page(spark):
+    rows = [(i, f"menu\nown {i}", "a") for i in range(30)] + [(100 + i, "copied\ntext", "a") for i in range(15)]
+    rows += [(200 + i, None if i % 2 else "", "a") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = {r.doc_id: r.text for r in lines.drop_boilerplate(df, copies=False).collect()}
+    assert got == {i: f"own {i}" if i < 30 else t for i, t, _ in rows}
+    assert {r.text for r in lines.drop_boilerplate(df).where("doc_id BETWEEN 100 AND 199").collect()} == {""}
+
+
 # -- shards ------------------------------------------------------------------------------------------------------------
 
 
