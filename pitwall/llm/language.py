@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 
@@ -18,6 +19,8 @@ SAMPLE_BYTES = 8192
 DICTIONARY_BYTES = 112 << 10
 LEVEL = 9
 MIN_MARGIN = 0.004
+PIECE_BYTES = 8192  # a dictionary's help is bounded, so what it is measured on is as well
+SPREAD, SPREAD_PIECES = 3.0, 8  # a lead of so many standard errors tells, over so many pieces or more
 
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
@@ -46,31 +49,72 @@ def dictionaries(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_byt
     return out
 
 
-def _classifier(learned: dict[str, bytes]):
+def matched(raw: bytes, dictionary: bytes) -> int:
+    """The lengths of the longest matches in the dictionary, summed over all places of the text: a measure finer than bytes."""
+    total = end = 0
+    for at in range(len(raw)):
+        end = max(end, at)
+        while end < len(raw) and raw[at : end + 1] in dictionary:
+            end += 1
+        total += end - at
+    return total
+
+
+def told(sizes: np.ndarray) -> tuple[int, float, float]:
+    """Of the sizes (pieces, languages): the best language, its margin, and its lead in standard errors over the pieces.
+
+    The margin is by how much of the second smallest sum the smallest is smaller.
+    """
+    sums = sizes.sum(axis=0)
+    best, second = np.argsort(sums, kind="stable")[:2].tolist()
+    lead = (sizes[:, second] - sizes[:, best]).astype(np.float64)
+    margin = float(lead.sum() / sums[second])
+    if len(lead) < SPREAD_PIECES or lead.sum() <= 0:
+        return best, margin, 0.0
+    error = float(lead.std(ddof=1)) * len(lead) ** 0.5
+    return best, margin, float(lead.sum()) / error if error else float("inf")
+
+
+def _classifier(learned: dict[str, bytes], min_margin: float):
     names = sorted(learned)
 
+    def finer(raw: bytes) -> tuple[int, float]:
+        lengths = np.array([matched(raw, learned[name]) for name in names])
+        best, second = np.argsort(-lengths, kind="stable")[:2].tolist()
+        return best, float(lengths[best] - lengths[second]) / max(1, int(lengths[best]))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coders = []
+        coders, again = [], functools.lru_cache(1024)(finer)  # copies of a short text are judged once
         for name in names:
             d = zstandard.ZstdCompressionDict(learned[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             d.precompute_compress(level=LEVEL)
             coders.append(zstandard.ZstdCompressor(dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False))
         for batch in batches:
-            preds, scores = [], []
+            preds, scores, sure = [], [], []
             for value in batch.column(batch.num_columns - 1):
                 text = value.as_py()
                 if not names or text is None or not LETTER.search(text):
                     preds.append(UNKNOWN)
                     scores.append(0.0)
+                    sure.append(False)
+                    continue
+                if len(names) == 1:
+                    preds.append(names[0])
+                    scores.append(1.0)
+                    sure.append(1.0 >= min_margin)
                     continue
                 raw = text.lower().encode()
-                sizes = np.array([len(c.compress(raw)) for c in coders])
-                best = int(sizes.argmin())
-                second = np.delete(sizes, best).min(initial=1 << 62)
+                pieces = [raw[at : at + PIECE_BYTES] for at in range(0, len(raw), PIECE_BYTES)]
+                if len(pieces) > 1 and len(pieces[-1]) < PIECE_BYTES // 2:  # a short end goes with the piece before it
+                    pieces[-2:] = [pieces[-2] + pieces[-1]]
+                best, margin, errors = told(np.array([[len(c.compress(p)) for c in coders] for p in pieces]))
+                if margin < min_margin and len(pieces) == 1:
+                    best, margin = again(raw)
                 preds.append(names[best])
-                scores.append(1.0 if len(sizes) == 1 else float(second - sizes[best]) / float(second))
-            columns = [*batch.columns[:-1], pa.array(preds, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "lang_pred", "score"])
+                scores.append(margin)
+                sure.append(margin >= min_margin or errors >= SPREAD)
+            columns = [*batch.columns[:-1], pa.array(preds, pa.string()), pa.array(scores, pa.float64()), pa.array([not x for x in sure])]
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "lang_pred", "score", "rejected"])
 
     return tidy(run)
 
@@ -78,17 +122,19 @@ def _classifier(learned: dict[str, bytes]):
 def identify(docs: DataFrame, learned: dict[str, bytes], min_margin: float = MIN_MARGIN) -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` and ``rejected``; input columns of these names are replaced.
 
-    A whole text, in lower case as the dictionaries are, is compressed with the dictionary of each language; the smallest
-    result wins, ties go to the first name.
-    ``score`` is by how much of the second smallest size the smallest is smaller (1 with a single language). ``rejected`` tells
-    that the score is under ``min_margin``. A null text, a text without a letter and anything when nothing was learned get
-    ``und``, score 0, and are rejected. No other column has a say. Rows are answered one by one; there is no shuffle.
+    A whole text, in lower case as the dictionaries are, is compressed with the dictionary of each language, in consecutive
+    pieces of PIECE_BYTES, each from the dictionary anew; the smallest sum wins. So a text's length does not dilute what a
+    dictionary saves. ``score`` is by how much of the second smallest sum the smallest is smaller (1 with a single language).
+    Where that is under ``min_margin``, a text of one piece is judged by ``matched`` instead, which tells bytes that
+    tie, and ``score`` is by how much of the largest the second largest is smaller; ties that are left go to the first name.
+    ``rejected`` tells that the score is under ``min_margin``, unless the lead over SPREAD_PIECES pieces or more is beyond
+    SPREAD standard errors. A null text, a text without a letter and anything when nothing was learned get ``und``,
+    score 0, and are rejected. No other column has a say. Rows are answered one by one; there is no shuffle.
     """
     kept = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score", "rejected")]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "lang_pred string", "score double"])
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "lang_pred string", "score double", "rejected boolean"])
     rows = docs.select(*[f"`{f.name}`" for f in kept], F.col("text").alias("_text"))
-    return rows.mapInArrow(_classifier(learned), schema).withColumn(
-        "rejected", (F.col("lang_pred") == UNKNOWN) | (F.col("score") < min_margin))
+    return rows.mapInArrow(_classifier(learned, min_margin), schema)
 
 
 def op8_zstd_dictionaries(spark: SparkSession, folder: str) -> DataFrame:

@@ -252,6 +252,34 @@ def test_language_by_compression(spark):
     assert sum(r.lang == r.lang_pred for r in held) >= 0.98 * len(held) and all(0 <= r.score <= 1 for r in held)
 
 
+def test_language_of_long_and_of_short_texts(spark):
+    """Length does not dilute the margin, and texts that tie in bytes are told by their matches."""
+    import random
+
+    rng = random.Random(2)
+    syllables = {"xx": ["ka", "to", "mi", "ren", "sol"], "yy": ["schl", "ung", "ach", "ei", "wort"]}
+    vocabulary = {g: ["".join(rng.choices(s, k=3)) for _ in range(120)] for g, s in syllables.items()}
+
+    def text(lang, n):
+        return " ".join(rng.choices(vocabulary[lang], k=n))
+
+    taught = spark.createDataFrame([(text(g, 60), g) for g in ("xx", "yy") for _ in range(40)], "text string, lang string")
+    learned = language.dictionaries(taught, dictionary_bytes=2048)
+    rows = [(1, text("yy", 400_000)), (2, text("xx", 400_000)), (3, "Wort."), (4, "Ren."), (5, text("yy", 3)), (6, text("xx", 1_000) + text("yy", 5))]
+    got = {r.doc_id: r for r in language.identify(spark.createDataFrame(rows, "doc_id long, text string"), learned).collect()}
+    assert {i: r.lang_pred for i, r in got.items()} == {1: "yy", 2: "xx", 3: "yy", 4: "xx", 5: "yy", 6: "xx"}
+    assert not any(r.rejected for r in got.values())
+
+
+def test_language_is_told_by_spread_over_pieces():
+    even = np.array([[1000, 1001 + k % 3, 1100] for k in range(40)])
+    best, margin, errors = language.told(even)
+    assert best == 0 and margin < language.MIN_MARGIN and errors > language.SPREAD
+    torn = np.array([[1000 + 200 * (k % 2), 1101 - 200 * (k % 2) + 100] for k in range(40)])
+    assert language.told(torn)[1] < language.MIN_MARGIN and language.told(torn)[2] < language.SPREAD
+    assert language.matched(b"abcx", b"zabcz") == 3 + 2 + 1
+
+
 def test_language_of_awkward_rows(spark, docs, no_docs, clashing, corpus):
     learned = language.dictionaries(docs)
     assert sorted(learned) == ["de", "en"]
