@@ -7,8 +7,10 @@ distinct n-grams in one join, and its texts are scored with the answers.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -25,10 +27,11 @@ from pitwall.session import stage
 ORDER = 4
 START = 2  # stands ORDER - 1 times before each text
 QUANTILE = 0.99
-SLACK = 1.25  # a clean text may be that much harder than the quantile
+SLACK = 1.0  # a multiplier of the quantile; 1 is the quantile itself
 HELD_OUT = 5  # one in so many trusted documents is not trained on and sets the thresholds
 GRID = 1000  # steps of log perplexity between which quantiles are not told apart
 LEAST_TRUSTED = 30
+CONFIDENCE = 0.95  # of a bound of the quantile where there are too few values to see it
 BLOCK_ROWS = 16384
 SLICE_CHARS, PACKED_CHARS = 1 << 20, 4 << 20
 # Ids of trusted documents that are broadcast; more of them are joined by a shuffle.
@@ -252,22 +255,44 @@ def perplexities(docs: DataFrame, model: dict[int, tuple[DataFrame, DataFrame]],
             .select("doc_id", "lang", "n_chars", F.exp(-F.col("logp") / F.col("n_chars")).alias("perplexity")))
 
 
-def thresholds(scored: DataFrame, quantile: float = QUANTILE) -> DataFrame:
+def _at_least(n: Column, quantile: float) -> Column:
+    """How many standard deviations above the mean of n normal values their law's quantile is at most, with CONFIDENCE."""
+    z, c = NormalDist().inv_cdf(quantile), NormalDist().inv_cdf(CONFIDENCE)
+    a, b = 1 - c * c / (2 * (n - 1)), z * z - c * c / n
+    return (z + F.sqrt(F.greatest(F.lit(0.0), z * z - a * b))) / a
+
+
+def thresholds(scored: DataFrame, quantile: float = QUANTILE, languages: DataFrame | None = None) -> DataFrame:
     """(lang, threshold): the ``quantile`` of the perplexities of each language, rounded up to a step of the grid.
 
-    Counts by step are what is shuffled. A language with fewer than LEAST_TRUSTED values takes the quantile of all.
+    Counts by step are what is shuffled. A language with fewer than LEAST_TRUSTED values takes the quantile of all, one of
+    ``languages`` (lang) without any value too; without values of any language there are no thresholds. Values so few that all of
+    them may well be below the law's quantile (298 at 0.99) do not show it: there the threshold is its upper bound, by mean and deviation of
+    the log perplexity, where that is more than the values' own quantile.
     """
     steps = (scored.where(F.col("perplexity").isNotNull())
              .withColumn("step", F.ceil(F.log("perplexity") * GRID)).groupBy("lang", "step").agg(F.count("*").alias("n")))
     every = steps.groupBy("step").agg(F.sum("n").alias("n"))
+    enough = math.log(1 - CONFIDENCE) / math.log(quantile) if 0 < quantile < 1 else 0
 
     def at(table: DataFrame, *by: str) -> DataFrame:
         up = Window.partitionBy(*by, F.lit(0)).orderBy("step")  # as many rows as steps
-        ranked = table.withColumn("below", F.sum("n").over(up)).withColumn("all", F.sum("n").over(Window.partitionBy(*by, F.lit(0))))
-        return ranked.where(F.col("below") >= F.col("all") * quantile).groupBy(*by).agg(F.min("step").alias("step"), F.max("all").alias("all"))
+        whole = Window.partitionBy(*by, F.lit(0))
+        mean = F.sum(F.col("n") * F.col("step")).over(whole) / F.col("all")
+        ranked = table.withColumn("below", F.sum("n").over(up)).withColumn("all", F.sum("n").over(whole)).withColumn("mean", mean)
+        ranked = ranked.withColumn("square", F.sum(F.col("n") * (F.col("step") - F.col("mean")) ** 2).over(whole))
+        found = ranked.where(F.col("below") >= F.col("all") * quantile).groupBy(*by).agg(
+            F.min("step").alias("step"), F.max("all").alias("all"), F.max("mean").alias("mean"), F.max("square").alias("square"))
+        if not enough:
+            return found
+        bound = F.ceil(F.col("mean") + _at_least(F.col("all"), quantile) * F.sqrt(F.col("square") / (F.col("all") - 1)))
+        few = (F.col("all") >= LEAST_TRUSTED) & (F.col("all") < enough)
+        return found.withColumn("step", F.when(few, F.greatest("step", bound)).otherwise(F.col("step")))
 
     pooled = at(every).select(F.min("step")).first()[0]  # one number
-    return at(steps, "lang").select(
+    own = at(steps, "lang").select(F.col("lang").alias("_lang"), "step", "all")
+    langs = scored.where(F.col("perplexity").isNotNull()).select("lang").distinct() if languages is None else languages.select("lang").distinct()
+    return langs.join(own, langs["lang"].eqNullSafe(own["_lang"]), "left").select(
         "lang", F.exp(F.when(F.col("all") >= LEAST_TRUSTED, F.col("step")).otherwise(F.lit(pooled)) / GRID).alias("threshold"))
 
 
@@ -275,8 +300,8 @@ def classify(docs: DataFrame, trusted: DataFrame, quantile: float = QUANTILE, sl
     """(doc_id, lang, n_chars, perplexity, threshold, kept) for each row of ``docs`` (doc_id, text, lang).
 
     Texts of ``docs`` whose doc_id is in ``trusted`` (doc_id) are trusted. One in HELD_OUT of them, by hash of the id, is left
-    out of the training; the threshold of a language is ``slack`` times the ``quantile`` of these documents' perplexities, so it
-    holds for texts that the model has not seen. A document is kept unless its perplexity is above its language's threshold:
+    out of the training; the threshold of a language is ``slack`` times the ``quantile`` of these documents' perplexities (see
+    ``thresholds``), so it holds for texts that the model has not seen. A language that has a model has a threshold. A document is kept unless its perplexity is above its language's threshold:
     what cannot be judged (null or empty text, a language without trusted text) is kept, with nulls. Rows of one doc_id
     are judged one by one. Extra columns are ignored.
     """
@@ -286,7 +311,7 @@ def classify(docs: DataFrame, trusted: DataFrame, quantile: float = QUANTILE, sl
     shown = ids.where(~held_out)
     model = train(docs.join(F.broadcast(shown) if few else shown, "doc_id", "left_semi").select("lang", "text"))
     scored = stage(perplexities(docs, model, block), "scored")
-    limits = (thresholds(scored.join(ids.where(held_out), "doc_id", "left_semi"), quantile)
+    limits = (thresholds(scored.join(ids.where(held_out), "doc_id", "left_semi"), quantile, model[1][1])  # gamma of order 1: a row a language
               .select(F.col("lang").alias("_lang"), (F.col("threshold") * slack).alias("threshold")))
     return scored.join(limits, scored["lang"].eqNullSafe(limits["_lang"]), "left").select(
         "doc_id", "lang", "n_chars", "perplexity", "threshold", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)).alias("kept"))

@@ -416,6 +416,23 @@ def test_bad_text_has_high_perplexity(spark):
     assert all(kept[i] for i in range(400)) and not any(kept[1000 + i] for i in range(20))
 
 
+def test_threshold_is_the_quantile_and_every_model_has_one(spark):
+    import random
+
+    rng = random.Random(4)
+    ids = spark.range(3000).select("id", (F.pmod(F.xxhash64("id"), F.lit(quality.HELD_OUT)) == 0).alias("out")).collect()
+    held = [r.id for r in ids if r.out]
+    few = [r.id for r in ids if not r.out][:3]  # a language none of whose trusted texts is held out
+    rows = [(r.id, "".join(rng.choices("abcdé ", weights=[9, 5, 3, 1, 1, 4], k=40)), "y" if r.id in few else "x") for r in ids]
+    rows.append((5000, "#$%&QZX" * 9, "y"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in quality.classify(df, df.where("doc_id < 3000").select("doc_id")).collect()}
+    values = sorted(got[i].perplexity for i in held)
+    step = math.ceil(math.log(values[math.ceil(0.99 * len(values)) - 1]) * quality.GRID)
+    assert len(values) >= 300 and [*{r.threshold for r in got.values()}] == [pytest.approx(math.exp(step / quality.GRID))]
+    assert not got[5000].kept and sum(not got[i].kept for i in held) <= 0.01 * len(held)
+
+
 # -- digests -----------------------------------------------------------------------------------------------------------
 
 
