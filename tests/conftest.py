@@ -14,9 +14,3 @@ def spark():
     session.conf.set("spark.sql.shuffle.partitions", "4")
     yield session
     session.stop()
-
-
-def rows(df, *columns):
-    """Rows as sorted tuples."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=repr)

@@ -1,9 +1,8 @@
 """Performance and feature plans on hand-made rows."""
 
 import pytest
-from conftest import rows
 from pyspark.sql import functions as F
-from racing import Small, lap, season
+from racing import Small, lap, rows, season
 
 from pitwall.operators import windows
 from pitwall.plans import features, performance, reports, results

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from racing import rows
 from pitwall.operators import quality
 from pitwall.operators.clean import valid_laps
 from pitwall.plans import jobs

@@ -1,9 +1,8 @@
 """Points, race results and standings on a hand-made season."""
 
 import pytest
-from conftest import rows
 from pyspark.sql import functions as F
-from racing import Small, season
+from racing import Small, rows, season
 
 from pitwall.functions.scalars import points
 from pitwall.plans import results

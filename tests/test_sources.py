@@ -3,9 +3,8 @@
 import json
 
 import pytest
-from conftest import rows
 from pyspark.sql import functions as F
-from racing import season
+from racing import rows, season
 
 from pitwall.operators.upsert import upsert, upsert_path
 from pitwall.plans import jobs, results

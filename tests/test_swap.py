@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from racing import rows
 from pitwall.operators.joins import range_join
 from pitwall.operators.upsert import upsert_path
 from pitwall.operators.windows import running_total
