@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pitwall.llm.clusters import OP11_SQL, op11_bit_planes
 from pitwall.llm.decontaminate import op5_suffix_arrays
 from pitwall.llm.language import op8_zstd_dictionaries
 from pitwall.llm.lines import OP4_SQL, op4_site_lines
@@ -24,9 +25,11 @@ QUERIES = {
     "op8_zstd_dictionaries": op8_zstd_dictionaries,
     "op9_external_shuffle": op9_external_shuffle,
     "op10_front_coded_merge": op10_front_coded_merge,
+    "op11_bit_planes": op11_bit_planes,
 }
 
 SQL = {
     "op4_site_lines": OP4_SQL,
     "op6_revisits": OP6_SQL,
+    "op11_bit_planes": OP11_SQL,
 }
