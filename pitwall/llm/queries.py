@@ -12,6 +12,7 @@ from pitwall.llm.pieces import op7_pieces
 from pitwall.llm.quality import op1_kneser_ney
 from pitwall.llm.sharding import op9_external_shuffle
 from pitwall.llm.suffixes import op10_front_coded_merge
+from pitwall.llm.token_files import op13_token_ids
 from pitwall.llm.warc import OP6_SQL, op6_revisits
 
 QUERIES = {
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_external_shuffle": op9_external_shuffle,
     "op10_front_coded_merge": op10_front_coded_merge,
     "op11_bit_planes": op11_bit_planes,
+    "op13_token_ids": op13_token_ids,
 }
 
 SQL = {
