@@ -13,6 +13,7 @@ from pitwall.llm.quality import op1_kneser_ney
 from pitwall.llm.sharding import op9_external_shuffle
 from pitwall.llm.suffixes import op10_front_coded_merge
 from pitwall.llm.token_files import op13_token_ids
+from pitwall.llm.tries import OP12_SQL, op12_z_fast_trie
 from pitwall.llm.warc import OP6_SQL, op6_revisits
 
 QUERIES = {
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_external_shuffle": op9_external_shuffle,
     "op10_front_coded_merge": op10_front_coded_merge,
     "op11_bit_planes": op11_bit_planes,
+    "op12_z_fast_trie": op12_z_fast_trie,
     "op13_token_ids": op13_token_ids,
 }
 
@@ -34,4 +36,5 @@ SQL = {
     "op4_site_lines": OP4_SQL,
     "op6_revisits": OP6_SQL,
     "op11_bit_planes": OP11_SQL,
+    "op12_z_fast_trie": OP12_SQL,
 }
