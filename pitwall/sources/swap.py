@@ -1,119 +1,89 @@
-"""Replacing files of a Parquet table without a moment at which a failure loses rows.
+"""Replacing partitions of a Parquet table so that a failure at any moment loses no rows.
 
-New files are written in full to a hidden folder of the table. Creating a small file that lists them commits the change:
-before, nothing has happened; from then on it is only a matter of moving files, which ``recover`` does again from the list as
-often as needed. Writers call it before they read, so a job that is simply run again starts from the last whole version.
-One writer at a time; a reader that lists the table during the moves may see a partition in both versions or in none.
+The new rows are written in full beside the table first. Spark's success file commits that copy; only then does one overwrite of the
+partitions it has rows for put them in place, and the copy goes. A writer that finds a committed copy puts it in place
+again, before it reads the table: an overwrite that is done twice has the same result. So a job that is simply run again
+starts from the last whole version. One writer at a time; a reader sees what Spark's overwrite shows it.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-COMMIT, NEXT = "_commit-", "_next-"
 
+class Copies:
+    """The copies beside a table: a few calls to the file system, however many files the table has."""
 
-class Files:
-    """The few file-system calls that are needed, on whatever system the path's scheme names."""
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        parent, _, name = path.rstrip("/").rpartition("/")
+        self.spark, self.folder = spark, f"{parent}/_next_{name}"
+        self.jvm = spark.sparkContext._jvm
+        self.fs = self._path(self.folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def __init__(self, spark: SparkSession, root: str) -> None:
-        self.jvm, self.root = spark.sparkContext._jvm, root.rstrip("/")
-        self.fs = self.path("").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    def _path(self, text: str):
+        return self.jvm.org.apache.hadoop.fs.Path(text)
 
-    def path(self, relative: str):
-        return self.jvm.org.apache.hadoop.fs.Path(f"{self.root}/{relative}" if relative else self.root)
+    def new(self) -> str:
+        return f"{self.folder}/{uuid.uuid4().hex}"
 
-    def exists(self, relative: str = "") -> bool:
-        return self.fs.exists(self.path(relative))
+    def committed(self) -> list[str]:
+        """Copies that were written in full."""
+        if not self.fs.exists(self._path(self.folder)):
+            return []
+        found = [f"{self.folder}/{s.getPath().getName()}" for s in self.fs.listStatus(self._path(self.folder))]
+        return [f for f in found if self.fs.exists(self._path(f"{f}/_SUCCESS"))]
 
-    def names(self, relative: str = "") -> list[tuple[str, bool]]:
-        """(name, is a folder) of what lies in a folder."""
-        return [(s.getPath().getName(), s.isDirectory()) for s in self.fs.listStatus(self.path(relative))] if self.exists(relative) else []
+    def remove(self) -> None:
+        self.fs.delete(self._path(self.folder), True)
 
-    def data(self, relative: str = "") -> list[str]:
-        """Data files in a folder itself."""
-        return [n for n, folder in self.names(relative) if not folder and n[0] not in "_."]
 
-    def below(self, relative: str) -> list[str]:
-        """Folders with data files, relative to the one given; partition folders only."""
-        found = [""] if self.data(relative) else []
-        for name, folder in self.names(relative):
-            if folder and "=" in name:
-                found += [f"{name}/{x}".rstrip("/") for x in self.below(f"{relative}/{name}".lstrip("/"))]
-        return found
-
-    def move(self, source: str, target: str) -> None:
-        self.fs.mkdirs(self.path(target).getParent())
-        if not self.fs.rename(self.path(source), self.path(target)):
-            raise OSError(f"could not move {source} to {target} in {self.root}")
-
-    def remove(self, relative: str) -> None:
-        self.fs.delete(self.path(relative), True)
-
-    def write(self, relative: str, text: str) -> None:
-        """The file appears with its whole content."""
-        draft = f"{relative}.draft"
-        out = self.fs.create(self.path(draft), True)
-        out.write(bytearray(text.encode()))
-        out.close()
-        self.move(draft, relative)
-
-    def read(self, relative: str) -> str:
-        stream = self.fs.open(self.path(relative))
-        text = self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        stream.close()
-        return text
-
-
-def has_data(spark: SparkSession, path: str) -> bool:
+def has_data(spark: SparkSession, path: str, partition_by: Sequence[str] = ()) -> bool:
     """Whether a table with data files is at the path; a change that was committed is finished first."""
-    recover(spark, path)
-    return bool(Files(spark, path).below(""))
+    recover(spark, path, partition_by)
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return False
+    return True
 
 
-def recover(spark: SparkSession, path: str) -> None:
+def recover(spark: SparkSession, path: str, partition_by: Sequence[str] = ()) -> None:
     """Finish a committed change that was interrupted, and drop what an uncommitted one left."""
-    files = Files(spark, path)
-    names = [n for n, _ in files.names()]
-    for name in names:
-        if name.startswith(COMMIT) and not name.endswith(".draft"):
-            _finish(files, name.removeprefix(COMMIT))
-    for name in names:
-        if name.startswith((NEXT, COMMIT)):
-            files.remove(name)
+    copies = Copies(spark, path)
+    for copy in copies.committed():  # one at most
+        _put(spark, copy, path, partition_by)
+    copies.remove()
 
 
-def replace(df: DataFrame, path: str, partition_by: Sequence[str] = (), whole: bool = False) -> None:
-    """Make ``df`` the content of its partitions of the table at ``path``, or of the whole table.
+def replace(df: DataFrame, path: str, partition_by: Sequence[str] = (), files: int | None = None) -> None:
+    """Make ``df`` the content of those partitions of the table at ``path`` that it has rows for.
 
-    Without ``partition_by`` the whole table is replaced. ``df`` may read the table itself: its files are touched only after
-    the new ones are complete.
+    Without ``partition_by`` the whole table is replaced, in ``files`` files if that is given. ``df`` may read the table itself. The
+    caller has finished earlier changes (``recover``, ``has_data``).
     """
-    files, change = Files(df.sparkSession, path), uuid.uuid4().hex
-    staged = f"{NEXT}{change}"
-    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-    writer.option("compression", "snappy").parquet(f"{path.rstrip('/')}/{staged}")
-    new = {folder: files.data(f"{staged}/{folder}".rstrip("/")) for folder in files.below(staged)}
-    emptied = [f for f in files.below("") if f not in new] if whole or not partition_by else []
-    files.write(f"{COMMIT}{change}", json.dumps({"new": new, "emptied": emptied}))
-    _finish(files, change)
-    recover(df.sparkSession, path)
-
-
-def _finish(files: Files, change: str) -> None:
-    """Move the files of a committed change into place; each step can be done again."""
-    plan = json.loads(files.read(f"{COMMIT}{change}"))
-    for folder in [*plan["new"], *plan["emptied"]]:
-        new = plan["new"].get(folder, [])
-        for name in files.data(folder):
-            if name not in new:
-                files.remove(f"{folder}/{name}".lstrip("/"))
-        for name in new:
-            waiting = f"{NEXT}{change}/{folder}/{name}".replace("//", "/")
-            if files.exists(waiting):
-                files.move(waiting, f"{folder}/{name}".lstrip("/"))
-    files.remove(f"{COMMIT}{change}")
+    copies = Copies(df.sparkSession, path)
+    copy = copies.new()
+    df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(copy)
+    _put(df.sparkSession, copy, path, partition_by, files)
+    copies.remove()
+
+
+def _put(spark: SparkSession, copy: str, path: str, partition_by: Sequence[str], files: int | None = None) -> None:
+    """One overwrite from a committed copy; rows of a partition come together, and large ones are split by size."""
+    rows = spark.read.parquet(copy)
+    rows = rows.repartition(files) if files else rows.hint("rebalance", *partition_by)
+    writer = rows.write.mode("overwrite").option("compression", "snappy").option("partitionOverwriteMode", "dynamic")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+
+
+def drop_folders(spark: SparkSession, folders: Sequence[str]) -> None:
+    """Remove partitions that have no rows any more."""
+    for folder in folders:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

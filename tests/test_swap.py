@@ -1,13 +1,14 @@
 """Upserts and compaction survive a failure at any step, and touch only what they must."""
 
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from racing import rows
 from pitwall.operators.joins import range_join
-from pitwall.operators.upsert import upsert_path
+from pitwall.operators.upsert import execute_each, upsert_apart, upsert_path
 from pitwall.operators.windows import running_total
 from pitwall.plans import jobs, reports
 from pitwall.session import work_dir
@@ -32,30 +33,47 @@ class Broken(Exception):
     pass
 
 
+def files(path):
+    """Data files by partition folder."""
+    root = Path(path.removeprefix("file:"))
+    return {str(f.relative_to(root).parent): {x.name for x in f.parent.glob("*.parquet")} for f in root.rglob("*.parquet")}
+
+
+def put_breaks(monkeypatch, when, path, where="*"):
+    done = swap._put
+
+    def breaks(*args):
+        if when == "half":  # some files of the table are gone, none of the new ones is there
+            for f in list(Path(path).glob(f"{where}/*.parquet" if where else "*.parquet"))[::2]:
+                f.unlink()
+        if when == "after":
+            done(*args)
+        raise Broken
+
+    monkeypatch.setattr(swap, "_put", breaks)
+
+
 @pytest.mark.parametrize("parts", [[], ["day"]])
-@pytest.mark.parametrize("call", ["move", "remove", "write"])
-@pytest.mark.parametrize("fails_at", [0, 1, 2])
-def test_upsert_fails_anywhere_and_is_run_again(spark, monkeypatch, parts, call, fails_at):
+@pytest.mark.parametrize("when", ["before", "half", "after", "copy", "remove"])
+def test_upsert_fails_anywhere_and_is_run_again(spark, monkeypatch, parts, when):
     path = table(spark, parts)
     batch = spark.createDataFrame([(1, 1, "new"), (5, 1, "new"), (1000, 2, "new")], SCHEMA)
     want = sorted([(k, "new" if k in (1, 5) else "old") for k in range(100)] + [(1000, "new")])
-    done, calls = getattr(swap.Files, call), [0]
-
-    def breaks(self, *args):
-        calls[0] += 1
-        if calls[0] == fails_at + 1:
-            raise Broken
-        return done(self, *args)
-
     with monkeypatch.context() as m:
-        m.setattr(swap.Files, call, breaks)
-        try:
-            upsert_path(spark, path, batch, ["k", "day"], ["v"], parts)
-        except Broken:
-            pass
+        if when == "copy":  # a copy that was not written in full
+            Path(f"{swap.Copies(spark, path).new()}").mkdir(parents=True)
+        elif when == "remove":
+            m.setattr(swap.Copies, "remove", lambda self: (_ for _ in ()).throw(Broken()))
+        else:
+            put_breaks(m, when, path, "day=1" if parts else "")
+        if when != "copy":
+            with pytest.raises(Broken):
+                upsert_path(spark, path, batch, ["k", "day"], ["v"], parts)
+            if when == "remove":  # before anything else: an older copy may be waiting
+                assert state(spark, path) == [(k, "old") for k in range(100)]
     upsert_path(spark, path, batch, ["k", "day"], ["v"], parts)
     assert state(spark, path) == want
-    assert not [n for n, _ in swap.Files(spark, path).names() if n.startswith((swap.NEXT, swap.COMMIT))]
+    assert not Path(swap.Copies(spark, path).folder).exists()
 
 
 @pytest.mark.parametrize("parts", [[], ["day"]])
@@ -71,7 +89,7 @@ def test_a_failing_task_leaves_the_table(spark, parts):
 def test_compact_fails_and_is_run_again(spark, monkeypatch, parts):
     path = table(spark, parts)
     with monkeypatch.context() as m:
-        m.setattr(swap.Files, "remove", lambda self, x: (_ for _ in ()).throw(Broken()))
+        put_breaks(m, "half", path, "day=*" if parts else "")
         with pytest.raises(Broken):
             writers.compact(spark, path, parts)
     writers.compact(spark, path, parts)
@@ -80,16 +98,54 @@ def test_compact_fails_and_is_run_again(spark, monkeypatch, parts):
 
 def test_only_touched_partitions_are_read_and_written(spark, monkeypatch):
     path = table(spark, ["day"])
-    before = {f: swap.Files(spark, path).data(f) for f in swap.Files(spark, path).below("")}
+    before = files(path)
     plans = []
     done = swap.replace
     monkeypatch.setattr("pitwall.operators.upsert.replace", lambda df, *a, **b: (plans.append(df._jdf.queryExecution().toString()), done(df, *a, **b)))
     upsert_path(spark, path, spark.createDataFrame([(7, 3, "new")], SCHEMA), ["k", "day"], ["v"], ["day"])
     assert re.search(r"PartitionFilters: \[[^\]]*day", plans[0])
-    after = {f: swap.Files(spark, path).data(f) for f in swap.Files(spark, path).below("")}
+    after = files(path)
     assert {f for f in before if before[f] != after[f]} == {"day=3"}
 
 
+def test_many_partitions_are_no_literals(spark, monkeypatch):
+    monkeypatch.setattr("pitwall.operators.upsert.LITERALS", 2)
+    path = work_dir(spark, "table")
+    spark.createDataFrame([(k, k % 9 if k % 9 < 8 else None, "old") for k in range(90)], SCHEMA).write.partitionBy("day").parquet(path)
+    before = files(path)
+    upsert_path(spark, path, spark.createDataFrame([(k, k % 9, "new") for k in (1, 2, 4, 5)] + [(500, None, "new")], SCHEMA), ["k", "day"], ["v"], ["day"])
+    assert state(spark, path) == sorted([(k, "new" if k in (1, 2, 4, 5) else "old") for k in range(90)] + [(500, "new")])
+    assert {f for f in before if before[f] != files(path)[f]} == {"day=1", "day=2", "day=4", "day=5", "day=__HIVE_DEFAULT_PARTITION__"}
+
+
+def test_a_failing_day_is_told_and_left_out(spark):
+    path = table(spark, ["day"])
+    bad = F.when(F.col("day").isin(2, 11), F.expr("raise_error('no such day')")).otherwise(F.col("v"))
+    batch = spark.createDataFrame([(k, day, "new") for k, day in ((1, 1), (2, 2), (3, 3), (4, 0), (900, 10), (901, 11))], SCHEMA).withColumn("v", bad)
+    told = upsert_apart(spark, path, batch, "day", ["k", "day"], ["v"], ["day"])
+    assert [v for v, e in told] == [0, 1, 2, 3, 10, 11] and {v for v, e in told if e} == {2, 11} and all("no such day" in e for _, e in told if e)
+    assert state(spark, path) == sorted([(k, "new" if k in (1, 3, 4) else "old") for k in range(100)] + [(900, "new")])
+    assert upsert_apart(spark, path, batch.where("false"), "day", ["k", "day"], ["v"], ["day"]) == []
+
+
+@pytest.mark.parametrize("parts", [[], ["day"]])
+def test_statements_for_many_parameter_sets(spark, parts):
+    path, key = table(spark, parts), ["k", "day"]
+    sets = lambda rows, schema: spark.createDataFrame(rows, schema)
+    execute_each(spark, path, "update", sets([(1, 1, "b"), (1, 1, "a"), (7, 2, "no row"), (None, 1, "null")], SCHEMA), key, ["v"], parts)
+    execute_each(spark, path, "delete", sets([(k, 3) for k in range(100)] + [(2, 2), (None, None)], "k long, day int"), key, (), parts)
+    for _ in range(2):
+        execute_each(spark, path, "insert", sets([(1, 1, "there"), (600, 1, "x"), (601, 9, None)], SCHEMA), key, ["v"], parts)
+    want = [(k, "a" if k == 1 else "old") for k in range(100) if k % 4 != 3 and k != 2] + [(600, "x"), (601, None)]
+    assert rows(spark.read.parquet(path), "k", "v") == sorted(want, key=repr)
+    if parts:
+        assert "day=3" not in files(path)
+    with pytest.raises(ValueError):
+        execute_each(spark, path, "merge", sets([(1, 1)], "k long, day int"), key)
+    with pytest.raises(ValueError):
+        execute_each(spark, path, "update", sets([(1, 1, 2)], "k long, day int, other int"), key)
+
+
 def test_stream_upsert_does_not_depend_on_batches(spark):
     for per_batch in (None, 1):
         source, out = work_dir(spark, "files"), work_dir(spark, "out")
