@@ -111,27 +111,29 @@ def range_join(
 
     Points and bounds are whole numbers.  The answer depends on the key and the point alone, so
     it is found once per distinct point and joined back.  A range is cut to the span of its
-    key's points and into aligned blocks of a power of two, two of a size at most; a point lies
+    key's points and into aligned blocks of a power of 16, 30 of a size at most; a point lies
     in one block of each size.  Ranges of a block are reduced to the first before they meet
     points, so neither long ranges nor copies of a range multiply anything: n points and m
-    ranges of a key whose points span s make (n + 2 m) log s rows.
+    ranges of a key whose points span s make (n + 30 m) log16 s rows.
     """
     kind = left.schema[point].dataType
     if not isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         raise ValueError(f"{point} is no whole number")
     points = left.where(F.col(point).isNotNull()).select(*keys, point).distinct()
     spans = points.groupBy(*keys).agg(F.min(point).cast("long").alias("_from"), F.max(point).cast("long").alias("_to"))
-    # Sizes 2**0 to 2**_top; above that a cut range has no block.
-    spans = spans.withColumn("_top", F.ceil(F.log2(F.col("_to") - F.col("_from") + 2)).cast("int"))
+    # Sizes 16**0 to 16**_top; above that a cut range has no block.
+    spans = spans.withColumn("_top", F.ceil(F.log2(F.col("_to") - F.col("_from") + 2) / 4).cast("int"))
     start, end = F.greatest(F.col(lo).cast("long"), F.col("_from")), F.least(F.col(hi).cast("long"), F.col("_to")) + 1
     cut = right.where(F.col(lo) <= F.col(hi)).join(spans, keys).withColumns({"_s": start, "_e": end}).where("_s < _e")
-    first, last = "shiftright(_s + shiftleft(1L, k) - 1, k)", "shiftright(_e, k)"  # whole blocks of size 2**k in the range
-    blocks = F.expr(f"""filter(flatten(transform(sequence(0, _top), k -> array(
-        if({first} < {last} and {first} & 1 = 1, struct(k as size, {first} as number), null),
-        if({first} < {last} and {last} & 1 = 1, struct(k as size, {last} - 1 as number), null)))), x -> x is not null)""")
+    # Of the whole blocks of a size in the range, those that no larger whole block has: some at either end.
+    first, last = "shiftright(_s + shiftleft(1L, 4 * k) - 1, 4 * k)", "shiftright(_e, 4 * k)"
+    after, before = f"shiftright({first} + 15, 4) * 16", f"shiftright({last}, 4) * 16"
+    run = lambda a, b: f"if({a} < {b}, sequence({a}, {b} - 1), cast(array() as array<bigint>))"
+    blocks = F.expr(f"""flatten(transform(sequence(0, _top), k -> transform(
+        if({after} < {before}, concat({run(first, after)}, {run(before, last)}), {run(first, last)}), x -> struct(k as size, x as number))))""")
     best = first_match(cut.withColumn("_block", F.explode(blocks)), [*keys, "_block"], first_by).select(*right.columns, "_block")
     asked = points.join(spans, keys).select(*keys, point, F.explode(F.expr(
-        f"transform(sequence(0, _top), k -> struct(k as size, shiftright(cast({point} as bigint), k) as number))")).alias("_block"))
+        f"transform(sequence(0, _top), k -> struct(k as size, shiftright(cast({point} as bigint), 4 * k) as number))")).alias("_block"))
     hits = first_match(asked.join(best, [*keys, "_block"]), [*keys, point], first_by).drop("_block")
     return left.join(hits, [*keys, point], "left")
 

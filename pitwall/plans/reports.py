@@ -15,9 +15,11 @@ from pyspark.sql import Window as W
 
 from pitwall.functions.scalars import epoch_seconds, points, ratio
 from pitwall.operators.joins import first_match, star
+from pitwall.operators.quantiles import exact_quantiles
 from pitwall.plans.performance import telemetry
 from pitwall.plans.results import DRIVER, standings
 from pitwall.plans.sessions import RACE
+from pitwall.session import stage
 
 TOP = 10
 MIN_LAPS = 10
@@ -74,12 +76,16 @@ def _lap_totals() -> list[Column]:
 def _stddev(moments: Column) -> Column:
     """Sample deviation from (n, mean, m2) of parts; null for a single value.
 
-    Squared distances are summed within parts and between their means, so nothing cancels.
+    Parts are merged one after the other: squared distances within both, and that of their means, so nothing cancels.
     """
-    n = F.aggregate(moments, F.lit(0).cast("long"), lambda a, x: a + x["n"])
-    mean = F.aggregate(moments, F.lit(0.0), lambda a, x: a + x["mean"] * x["n"]) / n
-    m2 = F.aggregate(moments, F.lit(0.0), lambda a, x: a + x["m2"] + x["n"] * (x["mean"] - mean) * (x["mean"] - mean))
-    return F.sqrt(m2 / F.nullif(n - 1, F.lit(0).cast("long")))
+
+    def merged(a: Column, x: Column) -> Column:
+        n, apart = a["n"] + x["n"], x["mean"] - a["mean"]
+        return F.struct(n.alias("n"), (a["mean"] + apart * x["n"] / n).alias("mean"), (a["m2"] + x["m2"] + apart * apart * a["n"] * x["n"] / n).alias("m2"))
+
+    none = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+    whole = F.aggregate(F.filter(moments, lambda x: x["n"] > 0), none, merged)
+    return F.sqrt(whole["m2"] / F.nullif(whole["n"] - 1, F.lit(0).cast("long")))
 
 
 def team_performance(t: Mapping[str, DataFrame]) -> DataFrame:
@@ -118,20 +124,28 @@ def session_stats(t: Mapping[str, DataFrame]) -> DataFrame:
 def driver_consistency(t: Mapping[str, DataFrame], min_laps: int = MIN_LAPS, rounded: bool = True) -> DataFrame:
     """Lap-time spread of each driver by season and session type.
 
-    Equal times are counted before the joins; the median and the deviation take the counts, so a
-    driver's list of values never holds more than the distinct times, which are on a millisecond grid.
+    Equal times are counted before the joins. The deviation is from squared distances to the group's mean, and the median is
+    selected by rank (``exact_quantiles``), so a group's times never meet in one place.
     """
     times = valid_times(t["laps"]).groupBy(*DRIVER, F.col("lap_time").cast("double").alias("x")).agg(
         F.count(F.lit(1)).alias("n"), F.count("lap_number").alias("n_laps")
     )
-    n, s = F.sum("n"), F.sum(F.col("n") * F.col("x"))
-    moment = F.struct("n", F.col("x").alias("mean"), F.lit(0.0).alias("m2"))
-    stats = _dims(t, times).groupBy(F.col("full_name").alias("driver_name"), "team_name", "year", "session_type").agg(
-        F.sum("n_laps").alias("total_laps"), (s / n).alias("avg_lap_time"), F.collect_list(moment).alias("_moments"),
+    keys = ["driver_name", "team_name", "year", "session_type"]
+    counted = stage(_dims(t, times).groupBy(F.col("full_name").alias("driver_name"), *keys[1:], "x").agg(
+        F.sum("n").alias("n"), F.sum("n_laps").alias("n_laps")), "times")
+    stats = stage(counted.groupBy(*keys).agg(
+        F.sum("n_laps").alias("total_laps"), (F.sum(F.col("n") * F.col("x")) / F.sum("n")).alias("avg_lap_time"), F.sum("n").alias("_n"),
         F.min("x").alias("best_lap_time"), F.max("x").alias("worst_lap_time"),
-        F.percentile("x", 0.5, F.col("n")).alias("median_lap_time"),
-    ).where(F.col("total_laps") >= min_laps)
-    stats = stats.withColumn("consistency_score", _stddev(F.col("_moments"))).drop("_moments")
+    ).where(F.col("total_laps") >= min_laps), "consistency")
+    renamed = stats.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("avg_lap_time").alias("_mean"), "_n")
+    known = F.expr(" AND ".join(f"{k} <=> _{k}" for k in keys))
+    kept = counted.join(renamed, known)
+    apart = F.col("x") - F.col("_mean")
+    spread = kept.groupBy(*[f"_{k}" for k in keys]).agg(F.sqrt(F.sum(F.col("n") * apart * apart) / F.nullif(F.first("_n") - 1, F.lit(0).cast("long"))).alias("consistency_score"))
+    middle = exact_quantiles(kept.select(*keys, "x", "n"), keys, {"median_lap_time": 0.5})
+    middle = middle.select(*[F.col(k).alias(f"_{k}") for k in keys], "median_lap_time")
+    gone = [f"_{k}" for k in keys]
+    stats = stats.drop("_n").join(spread, known).drop(*gone).join(middle, known).drop(*gone)
     stats = stats.withColumn("coefficient_of_variation", ratio("consistency_score", "avg_lap_time") * 100)
     if rounded:
         places = {"avg_lap_time": 3, "consistency_score": 3, "best_lap_time": 3, "worst_lap_time": 3,

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from pitwall.catalog import ENDPOINTS, endpoint_schema
+from pitwall.session import stage
 
 FORMATS = ("parquet", "csv", "json")
 
@@ -105,6 +106,45 @@ def scan_raw(spark: SparkSession, root: str, endpoint: str, years: Sequence[int]
     return df.withColumns({"extraction_year": F.col("year"), "processing_timestamp": stamp})
 
 
+def scan_documents(spark: SparkSession, path: str, schema: StructType, quarantine: str, root: str | None = None) -> DataFrame:
+    """Records of JSON files that hold one document each, an array of records or a single one, over any number of lines.
+
+    A file is parsed as a variant, so one that is broken does not spoil others, and a field is taken by its name and type. What can't
+    be read goes to the Parquet table at ``quarantine`` (file, kind, position, content) and not into the result: a ``document``
+    that is no JSON array or object, an ``element`` of an array that is no object, and a ``record`` with a field that is there but has
+    another type. Missing fields, and those that are null, are null; fields that ``schema`` does not have are left out; an empty array has no record; Spark passes over files of no bytes.
+
+    ``path`` may be a glob; below ``root`` the names of its folders give partition columns, which come last. Files are parsed one a task, as any
+    such document must be; rows are spread over tasks right after.
+    """
+    reader = spark.read.option("basePath", root) if root else spark.read
+    files = reader.text(path, wholetext=True)
+    parts = [c for c in files.columns if c != "value"]
+    document = F.try_parse_json("value")
+    parsed = files.select(*parts, F.col("_metadata.file_path").alias("_file"), "value", document.alias("_document"))
+    elements = F.coalesce(F.try_variant_get("_document", "$", "array<variant>"), F.array("_document"))
+    each = parsed.select("*", F.posexplode_outer(elements).alias("_position", "_element"))
+    kind = F.schema_of_variant
+    taken, wrong = [], F.lit(False)
+    for f in schema.fields:
+        if '"' in f.name:
+            raise ValueError(f"a field's name has a double quote: {f.name}")
+        inside = F.try_variant_get("_element", f'$["{f.name}"]', "variant")
+        value = F.try_variant_get("_element", f'$["{f.name}"]', f.dataType.simpleString())
+        taken.append(value.alias(f.name))
+        wrong = wrong | (inside.isNotNull() & ~F.is_variant_null(inside) & value.isNull())
+    is_list = kind("_document").startswith("ARRAY")
+    object_ = kind("_element").startswith("OBJECT")
+    fault = (F.when(F.col("_document").isNull() | ~(is_list | kind("_document").startswith("OBJECT")), "document")
+             .when(is_list & F.col("_position").isNull(), "nothing").when(~F.coalesce(object_, F.lit(False)), "element").when(wrong, "record"))
+    rows = stage(each.select(*taken, *parts, "_file", F.col("_position").cast("long").alias("_position"), fault.alias("_kind"),
+                             F.when(fault == "document", F.col("value")).when(fault.isNotNull(), F.to_json("_element")).alias("_content")).hint("rebalance"), "documents")
+    rows.where("_kind != 'nothing'").select(
+        F.col("_file").alias("file"), F.col("_kind").alias("kind"), F.when(F.col("_kind") != "document", F.col("_position")).alias("position"),
+        F.col("_content").alias("content")).write.mode("append").parquet(quarantine)
+    return rows.where("_kind IS NULL").select(*[f"`{f.name}`" for f in schema.fields], *parts)
+
+
 def scan_query(spark: SparkSession, sql: str, args: Mapping[str, object] | Sequence[object] | None = None,
                tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Rows of a query with bound parameters (``:name`` or ``?``) over catalog tables or DataFrames."""

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitwall.catalog import TABLES, get_schema_by_layer, struct_of
+from pitwall.sources.readers import list_dataset
 
 
 def create_table(spark: SparkSession, name: str, columns: Mapping[str, str] | T.StructType,
@@ -71,3 +75,81 @@ def discover(spark: SparkSession, name: str, path: str) -> None:
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
     if any(c.isPartition for c in spark.catalog.listColumns(name)):
         spark.sql(f"MSCK REPAIR TABLE {name}")
+
+
+# What Parquet files of one type can be read as, narrowest first.
+LADDERS = (("tinyint", "smallint", "int", "bigint"), ("float", "double"))
+
+
+def wider(a: T.DataType, b: T.DataType) -> T.DataType | None:
+    """The type that holds both, if files of either can be read as it."""
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    for ladder in LADDERS:
+        if a.simpleString() in ladder and b.simpleString() in ladder:
+            return max(a, b, key=lambda t: ladder.index(t.simpleString()))
+    return None
+
+
+def merge_schemas(schemas: Sequence[T.StructType]) -> tuple[T.StructType, list[tuple[str, str, str]]]:
+    """All columns in the order they first appear, each with its widest type; and the conflicts (column, type, other type)."""
+    merged: dict[str, T.DataType] = {}
+    conflicts = []
+    for field in (f for schema in schemas for f in schema):
+        held = merged.setdefault(field.name, field.dataType)
+        both = wider(held, field.dataType)
+        if both is None:
+            conflicts.append((field.name, held.simpleString(), field.dataType.simpleString()))
+        else:
+            merged[field.name] = both
+    return T.StructType([T.StructField(c, k) for c, k in merged.items()]), list(dict.fromkeys(conflicts))
+
+
+def _schemas(spark: SparkSession, root: str, paths: list[str]) -> list[T.StructType]:
+    """Schemas of the files at the paths. Spark merges them, many footers at a time; only where types differ, paths are halved."""
+    try:
+        return [spark.read.option("basePath", root).option("mergeSchema", True).parquet(*paths).schema]
+    except (PySparkException, Py4JJavaError):
+        if len(paths) > 1:
+            half = len(paths) // 2
+            return _schemas(spark, root, paths[:half]) + _schemas(spark, root, paths[half:])
+        inside = [r["path"] for r in list_dataset(spark, paths[0]).where("path LIKE '%.parquet'").orderBy("path").collect()]
+        if inside in ([], paths):
+            raise
+        return _schemas(spark, root, inside)
+
+
+def evolve(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """Register a partitioned Parquet dataset, or bring its table up to what has been landed since.
+
+    New columns are added to the table, and columns whose type has become wider (a whole number or a float) are widened; files
+    written before read as null and as the wider type. Partitions are picked up. Returns (column, change, from_type, to_type),
+    change being ``created``, ``added``, ``widened`` or ``conflict``. A column with types that do not go together is a conflict: it is
+    reported, and the table is left as it is. Columns that no file has any more stay.
+    """
+    folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1)
+    found = list_dataset(spark, path).where("path LIKE '%.parquet'").select(folder.alias("folder")).distinct().orderBy("folder")
+    folders = [r["folder"] for r in found.collect()]  # one for each partition
+    if not folders:
+        raise ValueError(f"no Parquet file below {path}")
+    known = spark.catalog.tableExists(name)
+    held = spark.table(name).schema if known else T.StructType()
+    parts = re.findall(r"/([^/=]+)=[^/]*", folders[0].removeprefix(re.match(r"^(?:[a-z]+:)?", folders[0])[0])[len(path.removeprefix("file:").rstrip("/")) :])
+    merged, conflicts = merge_schemas([*([held] if known else []), *_schemas(spark, path, folders)])
+    types = {f.name: f.dataType.simpleString() for f in held}
+    done = [(c, "conflict", a, b) for c, a, b in conflicts]
+    if not conflicts:
+        new = [f for f in merged if f.name not in types]
+        wide = [(f.name, "widened", types[f.name], f.dataType.simpleString()) for f in merged if f.name in types and f.dataType.simpleString() != types[f.name]]
+        done = [(f.name, "added" if known else "created", None, f.dataType.simpleString()) for f in new] + wide
+        if known and wide:  # a type can't be altered; the table is external, so its files stay
+            spark.sql(f"DROP TABLE {name}")
+        if known and not wide and new:
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
+        create_table(spark, name, merged, path, parts)
+        if parts:
+            spark.sql(f"MSCK REPAIR TABLE {name}")
+        spark.catalog.refreshTable(name)
+    return spark.createDataFrame(done, "column string, change string, from_type string, to_type string")

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitwall.operators.clean import tag_metadata
 from pitwall.sources.readers import FORMATS
@@ -70,15 +71,65 @@ def write_clustered(df: DataFrame, path: str, partition_by: Sequence[str], clust
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+def _ordinal(df: DataFrame, column: str) -> Column:
+    """A number that orders as the column does; text by its first seven bytes."""
+    kind, c = df.schema[column].dataType, F.col(f"`{column}`")
+    if isinstance(kind, T.StringType):
+        return F.conv(F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 7)), 14, "0"), 16, 10).cast("long")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp"))
+    return F.unix_date(c) if isinstance(kind, T.DateType) else c.cast("int") if isinstance(kind, T.BooleanType) else c
+
+
+def _rank(value: Column, bounds: Sequence[tuple], reached: int = 0) -> Column:
+    """How many bounds the value has reached, by halving; 0 for null. ``bounds`` are ascending, each with the number up to it."""
+    if not bounds:
+        return F.lit(reached)
+    half = len(bounds) // 2
+    bound, upto = bounds[half]
+    return F.when(value >= F.lit(bound), _rank(value, bounds[half + 1 :], upto)).otherwise(_rank(value, bounds[:half], reached))
+
+
+def z_value(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
+    """The place of a row on the Z-curve over the columns: the bits of its ranks in turn, the first column's first.
+
+    A rank is one of 2**bits of about equal numbers of rows; their bounds come from one pass of mergeable
+    quantile sketches, so the driver gets 2**bits numbers a column. A common value takes several bounds, so that the ranks of few values
+    are far apart, and their high bits tell.
+    """
+    if bits * len(columns) > 62:
+        raise ValueError("the bits of all columns must fit one number")
+    shares = [k / 2**bits for k in range(1, 2**bits)]
+    found = df.agg(*[F.percentile_approx(_ordinal(df, c), shares, 10_000).alias(f"b{j}") for j, c in enumerate(columns)]).first()
+    z = F.lit(0).cast("long")
+    for j, c in enumerate(columns):
+        bounds = found[j] or []
+        rank = _rank(_ordinal(df, c), [(b, k + 1) for k, b in enumerate(bounds) if bounds[k + 1 : k + 2] != [b]])
+        for k in range(bits):
+            bit = F.shiftright(rank, k).bitwiseAND(1).cast("long")
+            z = z.bitwiseOR(F.shiftleft(bit, k * len(columns) + len(columns) - 1 - j))
+    return z
+
+
+def write_zordered(df: DataFrame, path: str, columns: Sequence[str], files: int | None = None, bits: int = 6,
+                   partition_by: Sequence[str] = ()) -> None:
+    """Save with rows ordered along the Z-curve over ``columns``, so that a look-up on any one of them skips most files.
+
+    A file covers a piece of the curve, hence a narrow span of each column, and the Parquet min/max values tell. A linear
+    order (``write_clustered``) serves its leading columns only. The rows of one place on the curve can still be split, by a hash.
+    """
+    placed = df.withColumn("_z", z_value(df, columns, bits))
+    ranges = [*[F.col(c) for c in partition_by], F.col("_z"), F.xxhash64(*df.columns)]
+    ranged = placed.repartitionByRange(files, *ranges) if files else placed.repartitionByRange(*ranges)
+    writer = ranged.sortWithinPartitions(*partition_by, "_z").drop("_z").write.mode("overwrite")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+
+
 def compact(spark: SparkSession, path: str, partition_by: Sequence[str] = (), files: int | None = None) -> None:
     """Rewrite many small files as few.
 
     Without ``files`` the number follows from the data size.  The new files are complete
     before the old ones go; after a failure run it again.
     """
-    recover(spark, path)
-    df = spark.read.parquet(path)
-    if partition_by:
-        replace(df.hint("rebalance", *partition_by), path, partition_by)
-    else:
-        replace(df.repartition(files) if files else df.hint("rebalance"), path)
+    recover(spark, path, partition_by)
+    replace(spark.read.parquet(path), path, partition_by, files)

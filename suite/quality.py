@@ -2,9 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from pitwall.operators import clean, quality
+from pitwall.operators import clean, outliers, quality, quantiles
 from pitwall.operators.joins import orphans
-from pitwall.session import work_dir
+from pitwall.session import stage, work_dir
 from pitwall.sources import readers, writers
 from suite.filters import SQL_LAP_RULES, SQL_LAP_SCORE, SQL_ODD_LAPS, odd_laps
 from suite.joining import rounded
@@ -90,6 +90,32 @@ def freshness_outliers(t):
         "constraint_violations", (1 - nulls / cells).alias("completeness_score")))
 
 
+@query("iqr_outliers", """
+WITH q AS (SELECT session_key, quantile_disc(lap_time, 0.25) AS q1, quantile_disc(lap_time, 0.75) AS q3, count(lap_time) AS timed FROM laps_dup GROUP BY session_key)
+SELECT session_key, q1, q3, timed, count(*) FILTER (lap_time < q1 - 1.5 * (q3 - q1) OR lap_time > q3 + 1.5 * (q3 - q1)) AS outliers,
+  max(lap_time) FILTER (lap_time < q1 - 1.5 * (q3 - q1) OR lap_time > q3 + 1.5 * (q3 - q1)) AS largest
+FROM laps_dup JOIN q USING (session_key) WHERE timed > 0 GROUP BY ALL""")
+def iqr_outliers(t):
+    laps = t["laps_dup"].select("session_key", "lap_time", "date_start")
+    days = stage(outliers.sketches(laps, ["session_key"], "lap_time", "date_start"), "sketches")  # kept by day, and merged
+    q = outliers.quartiles(laps, ["session_key"], "lap_time", "date_start", days)
+    far = outliers.outliers(laps, ["session_key"], "lap_time", "date_start", days=days).groupBy("session_key").agg(
+        F.count(F.lit(1)).alias("outliers"), F.max("lap_time").alias("largest"))
+    return q.join(far, "session_key", "left").select("session_key", "q1", "q3", F.col("n").alias("timed"), F.coalesce("outliers", F.lit(0).cast("long")).alias("outliers"), "largest")
+
+
+@query("exact_quantiles", """
+SELECT driver_number, round(quantile_cont(lap_time, 0.1) + 1e-9, 6) AS low, round(quantile_cont(lap_time, 0.5) + 1e-9, 6) AS middle, round(quantile_cont(lap_time, 0.9) + 1e-9, 6) AS high FROM laps_dup
+WHERE lap_time IS NOT NULL GROUP BY driver_number
+UNION ALL SELECT NULL, round(quantile_cont(lap_time, 0.1) + 1e-9, 6), round(quantile_cont(lap_time, 0.5) + 1e-9, 6), round(quantile_cont(lap_time, 0.9) + 1e-9, 6) FROM laps_dup""")
+def exact_quantiles(t):
+    """By driver, and of all laps as one group, which no task holds."""
+    laps = t["laps_dup"].where("lap_time IS NOT NULL")
+    both = laps.select("driver_number", "lap_time").unionByName(laps.select(F.lit(None).cast("int").alias("driver_number"), "lap_time"))
+    counted = stage(both.groupBy("driver_number", F.col("lap_time").cast("double").alias("x")).agg(F.count(F.lit(1)).alias("n")), "counted")
+    return rounded(quantiles.exact_quantiles(counted, ["driver_number"], {"low": 0.1, "middle": 0.5, "high": 0.9}))
+
+
 @query("lineage_metadata", """
 SELECT t AS table_name, '1' AS schema_version, u AS upstream, d AS downstream, n AS records FROM (
   SELECT 'raw_laps' AS t, '' AS u, 'grand_prix_results|grand_prix_performance|driver_performance_features|race_context_features|lake_laps' AS d,

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from pitwall.operators import upsert
 from pitwall.plans.jobs import raw_job
 from pitwall.plans.reports import summary_report
 from pitwall.session import work_dir
@@ -49,6 +50,27 @@ def scan_raw_json(t):
     return raw.groupBy("extraction_year", "endpoint", "session_key").agg(*lap_sums())
 
 
+@query("scan_json_documents", f"""
+SELECT session_key, {SQL_SUMS}, (SELECT count(*) FROM sessions WHERE session_key % 7 = 3)::BIGINT AS broken_documents,
+  (SELECT count(*) FROM sessions WHERE session_key % 5 = 2 AND session_key % 7 <> 3)::BIGINT AS broken_records
+FROM laps l WHERE session_key % 7 <> 3 AND session_key IN (SELECT session_key FROM sessions) GROUP BY session_key""")
+def scan_json_documents(t):
+    """Of each session a document with an array of its laps over many lines; some are cut off, and some have a lap with a word for a number."""
+    lap = F.to_json(F.struct(*LAP_COLUMNS), {"timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"})
+    arrays = t["laps"].select("session_key", lap.alias("lap")).groupBy("session_key").agg(F.collect_list("lap").alias("laps"))  # of one session
+    key = F.col("session_key")
+    odd = F.when(key % 5 == 2, F.array(F.lit('{"session_key": "none", "lap_number": 1}'))).otherwise(F.array().cast("array<string>"))
+    whole = t["sessions"].select("session_key").join(arrays, "session_key", "left").select(
+        "session_key", F.concat(F.coalesce("laps", F.array().cast("array<string>")), odd).alias("laps"))
+    text = F.concat(F.lit("[\n"), F.array_join("laps", ",\n"), F.when(key % 7 == 3, ",").otherwise("\n]"))
+    landed, bad = work_dir(t.spark, "documents"), work_dir(t.spark, "broken")
+    whole.select(text.alias("value")).repartition(8).write.option("lineSep", "\x1e").option("maxRecordsPerFile", 1).text(landed)
+    schema = lap_schema(t)
+    laps = readers.scan_documents(t.spark, f"{landed}/*.txt", schema, bad)
+    kinds = t.spark.read.parquet(bad).agg(F.count_if(F.col("kind") == "document").alias("broken_documents"), F.count_if(F.col("kind") == "record").alias("broken_records"))
+    return laps.groupBy("session_key").agg(*lap_sums()).join(F.broadcast(kinds))
+
+
 @query("scan_parquet", f"SELECT session_key, {SQL_SUMS} FROM laps l GROUP BY session_key")
 def scan_parquet(t):
     path = work_dir(t.spark, "parquet")
@@ -150,6 +172,24 @@ def execute_many(t):
     return readers.scan_each(t.spark, params, rows, ["session_key", "driver_number", "lap_number"])
 
 
+@query("execute_many_writes", """
+SELECT session_key, count(*) AS n, round(sum(CASE WHEN lap_number % 10 = 3 THEN 1.5 ELSE lap_duration END), 3) AS seconds, min(lap_number) AS first_lap, max(lap_number) AS last_lap
+FROM (SELECT session_key, driver_number, lap_number, lap_duration FROM laps WHERE lap_number % 10 <> 4
+  UNION ALL SELECT DISTINCT session_key, driver_number, 1000, 2.5 FROM laps) GROUP BY session_key""")
+def execute_many_writes(t):
+    """Update, delete and insert by thousands of parameter sets, each kind as one change of the table."""
+    path, key = work_dir(t.spark, "written"), ["session_key", "driver_number", "lap_number"]
+    laps = t["laps"].select(*key, "lap_duration")
+    laps.write.parquet(path)
+    upsert.execute_each(t.spark, path, "update", laps.where("lap_number % 10 = 3").select(*key, F.lit(1.5).alias("lap_duration")), key)
+    upsert.execute_each(t.spark, path, "delete", laps.where("lap_number % 10 = 4").select(*key), key)
+    fresh = laps.select("session_key", "driver_number").distinct().select("*", F.lit(1000).alias("lap_number"), F.lit(2.5).alias("lap_duration"))
+    for _ in range(2):  # the second time adds nothing
+        upsert.execute_each(t.spark, path, "insert", fresh, key)
+    return t.spark.read.parquet(path).groupBy("session_key").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("lap_duration"), 3).alias("seconds"), F.min("lap_number").alias("first_lap"), F.max("lap_number").alias("last_lap"))
+
+
 @query("scan_multi_year", f"""
 SELECT CAST(year AS INT) AS year, session_key, {SQL_SUMS} FROM laps l JOIN sessions USING (session_key)
 WHERE year IN (2019, 2021, 2023) GROUP BY ALL""")

@@ -150,6 +150,54 @@ def layout_hints(t):
         "year", "session_key", "driver_number").agg(*lap_sums())
 
 
+ZORDERED = ["session_key", "meeting_key", "year", "driver_number", "date_start"]
+
+
+def located_laps(t):
+    places = t["sessions"].select("session_key", "meeting_key", F.col("year").cast("int").alias("year"))
+    return t["laps"].select(*LAP_COLUMNS).join(places, "session_key")
+
+
+@query("layout_zorder", f"""
+SELECT 'session_key' AS looked_up, {SQL_SUMS} FROM laps l JOIN sessions USING (session_key) WHERE session_key = 120
+UNION ALL SELECT 'meeting_key', {SQL_SUMS} FROM laps l JOIN sessions s USING (session_key) WHERE s.meeting_key = 12
+UNION ALL SELECT 'year', {SQL_SUMS} FROM laps l JOIN sessions USING (session_key) WHERE year = 2021
+UNION ALL SELECT 'driver_number', {SQL_SUMS} FROM laps l JOIN sessions USING (session_key) WHERE driver_number = 7
+UNION ALL SELECT 'date_start', {SQL_SUMS} FROM laps l JOIN sessions USING (session_key)
+  WHERE l.date_start >= TIMESTAMP '2022-03-01' AND l.date_start < TIMESTAMP '2022-04-01'""")
+def layout_zorder(t):
+    path = work_dir(t.spark, "zordered")
+    writers.write_zordered(located_laps(t), path, ZORDERED, files=64)
+    laps = readers.scan(t.spark, path)
+    date = F.col("date_start")
+    asked = {"session_key": F.col("session_key") == 120, "meeting_key": F.col("meeting_key") == 12, "year": F.col("year") == 2021,
+             "driver_number": F.col("driver_number") == 7, "date_start": (date >= "2022-03-01") & (date < "2022-04-01")}
+    out = None
+    for name, which in asked.items():
+        part = laps.where(which).agg(*lap_sums()).select(F.lit(name).alias("looked_up"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("schema_evolution", f"""
+SELECT CAST(year AS INT) AS year, {SQL_SUMS}, sum(CASE WHEN year >= 2021 THEN driver_number * 3000000000 END)::BIGINT AS added,
+  CAST('bigint' AS VARCHAR) AS lap_number_type, 'added:extra,widened:lap_number' AS changes
+FROM laps l JOIN sessions USING (session_key) GROUP BY year""")
+def schema_evolution(t):
+    db, root = new_database(t, "metadata"), work_dir(t.spark, "evolving")
+    laps = laps_by_year(t)
+    first = laps.where("year < 2021").withColumn("lap_number", F.col("lap_number").cast("int"))
+    second = laps.where("year >= 2021").withColumns({"lap_number": F.col("lap_number").cast("long"), "extra": F.col("driver_number") * F.lit(3_000_000_000)})
+    first.write.partitionBy("year").parquet(f"{root}/laps")
+    tables.evolve(t.spark, f"{db}.evolving_laps", f"{root}/laps")
+    second.write.mode("append").partitionBy("year").parquet(f"{root}/laps")
+    report = tables.evolve(t.spark, f"{db}.evolving_laps", f"{root}/laps").collect()
+    changes = ",".join(sorted(f"{r['change']}:{r['column']}" for r in report))
+    table = t.spark.table(f"{db}.evolving_laps")
+    sums = table.withColumn("lap_number", F.col("lap_number").cast("int")).groupBy("year").agg(*lap_sums(), F.sum("extra").alias("added"))
+    return closed(t, db, sums.withColumns({"lap_number_type": F.lit(table.schema["lap_number"].dataType.simpleString()), "changes": F.lit(changes)}))
+
+
 @query("compact", f"SELECT 4 AS files, session_key, {SQL_SUMS} FROM laps l GROUP BY session_key")
 def compact(t):
     path = work_dir(t.spark, "small-files")
