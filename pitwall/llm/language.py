@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import functools
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,32 +14,34 @@ from pyspark.sql import functions as F
 from pitwall.llm.memory import tidy
 
 SAMPLE_DOCS = 128
-SAMPLE_BYTES = 8192
+SAMPLE_CHARS = 4096
 DICTIONARY_BYTES = 112 << 10
 LEVEL = 9
 MIN_MARGIN = 0.004
 PIECE_BYTES = 8192  # a dictionary's help is bounded, so what it is measured on is as well
-SPREAD, SPREAD_PIECES = 3.0, 8  # a lead of so many standard errors tells, over so many pieces or more
+PARTS, FINE_LEVEL = 8, 19
 
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 
-def dictionaries(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES,
+def dictionaries(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS,
                  dictionary_bytes: int = DICTIONARY_BYTES) -> dict[str, bytes]:
     """Raw-content dictionaries by language, from ``labelled`` (text, lang) rows.
 
-    Fitted on a bounded sample: of each language ``sample_docs`` different texts of at most ``sample_bytes`` bytes, those
-    with the smallest hashes, and of these as many whole texts as ``dictionary_bytes`` hold. Copies count once, so a group
-    of copies cannot fill a dictionary. Rows without text or language, and empty texts, teach nothing; a language all of
-    whose texts are longer is not learned.
+    Fitted on a bounded sample: ``sample_docs`` different texts of each language, those with the smallest hashes, whatever their
+    length. A text longer than ``sample_chars`` teaches by a piece of so many characters, at a place that its hash gives. Of these a
+    dictionary holds as many as ``dictionary_bytes`` have room for. Copies count once, so a group of copies cannot fill a
+    dictionary. Rows without text or language, and empty texts, teach nothing.
     """
-    known = labelled.where(F.col("lang").isNotNull() & F.octet_length("text").between(1, sample_bytes))
+    place = F.pmod(F.xxhash64("text", F.lit(1)), F.greatest(F.char_length("text") - sample_chars + 1, F.lit(1))) + 1
+    piece = F.substring("text", place.cast("int"), F.lit(sample_chars))
+    known = labelled.where(F.col("lang").isNotNull() & (F.octet_length("text") > 0))
     hashed = known.select("lang", "text", F.xxhash64("text").alias("hash"))
     first = Window.partitionBy("lang").orderBy("hash")
     chosen = (hashed.select("lang", "hash").distinct().withColumn("place", F.row_number().over(first))
               .where(F.col("place") <= sample_docs).select("lang", "hash"))  # sample_docs rows a language at most
-    sample = hashed.join(F.broadcast(chosen), ["lang", "hash"]).groupBy("lang", "hash").agg(F.min("text").alias("text")).collect()
+    sample = hashed.join(F.broadcast(chosen), ["lang", "hash"]).groupBy("lang", "hash").agg(F.min(piece).alias("text")).collect()
     out: dict[str, bytes] = {}
     for lang, _, text in sorted(sample):
         held = out.setdefault(lang, b"")
@@ -49,71 +50,59 @@ def dictionaries(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_byt
     return out
 
 
-def matched(raw: bytes, dictionary: bytes) -> int:
-    """The lengths of the longest matches in the dictionary, summed over all places of the text: a measure finer than bytes."""
-    total = end = 0
-    for at in range(len(raw)):
-        end = max(end, at)
-        while end < len(raw) and raw[at : end + 1] in dictionary:
-            end += 1
-        total += end - at
-    return total
+def pieces_of(raw: bytes) -> list[bytes]:
+    """Consecutive pieces that cover all of it; a short end goes with the piece before it."""
+    pieces = [raw[at : at + PIECE_BYTES] for at in range(0, len(raw), PIECE_BYTES)]
+    if len(pieces) > 1 and len(pieces[-1]) < PIECE_BYTES // 2:
+        pieces[-2:] = [pieces[-2] + pieces[-1]]
+    return pieces
 
 
-def told(sizes: np.ndarray) -> tuple[int, float, float]:
-    """Of the sizes (pieces, languages): the best language, its margin, and its lead in standard errors over the pieces.
+def coders(dictionary: bytes, parts: int, level: int) -> list[zstandard.ZstdCompressor]:
+    """One compressor for each of so many equal parts of the dictionary."""
+    step, out = max(1, -(-len(dictionary) // parts)), []
+    for at in range(0, len(dictionary), step):
+        d = zstandard.ZstdCompressionDict(dictionary[at : at + step], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        d.precompute_compress(level=level)
+        out.append(zstandard.ZstdCompressor(dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False))
+    return out
 
-    The margin is by how much of the second smallest sum the smallest is smaller.
-    """
-    sums = sizes.sum(axis=0)
-    best, second = np.argsort(sums, kind="stable")[:2].tolist()
-    lead = (sizes[:, second] - sizes[:, best]).astype(np.float64)
-    margin = float(lead.sum() / sums[second])
-    if len(lead) < SPREAD_PIECES or lead.sum() <= 0:
-        return best, margin, 0.0
-    error = float(lead.std(ddof=1)) * len(lead) ** 0.5
-    return best, margin, float(lead.sum()) / error if error else float("inf")
 
+def told(sizes: list[float]) -> tuple[int, float]:
+    """The place of the smallest size, and by how much of the second smallest it is smaller."""
+    best, second = np.argsort(np.array(sizes), kind="stable")[:2].tolist()
+    return best, float(sizes[second] - sizes[best]) / sizes[second]
 
-def _classifier(learned: dict[str, bytes], min_margin: float):
-    names = sorted(learned)
 
-    def finer(raw: bytes) -> tuple[int, float]:
-        lengths = np.array([matched(raw, learned[name]) for name in names])
-        best, second = np.argsort(-lengths, kind="stable")[:2].tolist()
-        return best, float(lengths[best] - lengths[second]) / max(1, int(lengths[best]))
+class Judge:
+    """Tells the language of a text by the dictionaries."""
+
+    def __init__(self, learned: dict[str, bytes], min_margin: float = MIN_MARGIN) -> None:
+        self.names, self.min_margin = sorted(learned), min_margin
+        self.whole = [coders(learned[n], 1, LEVEL)[0] for n in self.names]
+        self.parts = [coders(learned[n], PARTS, FINE_LEVEL) for n in self.names]
 
+    def __call__(self, text: str | None) -> tuple[str, float, bool]:
+        """Name, score and whether it is sure."""
+        if not self.names or text is None or not LETTER.search(text):
+            return UNKNOWN, 0.0, False
+        if len(self.names) == 1:
+            return self.names[0], 1.0, 1.0 >= self.min_margin
+        pieces = pieces_of(text.lower().encode())
+        best, margin = told([sum(len(c.compress(p)) for p in pieces) for c in self.whole])
+        if margin < self.min_margin:
+            # The mean over the parts, as dictionaries of unequal lengths have unequal numbers of them.
+            best, margin = told([sum(len(c.compress(p)) for p in pieces for c in part) / len(part) for part in self.parts])
+        return self.names[best], margin, margin >= self.min_margin
+
+
+def _classifier(learned: dict[str, bytes], min_margin: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coders, again = [], functools.lru_cache(1024)(finer)  # copies of a short text are judged once
-        for name in names:
-            d = zstandard.ZstdCompressionDict(learned[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            d.precompute_compress(level=LEVEL)
-            coders.append(zstandard.ZstdCompressor(dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False))
+        judge = Judge(learned, min_margin)
         for batch in batches:
-            preds, scores, sure = [], [], []
-            for value in batch.column(batch.num_columns - 1):
-                text = value.as_py()
-                if not names or text is None or not LETTER.search(text):
-                    preds.append(UNKNOWN)
-                    scores.append(0.0)
-                    sure.append(False)
-                    continue
-                if len(names) == 1:
-                    preds.append(names[0])
-                    scores.append(1.0)
-                    sure.append(1.0 >= min_margin)
-                    continue
-                raw = text.lower().encode()
-                pieces = [raw[at : at + PIECE_BYTES] for at in range(0, len(raw), PIECE_BYTES)]
-                if len(pieces) > 1 and len(pieces[-1]) < PIECE_BYTES // 2:  # a short end goes with the piece before it
-                    pieces[-2:] = [pieces[-2] + pieces[-1]]
-                best, margin, errors = told(np.array([[len(c.compress(p)) for c in coders] for p in pieces]))
-                if margin < min_margin and len(pieces) == 1:
-                    best, margin = again(raw)
-                preds.append(names[best])
-                scores.append(margin)
-                sure.append(margin >= min_margin or errors >= SPREAD)
-            columns = [*batch.columns[:-1], pa.array(preds, pa.string()), pa.array(scores, pa.float64()), pa.array([not x for x in sure])]
+            told_ = [judge(value.as_py()) for value in batch.column(batch.num_columns - 1)]
+            preds, scores, sure = zip(*told_, strict=True) if told_ else ((), (), ())
+            columns = [*batch.columns[:-1], pa.array(preds, pa.string()), pa.array(scores, pa.float64()), pa.array([not x for x in sure], pa.bool_())]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "lang_pred", "score", "rejected"])
 
     return tidy(run)
@@ -125,11 +114,11 @@ def identify(docs: DataFrame, learned: dict[str, bytes], min_margin: float = MIN
     A whole text, in lower case as the dictionaries are, is compressed with the dictionary of each language, in consecutive
     pieces of PIECE_BYTES, each from the dictionary anew; the smallest sum wins. So a text's length does not dilute what a
     dictionary saves. ``score`` is by how much of the second smallest sum the smallest is smaller (1 with a single language).
-    Where that is under ``min_margin``, a text of one piece is judged by ``matched`` instead, which tells bytes that
-    tie, and ``score`` is by how much of the largest the second largest is smaller; ties that are left go to the first name.
-    ``rejected`` tells that the score is under ``min_margin``, unless the lead over SPREAD_PIECES pieces or more is beyond
-    SPREAD standard errors. A null text, a text without a letter and anything when nothing was learned get ``und``,
-    score 0, and are rejected. No other column has a say. Rows are answered one by one; there is no shuffle.
+    Where that is under ``min_margin``, sizes in bytes may be too coarse: then the text is compressed harder with each of PARTS equal
+    parts of every dictionary, and the sums over these decide in the same way. ``rejected`` tells that the margin is still
+    narrow; ties go to the first name. This is so for texts of any length. A null text, a text without a letter (of any
+    script) and anything when nothing was learned get ``und``, score 0, and are rejected. No other column has a say. Rows are
+    answered one by one; there is no shuffle.
     """
     kept = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score", "rejected")]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "lang_pred string", "score double", "rejected boolean"])
