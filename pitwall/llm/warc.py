@@ -23,7 +23,7 @@ BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 
-RECORDS_PER_FILE = 512
+FILE_BYTES = 16 << 20
 
 
 def base32_sha1(payload: Column | str) -> Column:
@@ -83,10 +83,45 @@ def record(date: str) -> Column:
         http, F.when(again, "").otherwise(F.col("html")))
 
 
-def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, date: str = "2024-01-01T00:00:00Z") -> None:
-    """Write one record for each row of ``pages``; see ``resolve`` for which are revisits. An empty table writes no record."""
-    resolve(pages, min_bytes).select(record(date).alias("value")).write.option("lineSep", "\r\n\r\n").option(
-        "maxRecordsPerFile", RECORDS_PER_FILE).option("compression", "gzip").text(path)
+def _packed(file_bytes: int):
+    """Records joined up to about so many bytes; a larger one is alone."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for value in batch.column(0):
+                text = value.as_py()
+                if held and size + len(text) > file_bytes:
+                    yield pa.RecordBatch.from_arrays([pa.array(["\r\n\r\n".join(held)], pa.large_string())], ["value"])
+                    held, size = [], 0
+                held.append(text)
+                size += len(text)
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(["\r\n\r\n".join(held)], pa.large_string())], ["value"])
+
+    return run
+
+
+def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, date: str = "2024-01-01T00:00:00Z", file_bytes: int = FILE_BYTES) -> None:
+    """Write one record for each row of ``pages``; see ``resolve`` for which are revisits. An empty table writes no record.
+
+    A file has records of about ``file_bytes`` characters, or a single larger one, so it is read as one value whatever the pages' sizes.
+    """
+    records = resolve(pages, min_bytes).select(record(date).alias("value"))
+    records.mapInArrow(_packed(file_bytes), "value string").write.option("lineSep", "\r\n\r\n").option(
+        "maxRecordsPerFile", 1).option("compression", "gzip").text(path)
+
+
+def members(data: bytes) -> bytes:
+    """The content of a gzip file of any number of members, such as one for each record."""
+    out = []
+    while data:
+        one = zlib.decompressobj(31)
+        out.append(one.decompress(data) + one.flush())
+        if not one.eof:
+            raise ValueError("the archive is cut off")
+        data = one.unused_data
+    return b"".join(out)
 
 
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -117,15 +152,16 @@ def _read(keep_payload: bool):
         for batch in batches:
             for content in batch.column(0):
                 rows = []
-                for h, block in parse(zlib.decompress(content.as_py(), 31)):
-                    payload, digest = None, h["warc-payload-digest"].removeprefix("sha1:")
-                    if h["warc-type"] == "response":
-                        payload = block[block.index(b"\r\n\r\n") + 4 :]
+                for h, block in parse(members(content.as_py())):
+                    payload, digest = None, h.get("warc-payload-digest", "").removeprefix("sha1:") or None
+                    if h["warc-type"] in ("response", "resource"):
+                        payload = block[block.index(b"\r\n\r\n") + 4 :] if h["warc-type"] == "response" and b"\r\n\r\n" in block else block
                         found = base64.b32encode(hashlib.sha1(payload).digest()).decode()
-                        if found != digest:
+                        if digest not in (None, found) and "sha1:" in h.get("warc-payload-digest", ""):
                             raise ValueError(f"{h['warc-record-id']}: the payload has digest {found}, not {digest}")
+                        digest = digest or found
                     size = None if payload is None else len(payload)
-                    rows.append((number(h["warc-record-id"]), h["warc-target-uri"], h["warc-type"], digest, number(h.get("warc-refers-to")),
+                    rows.append((number(h.get("warc-record-id")), h.get("warc-target-uri"), h["warc-type"], digest, number(h.get("warc-refers-to")),
                                  payload if keep_payload else size))
                 kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.binary() if keep_payload else pa.int64()]
                 if rows:
@@ -139,18 +175,25 @@ def read_archives(spark: SparkSession, path: str, payload: bool = True) -> DataF
     """The records below ``path``: page_id, url, record_type, payload_digest, refers_to, payload.
 
     ``payload`` has the bytes, or only their number if it is False; it is null for revisits (see ``original_payloads``). A
-    response whose payload does not have its digest, and a broken record, raise.
+    response whose payload does not have its SHA-1, and a broken record, raise. Other records than responses, resources and revisits
+    (requests, metadata, information on the archive) come with their type and without payload; ids that are no numbers of pages are null.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
     return files.mapInArrow(_read(payload), RECORD if payload else RECORD.replace("payload binary", "payload long"))
 
 
 def original_payloads(records: DataFrame) -> DataFrame:
-    """``records`` with each revisit's payload taken from the response it refers to; null if that is not there."""
-    held = records.where("record_type = 'response' AND page_id IS NOT NULL").groupBy(F.col("page_id").alias("_id")).agg(F.max("payload").alias("_payload"))
-    asked = records.where("refers_to IS NOT NULL").select(F.col("refers_to").alias("_id")).distinct()
-    return (records.join(held.join(asked, "_id", "left_semi"), records["refers_to"] == F.col("_id"), "left")
-            .withColumn("payload", F.coalesce("payload", "_payload")).drop("_id", "_payload"))
+    """``records`` with each revisit's payload taken from the response it refers to; null if that is not there.
+
+    That response has the id and the digest that the revisit names: several pages of one id may have other payloads.
+    """
+    named = ["_id", "_digest"]
+    held = (records.where("record_type = 'response' AND page_id IS NOT NULL")
+            .groupBy(F.col("page_id").alias("_id"), F.col("payload_digest").alias("_digest")).agg(F.max("payload").alias("_payload")))
+    asked = records.where("refers_to IS NOT NULL").select(F.col("refers_to").alias("_id"), F.col("payload_digest").alias("_digest")).distinct()
+    match = (records["refers_to"] == F.col("_id")) & (records["payload_digest"] == F.col("_digest"))
+    return (records.join(held.join(asked, named, "left_semi"), match, "left")
+            .withColumn("payload", F.coalesce("payload", "_payload")).drop(*named, "_payload"))
 
 
 def op6_revisits(spark: SparkSession, folder: str) -> DataFrame:
