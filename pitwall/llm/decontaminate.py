@@ -6,16 +6,17 @@ searched in them by bisection, which gives its longest verbatim match and the pl
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitwall.llm.memory import tidy
-from pitwall.llm.words import ALNUM, raw_bytes, words
+from pitwall.llm.words import ALNUM, raw_bytes, shingles, words
 from pitwall.session import stage
 
 WINDOW = 10
@@ -112,16 +113,44 @@ class Items(NamedTuple):
         return Items(ids, tokens, item, begin, starts[1:][item] - begin)
 
 
-def search(s: Suffixes, items: Items, window: int):
-    """All places of all windows (place, size, item), and per suffix its longest match (words, place)."""
+def windows(items: Items, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The different windows: where each begins among the items' words, and its size; and of every place its window and item."""
     whole = np.bincount(items.item, minlength=len(items.ids))[items.item]  # words of the item
     cut = np.minimum(window, whole)
-    full = items.size >= cut
+    full = np.flatnonzero(items.size >= cut)
     begin, size = items.begin[full], cut[full]
+    key = np.zeros((len(full), 2), np.uint64)
+    key[:, 1] = size
+    for n in np.unique(size).tolist():
+        mine = size == n
+        key[mine, 0] = shingles(items.tokens, n)[begin[mine]]
+    _, first, which = np.unique(key, axis=0, return_index=True, return_inverse=True)
+    return begin[first], size[first], which.reshape(-1), items.item[full]
+
+
+def search(s: Suffixes, items: Items, window: int, doc_of: np.ndarray):
+    """Places where a window begins and the longest one's size there, the (document, item) pairs that have a window in common, and per
+    suffix of an item its longest match (words, place).
+
+    ``doc_of`` has the document of each word. A different window is looked up once. Windows of one size have ranges of the suffix array that do
+    not overlap, so no more is made than an entry for each suffix and size, however often a window occurs.
+    """
+    begin, size, which, item = windows(items, window)
     low, high = bisect(s, items.tokens, begin, size, False), bisect(s, items.tokens, begin, size, True)
-    counts = high - low
-    which = np.repeat(np.arange(len(begin)), counts)
-    place = s.order[np.repeat(low - np.r_[0, np.cumsum(counts)[:-1]], counts) + np.arange(counts.sum())] if len(begin) else begin
+    covers, pairs = np.zeros(len(s.order), np.int64), []
+    owners = np.unique(np.stack([which, item], 1), axis=0)  # of each window its items, once
+    first = np.searchsorted(owners[:, 0], np.arange(len(begin) + 1))
+    for n in np.unique(size).tolist():
+        mine = np.flatnonzero((size == n) & (high > low))
+        counts = high[mine] - low[mine]
+        rank = np.repeat(low[mine] - np.r_[0, np.cumsum(counts)[:-1]], counts) + np.arange(counts.sum()) if len(mine) else mine
+        covers[rank] = np.maximum(covers[rank], n)
+        met = np.unique(np.stack([doc_of[s.order[rank]], np.repeat(mine, counts)], 1), axis=0)
+        many = first[met[:, 1] + 1] - first[met[:, 1]]
+        at = np.repeat(first[met[:, 1]] - np.r_[0, np.cumsum(many)[:-1]], many) + np.arange(many.sum()) if len(met) else met[:, 0]
+        pairs.append(np.unique(np.stack([np.repeat(met[:, 0], many), owners[at, 1]], 1), axis=0))
+    found = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
+    rank = np.flatnonzero(covers)
     at = bisect(s, items.tokens, items.begin, items.size, False)
     best, where = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
     for near in (at - 1, at):
@@ -129,7 +158,7 @@ def search(s: Suffixes, items: Items, window: int):
         spot = s.order[np.where(ok, near, 0)]
         shared = np.where(ok, common_words(s, spot, items.tokens, items.begin, items.size)[0], 0)
         where, best = np.where(shared > best, spot, where), np.maximum(shared, best)
-    return place, size[which], items.item[full][which], best, where
+    return s.order[rank], covers[rank], found, best, where
 
 
 def _covered(place: np.ndarray, size: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -164,11 +193,11 @@ def _shards(texts: pa.Array, items: Items, window: int) -> Iterator[Found]:
         rows = to - at
         spans, found, longest = [[] for _ in range(rows)], [[] for _ in range(rows)], np.zeros(rows, np.int32)
         if len(tokens) and len(items.tokens):
-            place, size, item, best, where = search(suffix_array(tokens, starts, depth), items, window)
             # Of documents with the same start all but the last are empty.
-            of = np.searchsorted(starts, np.r_[place, where], side="right") - 1
-            np.maximum.at(longest, of[len(place) :], best.astype(np.int32))
-            for doc, k in np.unique(np.stack([of[: len(place)], item], 1), axis=0):
+            doc_of = np.repeat(np.arange(rows), np.diff(starts))
+            place, size, pairs, best, where = search(suffix_array(tokens, starts, depth), items, window, doc_of)
+            np.maximum.at(longest, doc_of[where], best.astype(np.int32))
+            for doc, k in pairs.tolist():
                 if items.ids[k] is not None:
                     found[doc].append(items.ids[k])
             for b, e in zip(*_covered(place, size, len(tokens)), strict=True):
@@ -203,14 +232,17 @@ def _clean(block, window: int, column: int):
     return tidy(run)
 
 
-def _blocks(items: DataFrame) -> Iterator:
-    """The items as broadcasts of about BLOCK_BYTES of text each, one after the other."""
+def _blocks(items: DataFrame) -> tuple[int, Callable[[int], Broadcast]]:
+    """How many blocks of about BLOCK_BYTES of text the items make, and a function that fetches and broadcasts one of them."""
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // BLOCK_BYTES))
-    for k in range(blocks):
+
+    def block(k: int) -> Broadcast:
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k) if blocks > 1 else items
         got = part.select(F.col("item_id").cast("string"), F.col("text").cast("binary")).distinct().collect()
-        yield items.sparkSession.sparkContext.broadcast(Items.of([r[0] for r in got], [r[1] for r in got]))
+        return items.sparkSession.sparkContext.broadcast(Items.of([r[0] for r in got], [r[1] for r in got]))
+
+    return blocks, block
 
 
 def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -227,12 +259,15 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFram
     without a shuffle; more items are taken in blocks of that size by item hash, each with a pass of its own, and the
     blocks' answers are put together by row.
     """
-    blocks = list(_blocks(items))
+    blocks, block = _blocks(items)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    rows = stage(rows, "rows") if len(blocks) > 1 else rows
-    answers = [rows.mapInArrow(_matches(block, window), OUT) for block in blocks]
-    if len(blocks) == 1:
-        return answers[0].withColumn("items", F.array_distinct("items")).drop("row")
+    if blocks == 1:
+        return rows.mapInArrow(_matches(block(0), window), OUT).withColumn("items", F.array_distinct("items")).drop("row")
+    rows, answers = stage(rows, "rows"), []
+    for k in range(blocks):  # one after the other, so that one block at a time is in memory
+        held = block(k)
+        answers.append(stage(rows.mapInArrow(_matches(held, window), OUT), "matches"))
+        held.destroy()
     both = answers[0]
     for more in answers[1:]:
         both = both.unionByName(more)
@@ -253,8 +288,13 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     Each row is judged by its own text; see ``matches`` for words, windows and blocks of items. There is no shuffle.
     """
     column = docs.columns.index("text")
-    for block in _blocks(items):
-        docs = docs.mapInArrow(_clean(block, window, column), docs.schema)
+    blocks, block = _blocks(items)
+    if blocks == 1:
+        return docs.mapInArrow(_clean(block(0), window, column), docs.schema)
+    for k in range(blocks):
+        held = block(k)
+        docs = stage(docs.mapInArrow(_clean(held, window, column), docs.schema), "clean")
+        held.destroy()
     return docs
 
 
