@@ -129,10 +129,15 @@ def unit_vectors(vectors: np.ndarray) -> np.ndarray:
     return (wide / np.sqrt((wide * wide).sum(axis=1, keepdims=True))).astype(np.float32)
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    wide = vectors.astype(np.float64)
+    return np.ldexp(wide, -np.frexp(np.abs(wide).max(axis=1, keepdims=True))[1])
+
+
 def _build(group: pd.DataFrame) -> pd.DataFrame:
     """One row for a shard: its vectors, the ids of each, and the graph's arrays."""
     group = group.sort_values("first")
-    vectors = np.stack(group["vector"].to_numpy()).astype(np.float32)
+    vectors = np.stack(group["vector"].to_numpy())
     n = len(vectors)
     draw = np.random.default_rng(11).random(n)
     top = np.floor(-np.log(1.0 - draw) / math.log(NEIGHBOURS)).astype(np.int64)
@@ -148,8 +153,11 @@ def _build(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def cosines(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """In double precision; a row's value does not depend on the other rows."""
-    q, v = query.astype(np.float64), vectors.astype(np.float64)
+    """In double precision; a row's value does not depend on the other rows.
+
+    Vectors are scaled by a power of two first, which changes no digit and keeps squares in range.
+    """
+    q, v = scaled(query[None, :])[0], scaled(vectors)
     return (v * q).sum(axis=1) / (math.sqrt((q * q).sum()) * np.sqrt((v * v).sum(axis=1)))
 
 
@@ -196,13 +204,18 @@ def usable(vector: str) -> Column:
     return v.isNotNull() & (F.size(v) > 0) & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(v, lambda x: x != 0)
 
 
+def kept_type(df: DataFrame) -> str:
+    """Single precision stays so; all other numbers are doubles."""
+    return "array<float>" if df.schema["embedding"].dataType.simpleString() == "array<float>" else "array<double>"
+
+
 def build(vectors: DataFrame, k: int, shard_nodes: int = SHARD_NODES) -> DataFrame:
     """(dim, shard, graph) of all usable rows of ``vectors`` (vec_id, embedding), written to the shared folder.
 
     A node stands for all rows with its vector and lists the k + 1 smallest ids of them: a search for k needs no more. They are
     picked in the map tasks first, so a vector that most rows have is no large group.
     """
-    rows = vectors.where(usable("embedding") & F.col("vec_id").isNotNull()).select("vec_id", F.col("embedding").cast("array<float>").alias("vector"))
+    rows = vectors.where(usable("embedding") & F.col("vec_id").isNotNull()).select("vec_id", F.col("embedding").cast(kept_type(vectors)).alias("vector"))
     smallest = Window.partitionBy("vector").orderBy("vec_id")
     nodes = (rows.distinct().withColumn("place", F.row_number().over(smallest)).where(F.col("place") <= k + 1)
              .groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")))
@@ -221,11 +234,11 @@ def nearest(graphs: DataFrame, queries: DataFrame, k: int = 5, width: int = SEAR
 
     Nearness is the cosine, in double precision on the original vectors; equal ones rank by vec_id, and the row with the query's
     own id is left out. Fewer candidates than k give all of them. Vectors that are null, empty, all zero or not finite take no
-    part, and vectors of another length than the query's are no candidates. A repeated query row counts once. Vectors must
-    have been indexed for at least k. Queries are replicated to the shards in blocks, not one by one.
+    part, and vectors of another length than the query's are no candidates. Of query rows with one id that with the smallest vector
+    counts; rows of ``build`` with one id are candidates each. Graphs are walked in single precision. Vectors must have been indexed for at least k. Queries are replicated to the shards in blocks, not one by one.
     """
     asked = (queries.where(usable("embedding") & F.col("query_id").isNotNull())
-             .select("query_id", F.col("embedding").cast("array<float>").alias("vector")).dropDuplicates(["query_id"]))
+             .groupBy("query_id").agg(F.min(F.col("embedding").cast(kept_type(queries))).alias("vector")))
     blocks = asked.count() // QUERY_BLOCK + 1
     packed = (asked.groupBy(F.size("vector").alias("dim"), F.pmod(F.xxhash64("query_id"), F.lit(blocks)).alias("block"))
               .agg(F.collect_list(F.struct("query_id", "vector")).alias("queries")))  # about QUERY_BLOCK
