@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitwall.session import stage
+
 RATIO = 0.1
-MIN_PAGES = 10
+BROADCAST_LINES = 1_000_000  # hashes of 8 bytes
 
 
-def boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES, copies: bool = True) -> DataFrame:
-    """(host, lines): hashes of the lines on more than ``ratio`` of the host's pages and on ``min_pages`` at least.
+def boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, copies: bool = True) -> DataFrame:
+    """(host, lines): hashes of the lines on more than ``ratio`` of the host's pages, and not on a single page only.
 
     A page counts a line once. Without ``copies``, pages of one host with the same text are one page, in the counts and in the
     totals (a null text is the empty one); copies are reduced in the map tasks before they are shuffled. Page totals and line counts are summed in the map tasks before the shuffle, by host and
@@ -26,8 +28,8 @@ def boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, min
         pages = pages.groupBy("_host", "_page", "_size").agg(F.first("_lines").alias("_lines"))
     lines = pages.select("_host", F.explode(F.array_append("_lines", F.lit(None).cast("long"))).alias("_line"))
     counts = lines.groupBy("_host", "_line").agg(F.count("*").alias("_n"))
-    # Only lines on min_pages pages are candidates: few are left to be joined with the totals.
-    often = counts.where(F.col("_line").isNotNull() & (F.col("_n") >= min_pages))
+    # What is on one page repeats nothing: few lines are left to be joined with the totals.
+    often = counts.where(F.col("_line").isNotNull() & (F.col("_n") > 1))
     totals = counts.where(F.col("_line").isNull()).select("_host", F.col("_n").alias("_pages"))
     return (
         often.join(totals, often["_host"].eqNullSafe(totals["_host"]))
@@ -36,27 +38,30 @@ def boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, min
     )
 
 
-def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES, copies: bool = True) -> DataFrame:
+def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, copies: bool = True) -> DataFrame:
     """``docs`` without the boilerplate lines of their host; all rows stay.
 
     ``text`` is what is left, its lines in their order, joined by a line feed; ``n_lines`` and ``n_dropped`` are added (and
     replace input columns of these names). Lines are compared exactly, including empty ones and white space at their ends.
     A text of boilerplate only becomes empty, a null text stays null with no lines, rows with a null host form a host of
-    their own. A host with fewer than ``min_pages`` pages loses nothing. Without ``copies``, only pages of different texts count,
-    so that a text is not boilerplate for being copied; copies all lose the same lines.
+    their own. A line of a single page is never boilerplate, so a host of one page loses nothing. Without ``copies``, only pages
+    of different texts count, so that a text is not boilerplate for being copied; copies all lose the same lines.
+
+    The boilerplate is written and measured. Up to BROADCAST_LINES lines it goes to the tasks, and texts stay where they are; more
+    are joined by host, which Spark splits where one host is most rows.
     """
-    lines = F.split(F.coalesce("text", F.lit("")), "\n")
-    bad = boilerplate(docs, host, ratio, min_pages, copies).withColumnRenamed("_host", "_bad_host")
-    joined = docs.join(bad, docs[host].eqNullSafe(bad["_bad_host"]), "left")
-    left = F.filter("_split", lambda x: ~F.coalesce(F.array_contains("_lines", F.xxhash64(x)), F.lit(False)))
+    bad = stage(boilerplate(docs, host, ratio, copies).select(F.col("_host").alias("site"), F.col("_lines").alias("bad")), "boilerplate")
+    size = bad.agg(F.sum(F.size("bad") + 1)).first()[0] or 0
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{host}`").alias("own"), F.split(F.coalesce("text", F.lit("")), "\n").alias("split"))
+    joined = whole.join(F.broadcast(bad) if size <= BROADCAST_LINES else bad, F.col("own").eqNullSafe(F.col("site")), "left")
+    left = F.filter("split", lambda x: ~F.coalesce(F.array_contains("bad", F.xxhash64(x)), F.lit(False)))
+    out, text = joined.withColumn("left", left), F.col("row.text")
     kept = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
-    out = joined.select(*[docs[f"`{c}`"] for c in kept], docs["text"], "_lines", lines.alias("_split")).withColumn("_left", left)
-    has = F.col("text").isNotNull()
     return out.select(
-        *[F.col(f"`{c}`") for c in kept],
-        F.when(has, F.when(F.col("_lines").isNull(), F.col("text")).otherwise(F.array_join("_left", "\n"))).alias("text"),
-        F.when(has, F.size("_split")).otherwise(0).cast("long").alias("n_lines"),
-        F.when(has, F.size("_split") - F.size("_left")).otherwise(0).cast("long").alias("n_dropped"),
+        *[F.col(f"row.`{c}`") for c in kept],
+        F.when(text.isNotNull(), F.when(F.col("bad").isNull(), text).otherwise(F.array_join("left", "\n"))).alias("text"),
+        F.when(text.isNotNull(), F.size("split")).otherwise(0).cast("long").alias("n_lines"),
+        F.when(text.isNotNull(), F.size("split") - F.size("left")).otherwise(0).cast("long").alias("n_dropped"),
     )
 
 
@@ -71,7 +76,7 @@ WITH lines AS (
 totals AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
 bad AS (
   SELECT l.source, l.line FROM lines l JOIN totals t ON l.source IS NOT DISTINCT FROM t.source
-  GROUP BY l.source, l.line, t.pages HAVING count(*) >= {MIN_PAGES} AND count(*) > t.pages * {RATIO}::DOUBLE),
+  GROUP BY l.source, l.line, t.pages HAVING count(*) > 1 AND count(*) > t.pages * {RATIO}::DOUBLE),
 sets AS (SELECT source, list(line) AS bad FROM bad GROUP BY source)
 SELECT doc_id,
   CASE WHEN text IS NULL THEN 0 ELSE len(string_split(text, chr(10))) END AS n_lines,
