@@ -10,10 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pitwall.session import work_dir
+from pitwall.session import stage, work_dir
 
 BUCKET_BYTES = 16 << 20
 SHARDS = 40
+COPIES = 1024
+MANY = 1_000_000  # rows of two numbers
 
 
 def shuffle_shards(docs: DataFrame, path: str, shards: int = SHARDS, seed: int = 7,
@@ -25,26 +27,42 @@ def shuffle_shards(docs: DataFrame, path: str, shards: int = SHARDS, seed: int =
     than shards some shards stay empty, and an empty table gives an empty table. Every row is kept, whatever is null in it
     and however often it is repeated.
 
-    The scattering hash takes a seeded random number of each row, not a key, so no source, group of copies or repeated
-    row fills a bucket; a very long text makes its bucket larger by its own length only. Rows are read once: places come
-    from the written buckets, which a lost executor cannot change.
+    A row's bucket and its draw are hashes of the seed and of the whole row, so the same rows in other partitions or after a retry get the
+    same order. No source or group of copies fills a bucket, as their rows differ; rows that are repeated in full more than COPIES
+    times are found first, and dealt out by a random number as well: which copy is which then makes no difference. A very long text
+    makes its bucket larger by its own length only. There may be 100,000 tasks at most; with more buckets a task has several.
+
+    Rows are shuffled once, between the passes they are read from the written buckets, which a lost executor cannot
+    change, and the shards are written below ``path`` as folders. The buckets' starts are a number each and go to the tasks.
     """
     spark = docs.sparkSession
     kept = [c for c in docs.columns if c not in ("shard", "slot")]
+    whole = F.struct(*[F.col(f"`{c}`") for c in kept])
     total = docs.agg(F.sum(F.coalesce(F.octet_length(text), F.lit(0)) + 64)).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
-    drawn = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.rand(seed).alias("draw"))
-    (drawn.withColumn("bucket", F.pmod(F.xxhash64("draw", F.lit(seed)), F.lit(buckets)))
+    rows = docs.select(whole.alias("row"), F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in kept]).alias("draw"))
+    many = stage(rows.groupBy("draw").agg(F.count("*").alias("n")).where(F.col("n") > COPIES).select("draw", F.lit(1).alias("many")), "copies")
+    if (n := many.count()):
+        rows = rows.join(F.broadcast(many) if n <= MANY else many, "draw", "left")
+        rows = rows.select("row", F.when(F.col("many").isNull(), F.col("draw")).otherwise(F.xxhash64("draw", F.rand(seed))).alias("draw"))
+    (rows.withColumn("bucket", F.pmod(F.xxhash64("draw", F.lit(seed)), F.lit(buckets)))
      .repartition(min(buckets, 100_000), "bucket").sortWithinPartitions("bucket", "draw")
      .groupBy("bucket").agg(F.shuffle(F.collect_list("row"), F.lit(seed)).alias("rows"))
      .select("bucket", F.posexplode("rows").alias("place", "row"))
-     .write.parquet(path))
-    written = spark.read.parquet(path)
-    sizes = written.groupBy("bucket").agg(F.count("*").alias("n"))  # one row a bucket
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    placed = written.join(starts, "bucket").withColumn("place", F.col("place") + F.col("start"))
-    return cut(placed, written.count(), shards).select(*[F.col(f"row.`{c}`") for c in kept], "shard", "slot")
+     .write.parquet(f"{path}/buckets"))
+    written = spark.read.parquet(f"{path}/buckets")
+    sizes = stage(written.groupBy("bucket").agg(F.count("*").alias("n"), F.expr("any_value(bucket div 1000)").alias("thousand")), "sizes")
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    thousands = sizes.groupBy("thousand").agg(F.sum("n").alias("all")).select(
+        "thousand", F.coalesce(F.sum("all").over(before.orderBy("thousand")), F.lit(0)).alias("base"))  # a row for a thousand buckets
+    starts = sizes.join(F.broadcast(thousands), "thousand").select(
+        "bucket", (F.col("base") + F.coalesce(F.sum("n").over(before.partitionBy("thousand").orderBy("bucket")), F.lit(0))).alias("start"))
+    placed = written.join(F.broadcast(starts) if buckets <= MANY else starts, "bucket").withColumn("place", F.col("place") + F.col("start"))
+    count = sizes.agg(F.sum("n")).first()[0] or 0
+    cut(placed, count, shards).select("row", "slot", "shard").write.partitionBy("shard").parquet(f"{path}/shards")
+    back = placed.select("row").schema
+    read = spark.read.schema(back.add("slot", "long").add("shard", "integer")).parquet(f"{path}/shards")
+    return read.select(*[F.col(f"row.`{c}`") for c in kept], "shard", "slot")
 
 
 def cut(placed: DataFrame, rows: int, shards: int) -> DataFrame:

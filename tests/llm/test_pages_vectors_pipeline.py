@@ -1,6 +1,7 @@
 """Archives, nearest neighbours, registered SQL and the pipeline."""
 
 import base64
+import gzip
 import hashlib
 import random
 from collections import Counter
@@ -8,6 +9,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pitwall.llm import neighbours, warc
@@ -55,6 +57,58 @@ def test_a_changed_payload_is_noticed(spark):
         list(warc.parse(record[:-3]))
 
 
+def test_ids_of_several_payloads(spark):
+    pages = spark.createDataFrame([(5, "u", "aaaa"), (5, "u", "bbbbbbbbbb"), (3, "u", "aaaa"), (2, "u", "bbbbbbbbbb")], "page_id long, url string, html string")
+    path = work_dir(spark, "warc")
+    warc.write_archives(pages, path)
+    got = Counter((r.page_id, bytes(r.payload).decode(), r.record_type, r.refers_to) for r in warc.original_payloads(warc.read_archives(spark, path)).collect())
+    assert got == Counter([(5, "aaaa", "response", None), (5, "bbbbbbbbbb", "response", None), (3, "aaaa", "revisit", 5), (2, "bbbbbbbbbb", "revisit", 5)])
+
+
+def test_files_are_bounded_by_bytes(spark):
+    pages = spark.range(40).selectExpr("id AS page_id", "'u' AS url", "repeat(chr(cast(65 + id AS int)), 5000) AS html").coalesce(1)
+    path = work_dir(spark, "warc")
+    warc.write_archives(pages, path, file_bytes=20_000)
+    files = spark.read.format("binaryFile").load(path).select("content").collect()
+    assert 10 <= len(files) <= 20 and all(len(warc.members(bytes(f.content))) < 26_000 for f in files)
+    assert warc.read_archives(spark, path).count() == 40
+
+
+def test_foreign_archives(spark):
+    """A member for each record, other record types, and no digest."""
+    def record(kind, body, more=""):
+        return f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:uuid:1>\r\n{more}Content-Length: {len(body)}\r\n\r\n{body}\r\n\r\n".encode()
+
+    parts = [record("warcinfo", "software: x"), record("request", "GET / HTTP/1.1\r\n\r\n"), record("response", "HTTP/1.1 200 OK\r\n\r\nbody", "WARC-Target-URI: http://a\r\n"),
+             record("resource", "plain"), record("metadata", "a: b")]
+    path = Path(work_dir(spark, "foreign").removeprefix("file:"))
+    path.mkdir(parents=True)
+    (path / "a.warc.gz").write_bytes(b"".join(gzip.compress(x) for x in parts))
+    got = {r.record_type: (r.page_id, r.payload, r.payload_digest is not None) for r in warc.read_archives(spark, str(path)).collect()}
+    assert got == {"warcinfo": (None, None, False), "request": (None, None, False), "response": (None, b"body", True), "resource": (None, b"plain", True), "metadata": (None, None, False)}
+    with pytest.raises(ValueError):
+        warc.members(gzip.compress(b"x" * 900)[:-9])
+
+
+def test_vectors_of_doubles(spark):
+    """Scores come from the original numbers, also those beyond single precision; a query row that is repeated counts by its smallest vector."""
+    rows = [(1, [1e200, 2e200]), (2, [2e-200, 4e-200]), (3, [1.0, 2.0 + 1e-12]), (4, [1.0, -2.0]), (5, [3.0, 1.0]), (6, [1e300, 1e-300]), (7, [1.0, 2.0]), (7, [-1.0, 0.5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = df.select(F.col("vec_id").alias("query_id"), "embedding")
+    got = neighbours.nearest(neighbours.build(df, 3), asked, 3).collect()
+    vectors = {1: [1.0, 2.0], 2: [1.0, 2.0], 6: [1.0, 0.0]}
+    plain = [(i, vectors.get(i, v)) for i, v in rows]
+
+    def cosine(a, b):
+        return float(np.dot(a, b) / (np.linalg.norm(a) * np.linalg.norm(b)))
+
+    for q in range(1, 8):
+        v = [-1.0, 0.5] if q == 7 else dict(plain)[q]
+        want = sorted(((-cosine(v, w), i) for i, w in plain if i != q))[:3]
+        mine = sorted((r["rank"], r.vec_id, r.score) for r in got if r.query_id == q)
+        assert [x[2] for x in mine] == pytest.approx([-s for s, _ in want], abs=1e-13), q
+
+
 def exact(rows, queries, k):
     out = {}
     keep = [(i, np.array(v, float)) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)]

@@ -3,7 +3,9 @@
 import hashlib
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -14,6 +16,9 @@ from pitwall.llm import language, lines, minhash, pieces, quality, sharding, suf
 from pitwall.llm.components import components
 from pitwall.session import work_dir
 
+FOLDER = "/root/testdata/sf0.001"
+WORDS = [f"w{k}{'aeiou'[k % 5]}" for k in range(400)]
+
 
 def lower(text):
     return (text or "").encode().lower()
@@ -234,6 +239,24 @@ def test_unigram_path_is_the_cheapest():
     assert fst.shortest("abac") == ["a", "ba", "c"] and fst.shortest("a?b") == ["a", "?", "b"]
 
 
+def test_repeated_words_make_no_pairs(spark):
+    """An item and a document of one word again and again: places are not multiplied by windows."""
+    docs = spark.createDataFrame([(1, "w " * 20_000), (2, "w " * 9), (3, "x " + "w " * 12 + "y")], "doc_id long, text string")
+    items = spark.createDataFrame([("a", "w " * 2_000), ("b", "w w w"), ("c", "w " * 10), ("c2", "w " * 10), ("d", "y x")], "item_id string, text string")
+    got = {r.doc_id: (sum(x.end - x.start for x in r.spans), sorted(r["items"]), r.longest) for r in dec.matches(docs, items).collect()}
+    assert got == {1: (20_000, ["a", "b", "c", "c2"], 2_000), 2: (9, ["b"], 9), 3: (12, ["a", "b", "c", "c2"], 12)}
+
+
+def test_blocks_of_items_one_by_one(spark, docs, monkeypatch):
+    items = spark.createDataFrame([(f"i{k}", " ".join(WORDS[k : k + 12])) for k in range(40)], "item_id string, text string")
+    more = docs.unionByName(spark.createDataFrame([(500, " ".join(WORDS[:60]), "en", "a")], docs.schema))
+    whole = Counter((r.doc_id, r.n_words, tuple(map(tuple, r.spans)), tuple(sorted(r["items"]))) for r in dec.matches(more, items).collect())
+    clean = dec.decontaminate(more, items).count()
+    monkeypatch.setattr(dec, "BLOCK_BYTES", 800)
+    assert Counter((r.doc_id, r.n_words, tuple(map(tuple, r.spans)), tuple(sorted(r["items"]))) for r in dec.matches(more, items).collect()) == whole
+    assert dec.decontaminate(more, items).count() == clean < more.count()
+
+
 # -- language ----------------------------------------------------------------------------------------------------------
 
 
@@ -253,7 +276,7 @@ def test_language_by_compression(spark):
 
 
 def test_language_of_long_and_of_short_texts(spark):
-    """Length does not dilute the margin, and texts that tie in bytes are told by their matches."""
+    """Length does not dilute the margin, and what ties in bytes is rejected."""
     import random
 
     rng = random.Random(2)
@@ -267,17 +290,66 @@ def test_language_of_long_and_of_short_texts(spark):
     learned = language.dictionaries(taught, dictionary_bytes=2048)
     rows = [(1, text("yy", 400_000)), (2, text("xx", 400_000)), (3, "Wort."), (4, "Ren."), (5, text("yy", 3)), (6, text("xx", 1_000) + text("yy", 5))]
     got = {r.doc_id: r for r in language.identify(spark.createDataFrame(rows, "doc_id long, text string"), learned).collect()}
-    assert {i: r.lang_pred for i, r in got.items()} == {1: "yy", 2: "xx", 3: "yy", 4: "xx", 5: "yy", 6: "xx"}
-    assert not any(r.rejected for r in got.values())
-
-
-def test_language_is_told_by_spread_over_pieces():
-    even = np.array([[1000, 1001 + k % 3, 1100] for k in range(40)])
-    best, margin, errors = language.told(even)
-    assert best == 0 and margin < language.MIN_MARGIN and errors > language.SPREAD
-    torn = np.array([[1000 + 200 * (k % 2), 1101 - 200 * (k % 2) + 100] for k in range(40)])
-    assert language.told(torn)[1] < language.MIN_MARGIN and language.told(torn)[2] < language.SPREAD
-    assert language.matched(b"abcx", b"zabcz") == 3 + 2 + 1
+    assert {i: r.lang_pred for i, r in got.items() if not r.rejected} == {1: "yy", 2: "xx", 5: "yy", 6: "xx"}
+    assert got[3].rejected and got[4].rejected  # a word too short to be worth a reference to a dictionary
+
+
+def test_letters_are_letters(spark):
+    judge = language.Judge({"a": b"one two three " * 9, "b": b"eins zwei drei " * 9})
+    for text in ("²", "½ ¼", "Ⅷ", "12 34", "_!", "", None, "١٢"):
+        assert judge(text) == ("und", 0.0, False), text
+    for text in ("ª", "x", "日本", "ж1"):
+        assert judge(text)[0] in ("a", "b") and 0 <= judge(text)[1] <= 1
+
+
+def test_long_texts_teach(spark):
+    """A language of long texts only is learned, by a piece of each."""
+    rows = [(" ".join(f"wort{k}{i}" for k in range(9000)), "long") for i in range(5)] + [("a few words", "short"), ("a few words", "short")]
+    learned = language.dictionaries(spark.createDataFrame(rows, "text string, lang string"))
+    assert sorted(learned) == ["long", "short"] and 0 < len(learned["long"]) <= language.DICTIONARY_BYTES
+    parts = learned["long"].decode().strip().split("\n")
+    assert len(parts) == 5 and all(len(x) == language.SAMPLE_CHARS and any(x in t.lower() for t, _ in rows) for x in parts)
+    assert learned["short"] == b"a few words\n"
+
+
+@pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables are not here")
+def test_registered_languages_row_by_row(spark):
+    """Each size anew by the library, one compressor a text, piece and dictionary."""
+    import zstandard
+
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    held = (F.crc32(F.col("doc_id").cast("string")) % 3 == 1)
+    learned = language.dictionaries(docs.where(~held))
+    names = sorted(learned)
+
+    def size(piece, dictionary, level):
+        d = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        d.precompute_compress(level=level)
+        return len(zstandard.ZstdCompressor(dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False).compress(piece))
+
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    narrow = 0
+    for r in language.op8_zstd_dictionaries(spark, FOLDER).collect():
+        text = texts[r.doc_id]
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+        if text is None or not any(c.isalpha() for c in text):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        raw = text.lower().encode()
+        cuts = list(range(0, len(raw), language.PIECE_BYTES))
+        if len(cuts) > 1 and len(raw) - cuts[-1] < language.PIECE_BYTES // 2:
+            cuts.pop()
+        pieces = [raw[a:b] for a, b in zip(cuts, [*cuts[1:], len(raw)], strict=True)]
+        sizes = [(sum(size(x, learned[n], language.LEVEL) for x in pieces), n) for n in names]
+        best, second = sorted(sizes)[:2]
+        if (second[0] - best[0]) / second[0] < language.MIN_MARGIN:
+            narrow += 1
+            step = {n: -(-len(learned[n]) // language.PARTS) for n in names}
+            part = {n: [learned[n][a : a + step[n]] for a in range(0, len(learned[n]), step[n])] for n in names}
+            sizes = [(sum(size(x, d, language.FINE_LEVEL) for x in pieces for d in part[n]) / len(part[n]), n) for n in names]
+            best, second = sorted(sizes)[:2]
+        assert (r.lang_pred, r.score, r.rejected) == (best[1], (second[0] - best[0]) / second[0], (second[0] - best[0]) / second[0] < language.MIN_MARGIN)
+    assert narrow < 0.05 * len(texts)
 
 
 def test_language_of_awkward_rows(spark, docs, no_docs, clashing, corpus):
