@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pitwall.catalog import TABLES
 from pitwall.operators.clean import PROCESSED, dedup, process, valid_laps, valid_meetings
 from pitwall.operators.quality import metrics, schema_metadata
-from pitwall.operators.upsert import upsert_path
+from pitwall.operators.upsert import upsert_apart, upsert_path
 from pitwall.plans.features import driver_features, race_context
 from pitwall.plans.performance import gp_performance
 from pitwall.plans.results import gp_results, standings
@@ -112,6 +112,17 @@ def laps_job(spark: SparkSession, processed: str, lake: str) -> DataFrame | None
     return lake_job(spark, processed, lake, "laps", valid_laps)
 
 
+def laps_job_by_date(spark: SparkSession, processed: str, lake: str) -> DataFrame:
+    """``laps_job`` that leaves out dates whose laps cannot be read or merged, and tells them: (date_start, status)."""
+    table, source = TABLES["lake_laps"], scan(spark, f"{processed}/laps")
+    batch = valid_laps(source)
+    columns = [c for c in table.schema.names if c in batch.columns]
+    order = [F.desc_nulls_last("processing_timestamp"), *[F.asc_nulls_last(c) for c in columns if c not in table.keys]]
+    keys = list(dict.fromkeys([*table.keys, *table.partition_by]))
+    told = upsert_apart(spark, f"{lake}/{table.name}", batch.select(*columns), "date_start", keys, order, table.partition_by)
+    return spark.createDataFrame([(d, f"ERROR: {e}" if e else "SUCCESS") for d, e in told], "date_start date, status string")
+
+
 def sessions_job(spark: SparkSession, processed: str, lake: str) -> DataFrame | None:
     return lake_job(spark, processed, lake, "sessions", lambda df: df.where("session_key IS NOT NULL"))
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -44,6 +45,63 @@ def describe_table(spark: SparkSession, name: str) -> dict[str, str]:
     return {f.name: f.dataType.simpleString() for f in spark.table(name).schema}
 
 
+def table_detail(spark: SparkSession, name: str) -> dict[str, str]:
+    """What the catalog knows of a table beside its columns: provider, location, partition columns, bucketing, statistics."""
+    rows = spark.sql(f"DESCRIBE EXTENDED {name}").collect()
+    parts = [r["col_name"] for r in rows]
+    at = parts.index("# Detailed Table Information") if "# Detailed Table Information" in parts else len(parts)
+    out = {r["col_name"]: r["data_type"] for r in rows[at + 1 :] if r["col_name"]}
+    return out | {"Partition Columns": ",".join(c.name for c in spark.catalog.listColumns(name) if c.isPartition)}
+
+
+def analyze(spark: SparkSession, name: str, columns: Sequence[str] = (), histograms: bool = False) -> None:
+    """Measure a table for the optimizer: rows, bytes, and of the columns given (all without) values, nulls and bounds.
+
+    One pass; distinct values come from a mergeable sketch. With ``histograms``, equal-height ones of numeric columns take a second pass.
+    """
+    held = spark.conf.get("spark.sql.statistics.histogram.enabled")
+    spark.conf.set("spark.sql.statistics.histogram.enabled", str(histograms).lower())
+    try:
+        wanted = f"COLUMNS {', '.join(f'`{c}`' for c in columns)}" if columns else "ALL COLUMNS"
+        spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR {wanted}")
+    finally:
+        spark.conf.set("spark.sql.statistics.histogram.enabled", held)
+
+
+def column_statistics(spark: SparkSession, name: str) -> DataFrame:
+    """(column, distinct, nulls, least, greatest) of each measured column, bounds as text; read from the catalog, not from the data."""
+    out = []
+    for c in spark.table(name).columns:
+        found = {r["info_name"]: r["info_value"] for r in spark.sql(f"DESCRIBE EXTENDED {name} `{c}`").collect()}
+        known = {k: None if v in (None, "NULL") else v for k, v in found.items()}
+        if known.get("distinct_count") is not None:
+            out.append((c, int(known["distinct_count"]), int(known["num_nulls"]), known.get("min"), known.get("max")))
+    return spark.createDataFrame(out, "column string, distinct bigint, nulls bigint, least string, greatest string")
+
+
+@contextlib.contextmanager
+def cost_based(spark: SparkSession) -> Iterator[None]:
+    """Within it, joins are ordered by the cost that the tables' statistics tell."""
+    names = ("spark.sql.cbo.enabled", "spark.sql.cbo.joinReorder.enabled")
+    held = {n: spark.conf.get(n) for n in names}
+    try:
+        for n in names:
+            spark.conf.set(n, "true")
+        yield
+    finally:
+        for n, v in held.items():
+            spark.conf.set(n, v)
+
+
+def save_bucketed(df: DataFrame, name: str, location: str, keys: Sequence[str], buckets: int) -> None:
+    """Write a table whose rows lie in buckets by a hash of ``keys``, sorted by them, one file a bucket.
+
+    Tables bucketed alike are joined or grouped by these keys where they lie: no row is shuffled. Choose ``buckets`` for the largest
+    of them, so that a bucket of it fits a task.
+    """
+    (df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).mode("overwrite").option("path", location).saveAsTable(name))
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns of a schema in its order: cast where present, null where absent."""
     return df.select(*[

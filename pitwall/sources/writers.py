@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitwall.operators.clean import tag_metadata
-from pitwall.sources.readers import FORMATS
-from pitwall.sources.swap import recover, replace
+from pitwall.session import stage
+from pitwall.sources.readers import FORMATS, list_dataset, path_exists
+from pitwall.sources.swap import drop_folders, recover, replace
 
 
 # Text formats would otherwise cut timestamps to milliseconds.
@@ -133,3 +135,67 @@ def compact(spark: SparkSession, path: str, partition_by: Sequence[str] = (), fi
     """
     recover(spark, path, partition_by)
     replace(spark.read.parquet(path), path, partition_by, files)
+
+
+def bins(files: DataFrame, target: int) -> DataFrame:
+    """(folder, path, length, bin) of those of ``files`` (folder, path, length) worth rewriting: first fit, the largest first.
+
+    Only files of less than half of ``target`` bytes are small. A bin holds files of one folder of ``target`` bytes at most; bins of a single file
+    are left out, as there is nothing to join. A folder's small files are packed in one task.
+    """
+
+    def packed(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["length", "path"], ascending=[False, True]).reset_index(drop=True)
+        room: list[int] = []
+        taken = []
+        for length in group["length"].tolist():
+            at = next((k for k, left in enumerate(room) if left >= length), len(room))
+            if at == len(room):
+                room.append(target)
+            room[at] -= length
+            taken.append(at)
+        group["bin"] = taken
+        return group[group.groupby("bin")["bin"].transform("size") > 1]
+
+    small = files.where(F.col("length") < target / 2)
+    return small.groupBy("folder").applyInPandas(packed, "folder string, path string, length long, bin int")
+
+
+def compact_small(spark: SparkSession, path: str, partition_by: Sequence[str] = (), target: int = 128 << 20) -> DataFrame:
+    """Join the small files of a Parquet table into files of about ``target`` bytes; large files are neither read nor touched.
+
+    Returns (folder, files, bytes) of what was joined. Spark appends the new files; only after its commit the small ones they were read
+    from go. What an interrupted run left is put right by the next: a list beside the table names the files there were. If all the
+    small ones are still there, the new ones go, else the rest of the small ones. One writer at a time; between the commit and the end a reader
+    sees rows twice. The driver holds the names of small files only.
+    """
+    notes = f"{path.rstrip('/').rpartition('/')[0]}/_compact_{path.rstrip('/').rpartition('/')[2]}"
+    folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1)
+
+    def listed() -> DataFrame:
+        name = F.regexp_extract("path", "([^/]*)$", 1)
+        return list_dataset(spark, path).where(~name.rlike("^[_.]")).select(folder.alias("folder"), "path", "length")
+
+    if path_exists(spark, f"{notes}/_SUCCESS"):
+        known = spark.read.parquet(notes)
+        gone = known.where("bin IS NOT NULL").join(listed().select("path"), "path", "left_anti").isEmpty()
+        rest = listed().join(known.select("path"), "path", "left_anti") if gone else known.where("bin IS NOT NULL")
+        drop_folders(spark, [r["path"] for r in rest.select("path").collect()])
+    drop_folders(spark, [notes])
+    found = stage(listed(), "files")
+    chosen = stage(bins(found, target), "bins")
+    names = [r["path"] for r in chosen.select("path").collect()]
+    done = chosen.groupBy("folder").agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+    if not names:
+        return done
+    found.join(chosen.select("path", "bin"), "path", "left").write.parquet(notes)
+    reader = spark.read.option("basePath", path) if partition_by else spark.read
+    rows = reader.schema(spark.read.parquet(path).schema).parquet(*names).withColumn("_path", F.col("_metadata.file_path"))
+    place = F.broadcast(chosen.select(F.regexp_replace("path", "^file:/+", "/").alias("_from"), F.concat_ws("/", "folder", F.col("bin").cast("string")).alias("_bin")))
+    placed = rows.join(place, F.regexp_replace("_path", "^file:/+", "/") == F.col("_from")).drop("_path", "_from")
+    n = chosen.select("folder", "bin").distinct().count()
+    writer = placed.repartition(n, "_bin").sortWithinPartitions("_bin").drop("_bin").write.mode("append").option("compression", "snappy")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    drop_folders(spark, names)
+    drop_folders(spark, [notes])
+    return done

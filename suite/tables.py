@@ -1,5 +1,6 @@
 """Catalog tables: defined, filled with derived rows and read back."""
 
+import re
 import uuid
 
 from pyspark.sql import functions as F
@@ -208,6 +209,63 @@ def compact(t):
     return sums.withColumn("files", F.lit(files))
 
 
+@query("compact_small", f"""
+SELECT true AS fewer, true AS large_untouched, CAST(year AS INT) AS year, {SQL_SUMS} FROM laps l JOIN sessions USING (session_key) GROUP BY year""")
+def compact_small(t):
+    """Of each season one large file and many small ones."""
+    path = work_dir(t.spark, "mixed-files")
+    laps = laps_by_year(t)
+    laps.where("lap_number > 12").repartition(1).write.partitionBy("year").parquet(path)
+    large = readers.list_dataset(t.spark, path).where("path LIKE '%.parquet'").select("path").collect()
+    laps.where("lap_number <= 12").repartition(6).write.mode("append").partitionBy("year").parquet(path)
+    sizes = readers.list_dataset(t.spark, path).where("path LIKE '%.parquet'")
+    least = sizes.where(F.col("path").isin([r["path"] for r in large])).agg(F.min("length")).first()[0]
+    before = sizes.count()
+    writers.compact_small(t.spark, path, ["year"], 2 * least)
+    after = {r["path"] for r in readers.list_dataset(t.spark, path).where("path LIKE '%.parquet'").select("path").collect()}
+    sums = readers.scan(t.spark, path).groupBy("year").agg(*lap_sums())
+    return sums.withColumns({"fewer": F.lit(len(after) < before), "large_untouched": F.lit({r["path"] for r in large} <= after)})
+
+
+@query("bucketed_star", """
+SELECT session_key, driver_number, max(team_name) AS team_name, count(*) AS laps, min(lap_time) AS best, max(places) AS places
+FROM laps JOIN drivers USING (session_key, driver_number)
+  JOIN (SELECT session_key, driver_number, count(*) AS places FROM positions GROUP BY ALL) USING (session_key, driver_number)
+WHERE lap_time > 0 GROUP BY session_key, driver_number""")
+def bucketed_star(t):
+    """Laps, drivers and positions in buckets of one kind: the joins and the grouping move no row."""
+    db, root, keys = new_database(t, "metadata"), work_dir(t.spark, "bucketed"), ["session_key", "driver_number"]
+    for name, rows in (("laps", t["laps"].select(*keys, "lap_number", "lap_time")), ("drivers", t["drivers"].select(*keys, "team_name")),
+                       ("places", t["position"].select(*keys, "position"))):
+        tables.save_bucketed(rows, f"{db}.{name}", f"{root}/{name}", keys, 8)
+    laps, drivers, places = (t.spark.table(f"{db}.{n}").hint("merge") for n in ("laps", "drivers", "places"))
+    counted = places.groupBy(*keys).agg(F.count(F.lit(1)).alias("places"))
+    joined = laps.where("lap_time > 0").join(drivers, keys).join(counted, keys)
+    return closed(t, db, joined.groupBy(*keys).agg(
+        F.max("team_name").alias("team_name"), F.count(F.lit(1)).alias("laps"), F.min("lap_time").alias("best"), F.max("places").alias("places")))
+
+
+@query("table_statistics", """
+SELECT unnest(['session_key', 'lap_number', 'lap_time']) AS column_name,
+  unnest([count(*) - count(session_key), count(*) - count(lap_number), count(*) - count(lap_time)]) AS nulls,
+  unnest([min(session_key)::DOUBLE, min(lap_number)::DOUBLE, min(lap_time)]) AS least, unnest([max(session_key)::DOUBLE, max(lap_number)::DOUBLE, max(lap_time)]) AS greatest,
+  true AS distinct_close, count(*) AS row_count FROM laps""")
+def table_statistics(t):
+    """Read from the catalog after one ANALYZE; distinct values are within a tenth of the exact number."""
+    db = new_database(t, "metadata")
+    columns = ["session_key", "lap_number", "lap_time"]
+    tables.create_table(t.spark, f"{db}.measured", t["laps"].select(*columns).schema, work_dir(t.spark, "measured"))
+    tables.save_table(t["laps"].select(*columns), f"{db}.measured")
+    tables.analyze(t.spark, f"{db}.measured", columns, histograms=True)
+    rows = int(re.search(r"(\d+) rows", tables.table_detail(t.spark, f"{db}.measured")["Statistics"])[1])
+    exact = t["laps"].agg(*[F.count_distinct(c).alias(c) for c in columns]).first()
+    near = F.create_map(*[x for c in columns for x in (F.lit(c), F.lit(exact[c]))])[F.col("column")]
+    stats = tables.column_statistics(t.spark, f"{db}.measured")
+    return closed(t, db, stats.select(
+        F.col("column").alias("column_name"), "nulls", F.col("least").cast("double").alias("least"), F.col("greatest").cast("double").alias("greatest"),
+        (F.abs(F.col("distinct") - near) <= near * 0.1).alias("distinct_close"), F.lit(rows).cast("long").alias("row_count")))
+
+
 @query("discover", f"""
 SELECT CAST(year AS INT) AS year, {SQL_SUMS} FROM laps l JOIN sessions USING (session_key) GROUP BY ALL""")
 def discover(t):

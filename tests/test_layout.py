@@ -2,6 +2,7 @@
 
 import json
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -168,3 +169,92 @@ def test_outliers_by_quartiles(spark):
     off = stage(outliers.sketches(df.withColumn("x", F.col("x") + 1000), ["g"], "x", "day"), "off")
     assert {r.g: (r.n, r.q1, r.q3) for r in outliers.quartiles(df, ["g"], "x", "day", off).collect()} == want
     assert outliers.quartiles(df.where("false"), ["g"], "x", "day").count() == 0
+
+
+# -- compaction, buckets, statistics --------------------------------------------------------------------------------------
+
+
+def names(path):
+    return {str(f.relative_to(path)): f.stat().st_mtime_ns for f in Path(path).rglob("*.parquet")}
+
+
+@pytest.mark.parametrize("parts", [[], ["day"]])
+@pytest.mark.parametrize("breaks", [None, "before", "after", "half"])
+def test_compact_small_files_only(spark, monkeypatch, parts, breaks):
+    path = work_dir(spark, "files")
+    wide = spark.range(30_000).select("id", F.md5(F.col("id").cast("string")).alias("v"), (F.col("id") % 2).alias("day"))
+    save = lambda df, n: (lambda w: w.partitionBy(*parts) if parts else w)(df.repartition(n).write.mode("append")).parquet(path)
+    save(wide.where("id < 26000"), 1)
+    large = names(path)
+    save(wide.where("id >= 26000"), 9)
+    before, target = names(path), 2 * min((Path(path) / f).stat().st_size for f in large)
+    if breaks:
+        done = writers.drop_folders
+
+        def broken(spark_, folders):
+            if folders and folders[0].endswith(".parquet"):
+                if breaks == "half":
+                    done(spark_, folders[:3])
+                raise RuntimeError("broken")
+            done(spark_, folders)
+
+        with monkeypatch.context() as m:
+            if breaks == "before":
+                m.setattr(type(wide.write), "parquet", lambda self, p, *a, f=type(wide.write).parquet: f(self, p, *a) if p != path else (_ for _ in ()).throw(RuntimeError("broken")))
+            else:
+                m.setattr(writers, "drop_folders", broken)
+            with pytest.raises(RuntimeError):
+                writers.compact_small(spark, path, parts, target)
+    told = writers.compact_small(spark, path, parts, target).collect()
+    after = names(path)
+    assert large.items() <= after.items() and len(after) < len(before)
+    assert breaks or sum(r.files for r in told) >= 9
+    assert rows(spark.read.parquet(path), "id", "v") == rows(wide, "id", "v")
+    assert not Path(path).parent.joinpath(f"_compact_{Path(path).name}").exists()
+    assert writers.compact_small(spark, path, parts, 64).count() == 0
+
+
+def test_first_fit_by_folder(spark):
+    sizes = {"a": [40, 30, 30, 20, 10, 90, 49], "b": [5], "c": [49, 49, 49, 2]}
+    df = spark.createDataFrame([(f, f"{f}{k}", n) for f, v in sizes.items() for k, n in enumerate(v)], "folder string, path string, length long")
+    got = writers.bins(df, 100).collect()
+    held = {}
+    for r in got:
+        held.setdefault((r.folder, r.bin), []).append(r.length)
+    assert sorted(map(sorted, held.values())) == sorted(map(sorted, [[49, 40, 10], [30, 30, 20], [49, 49, 2]]))
+
+
+def test_bucketed_tables_join_without_exchange(spark, database):
+    root, keys = work_dir(spark, "bucketed"), ["k", "d"]
+    left = spark.range(5000).select((F.col("id") % 97).alias("k"), (F.col("id") % 7).cast("int").alias("d"), "id")
+    right = left.select(*keys).distinct().withColumn("name", F.concat_ws("-", *keys))
+    tables.save_bucketed(left, f"{database}.laps", f"{root}/laps", keys, 6)
+    tables.save_bucketed(right, f"{database}.names", f"{root}/names", keys, 6)
+    joined = spark.table(f"{database}.laps").hint("merge").join(spark.table(f"{database}.names").hint("merge"), keys).groupBy(*keys).agg(F.count("*").alias("n"), F.max("name").alias("name"))
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert rows(joined, "k", "d", "n", "name") == rows(left.join(right, keys).groupBy(*keys).agg(F.count("*").alias("n"), F.max("name").alias("name")), "k", "d", "n", "name")
+    assert tables.table_detail(spark, f"{database}.laps")["Num Buckets"] == "6"
+
+
+def test_statistics_and_join_order(spark, database):
+    root = work_dir(spark, "measured")
+    sizes = {"facts": 20_000, "some": 4_000, "few": 10}
+    for name, n in sizes.items():
+        spark.range(n).select((F.col("id") % 4000).alias("a"), (F.col("id") % 10).alias("b"), F.when(F.col("id") % 5 > 0, F.col("id")).alias(f"x_{name}")).write.option(
+            "path", f"{root}/{name}").saveAsTable(f"{database}.{name}")
+        tables.analyze(spark, f"{database}.{name}")
+    got = {r["column"]: (r["nulls"], r["least"], r["greatest"]) for r in tables.column_statistics(spark, f"{database}.facts").collect()}
+    assert got == {"a": (0, "0", "3999"), "b": (0, "0", "9"), "x_facts": (4000, "1", "19999")}
+    assert "20000 rows" in tables.table_detail(spark, f"{database}.facts")["Statistics"]
+    t = {n: spark.table(f"{database}.{n}") for n in sizes}
+
+    def order():
+        star = t["facts"].join(t["some"].select("a", "x_some"), "a").join(t["few"].where("x_few = 3").select("b", "x_few"), "b")
+        plan = star._jdf.queryExecution().optimizedPlan().toString()
+        return [n for n in sorted(("x_some", "x_few"), key=lambda n: plan.rindex(f"{n}#"))], star.count()
+
+    plain, n = order()
+    with tables.cost_based(spark):
+        costed, m = order()
+    assert n == m and plain == ["x_some", "x_few"] and costed == ["x_few", "x_some"]
+    assert spark.conf.get("spark.sql.cbo.enabled") == "false"
