@@ -118,19 +118,6 @@ FOREIGN_KEYS = {"raw_sessions": {"meeting_key": "raw_meetings"}} | {
     t: _SESSION_FK for t in _RAW if t not in ("raw_meetings", "raw_sessions")
 }
 
-# What each derived table is computed from.
-UPSTREAM = {
-    "grand_prix_results": ["raw_sessions", "raw_meetings", "raw_drivers", "raw_laps", "raw_session_result",
-                           "raw_starting_grid", "raw_race_control"],
-    "grand_prix_performance": ["raw_sessions", "raw_meetings", "raw_drivers", "raw_laps", "raw_pit", "raw_car_data", "raw_stints"],
-    "driver_championship_standings": ["grand_prix_results"],
-    "driver_performance_features": ["grand_prix_performance", "grand_prix_results", "raw_sessions", "raw_meetings",
-                                    "raw_weather", "raw_laps"],
-    "race_context_features": ["raw_sessions", "raw_meetings", "raw_race_control", "raw_weather", "raw_laps", "raw_session_result"],
-    "lake_meetings": ["raw_meetings"], "lake_sessions": ["raw_sessions"],
-    "lake_drivers": ["raw_drivers"], "lake_laps": ["raw_laps"],
-}
-
 # Landing endpoints and the equality filters each accepts.
 ENDPOINTS = {
     "meetings": ("year", "country_name", "meeting_key"),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitwall.catalog import TABLES, UPSTREAM, get_table
+from pitwall.catalog import TABLES, get_table
 from pitwall.functions.scalars import ratio
 
 SIGMAS = 3.0  # our choice: the data model only declares an outlier count
@@ -125,14 +125,16 @@ def metrics(df: DataFrame, table: str, as_of: Column, keys: Sequence[str] | None
 
 
 def lineage(spark: SparkSession, version: str = "1", layers: Sequence[str] | None = None) -> DataFrame:
-    """One row per defined table: version, field types and the tables before and after it."""
-    down: dict[str, list[str]] = {}
-    for table, sources in UPSTREAM.items():
+    """One row per defined table: version, field types and the tables before and after it, as the plans that derive them say."""
+    from pitwall.plans.lineage import upstream  # plans are built of operators
+
+    above, down = upstream(spark), {}
+    for table, sources in above.items():
         for source in sources:
             down.setdefault(source, []).append(table)
     rows = [
         (t.name, t.layer, version, {f.name: f.dataType.simpleString() for f in t.schema},
-         UPSTREAM.get(t.name, []), down.get(t.name, []))
+         above.get(t.name, []), down.get(t.name, []))
         for t in TABLES.values() if layers is None or t.layer in layers
     ]
     strings = T.ArrayType(T.StringType())
@@ -148,10 +150,12 @@ def lineage(spark: SparkSession, version: str = "1", layers: Sequence[str] | Non
 def schema_metadata(spark: SparkSession, as_of: Column, version: str = "1", layers: Sequence[str] | None = None,
                     update_frequency: str | None = None) -> DataFrame:
     """``lineage`` with all columns of the schema-metadata table, described from the definitions."""
-    rows = []
+    from pitwall.plans.lineage import upstream
+
+    rows, above = [], upstream(spark)
     for t in TABLES.values():
         if layers is None or t.layer in layers:
-            source = ", ".join(UPSTREAM.get(t.name, [])) or f"landing endpoint {t.name.removeprefix('raw_')}"
+            source = ", ".join(above.get(t.name, [])) or f"landing endpoint {t.name.removeprefix('raw_')}"
             fields = {f.name: "key" if f.name in t.keys else "required" if f.name in t.required else "optional" for f in t.schema}
             rows.append((t.name, f"{t.layer} table, a row for each {', '.join(t.keys)}", source, fields))
     described = spark.createDataFrame(rows, "table_name string, description string, data_source string, field_descriptions map<string,string>")

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from pitwall.operators import clean, outliers, quality, quantiles
 from pitwall.operators.joins import orphans
+from pitwall.plans.lineage import column_lineage
 from pitwall.session import stage, work_dir
 from pitwall.sources import readers, writers
 from suite.filters import SQL_LAP_RULES, SQL_LAP_SCORE, SQL_ODD_LAPS, odd_laps
@@ -133,6 +134,24 @@ def lineage_metadata(t):
         F.array_join("downstream_dependencies", "|").alias("downstream"), "records")
 
 
+@query("lineage_columns", """
+SELECT unnest(['average_lap_time', 'avg_speed', 'avg_throttle', 'best_lap_time', 'driver_name']) AS column_name,
+  unnest(['raw_laps', 'raw_car_data', 'raw_car_data', 'raw_laps', 'raw_drivers']) AS source_table,
+  unnest(['lap_duration', 'speed', 'throttle', 'lap_duration', 'full_name']) AS source_column,
+  unnest([(SELECT count(lap_duration) FROM laps), (SELECT count(speed) FROM car_data), (SELECT count(throttle) FROM car_data),
+    (SELECT count(lap_duration) FROM laps), (SELECT count(full_name) FROM drivers)]) AS filled""")
+def lineage_columns(t):
+    """Columns of the performance table, the raw columns their values are made of, and how many values those have."""
+    edges = column_lineage(t.spark).where("table_name = 'grand_prix_performance'").where(
+        F.col("column_name").isin("average_lap_time", "avg_speed", "avg_throttle", "best_lap_time", "driver_name"))
+    counts = None
+    for name, columns in (("laps", ["lap_duration"]), ("car_data", ["speed", "throttle"]), ("drivers", ["full_name"])):
+        per = t[name].agg(*[F.count(c).alias(c) for c in columns])
+        part = per.select(F.inline(F.array(*[F.struct(F.lit(f"raw_{name}").alias("source_table"), F.lit(c).alias("source_column"), F.col(c).alias("filled")) for c in columns])))
+        counts = part if counts is None else counts.unionByName(part)
+    return edges.join(counts, ["source_table", "source_column"]).select("column_name", "source_table", "source_column", "filled")
+
+
 @query("validation_report", f"""
 SELECT count(*) AS rows_before, count(DISTINCT CASE WHEN {SQL_LAP_RULES} THEN (session_key, driver_number, lap_number) END) AS rows_after,
   count(*) - count(DISTINCT CASE WHEN {SQL_LAP_RULES} THEN (session_key, driver_number, lap_number) END) AS rows_removed
