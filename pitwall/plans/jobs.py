@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from pitwall.catalog import TABLES
-from pitwall.operators.clean import PROCESSED, dedup, process, valid_laps, valid_meetings
+from pitwall.operators.clean import PROCESSED, process, valid_laps, valid_meetings
 from pitwall.operators.quality import metrics, schema_metadata
 from pitwall.operators.upsert import upsert_apart, upsert_path
 from pitwall.plans.features import driver_features, race_context

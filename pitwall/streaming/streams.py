@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from pitwall.operators.upsert import upsert_path
+from pitwall.operators.upsert import touched_rows, upsert_path
 from pitwall.plans.performance import telemetry_aggs
+from pitwall.session import stage
+from pitwall.sources.readers import path_exists
+from pitwall.sources.swap import has_data
 
 
 def read_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
@@ -76,6 +79,49 @@ def stream_upsert(df: DataFrame, path: str, keys: Sequence[str], order_by: Seque
     )
 
 
+def stream_windows_told(df: DataFrame, path: str, window: str, delay: str, by: Sequence[str], aggs: Sequence[Column], checkpoint: str,
+                        counts: str, ts: str = "date", partition_by: Sequence[str] = ()) -> StreamingQuery:
+    """Aggregates by window and ``by`` as a Parquet table at ``path``, each with its number of rows ``n``; and, for ``late_rows``, how many rows each
+    micro-batch brought into windows, as a Parquet table at ``counts``.
+
+    The engine tells how many groups of late rows it left out, not how many rows. So a batch's windows are compared with those stored: what
+    their ``n`` have grown by came in, and what was sent beyond that was late. A batch that is repeated after a failure keeps the
+    count of its first try, which was taken before the table was touched. The engine judges a batch by the watermark that the batch before it
+    began with, so rows are late from the third batch on. Partition columns must be of ``by``.
+    """
+    keys = ["window_start", *by]
+    timed = df.observe("sent", F.count(F.lit(1)).alias("rows")).withWatermark(ts, delay)
+    windows = timed.groupBy(F.window(ts, window), *by).agg(F.count(F.lit(1)).alias("n"), *aggs)
+    flat = windows.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *[c for c in windows.columns if c != "window"])
+
+    def merge(batch: DataFrame, number: int) -> None:
+        spark, batch = batch.sparkSession, stage(batch, "windows")
+        if not path_exists(spark, f"{counts}/batch={number}"):
+            grown = batch.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
+            if has_data(spark, path, partition_by):
+                held = touched_rows(spark.read.parquet(path), batch, partition_by) if partition_by else spark.read.parquet(path)
+                old = held.select(*keys, F.col("n").alias("old"))
+                grown = batch.join(old, keys, "left").agg(F.coalesce(F.sum(F.col("n") - F.coalesce("old", F.lit(0))), F.lit(0)).alias("rows"))
+            grown.coalesce(1).write.mode("overwrite").parquet(f"{counts}/batch={number}")
+        upsert_path(spark, path, batch, keys, keys, partition_by)
+
+    return (flat.writeStream.outputMode("update").foreachBatch(merge)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def late_rows(query: StreamingQuery, counts: str) -> DataFrame:
+    """(batch, sent, in_windows, dropped) of each micro-batch of a finished ``stream_windows_told``: rows sent are those in windows and
+    those that the watermark dropped. The engine keeps the progress of so many batches as ``spark.sql.streaming.numRecentProgressUpdates``."""
+    told: dict[int, int] = {}
+    for p in query.recentProgress:
+        sent = p.observedMetrics.get("sent")
+        told[p.batchId] = max(told.get(p.batchId, 0), sent["rows"] if sent else 0)
+    spark = SparkSession.active()
+    sent = spark.createDataFrame(list(told.items()), "batch int, sent long")
+    came = spark.read.parquet(counts).select(F.col("batch").cast("int").alias("batch"), F.col("rows").alias("in_windows"))
+    return sent.join(came, "batch").select("batch", "sent", "in_windows", (F.col("sent") - F.col("in_windows")).alias("dropped"))
+
+
 def stream_append(df: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     return (
         df.writeStream.format("parquet").outputMode("append").option("path", out)

@@ -12,6 +12,7 @@ from racing import rows
 from pitwall.operators import outliers, quantiles
 from pitwall.session import stage, work_dir
 from pitwall.sources import readers, tables, writers
+from pitwall.streaming import streams
 
 # -- Z-order -------------------------------------------------------------------------------------------------------------
 
@@ -258,3 +259,21 @@ def test_statistics_and_join_order(spark, database):
         costed, m = order()
     assert n == m and plain == ["x_some", "x_few"] and costed == ["x_few", "x_some"]
     assert spark.conf.get("spark.sql.cbo.enabled") == "false"
+
+
+# -- rows that a stream drops ---------------------------------------------------------------------------------------------
+
+
+def test_rows_dropped_by_the_watermark_are_told(spark):
+    path, out, counts = (work_dir(spark, n) for n in ("in", "out", "counts"))
+    rows_ = spark.range(1000).select(F.timestamp_seconds(F.lit(1_600_000_000) + F.col("id") * 60).alias("date"), (F.col("id") % 5).alias("k"))
+    for part in (rows_, rows_.where("date = timestamp_seconds(1600059940)"), rows_.where("k = 1")):
+        part.coalesce(1).write.mode("append").parquet(path)
+    live = streams.read_stream(spark, path, rows_.schema, files_per_batch=1)
+    query = streams.stream_windows_told(live, out, "10 minutes", "30 seconds", ["k"], [F.max("date").alias("last")], work_dir(spark, "ckpt"), counts, partition_by=["k"])
+    query.awaitTermination()
+    told = rows(streams.late_rows(query, counts), "batch", "sent", "in_windows", "dropped")
+    edge = (1_600_000_000 + 999 * 60 - 30) // 600 * 600  # the last whole window before the watermark ends here
+    late = sum(1 for k in range(1, 1000, 5) if 1_600_000_000 + k * 60 < edge)
+    assert told == [(0, 1000, 1000, 0), (1, 1, 1, 0), (2, 200, 200 - late, late)] and late > 190
+    assert spark.read.parquet(out).agg(F.sum("n")).first()[0] == sum(r[2] for r in told)
