@@ -183,8 +183,8 @@ def _search(k: int, width: int):
                 units = unit_vectors(points)
                 out: tuple[list, list, list] = ([], [], [])
                 for query, point, unit in zip(queries.field("query_id").to_pylist(), points, units, strict=True):
-                    # One more than asked for: the query's own vector is among them.
-                    nodes = np.array(graph.nearest(unit, k + 1, width))
+                    # All that the walk has found: own rows are among them, and single precision does not tell the nearest apart.
+                    nodes = np.array(graph.nearest(unit, max(k + 1, width), width))
                     scores = cosines(point, vectors[nodes])
                     found = [(-s, int(i)) for s, node in zip(scores.tolist(), nodes, strict=True)
                              for i in ids[first[node] : first[node + 1]] if i != query]
