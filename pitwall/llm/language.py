@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -80,7 +81,12 @@ class Judge:
     def __init__(self, learned: dict[str, bytes], min_margin: float = MIN_MARGIN) -> None:
         self.names, self.min_margin = sorted(learned), min_margin
         self.whole = [coders(learned[n], 1, LEVEL)[0] for n in self.names]
-        self.parts = [coders(learned[n], PARTS, FINE_LEVEL) for n in self.names]
+        self.learned = learned
+
+    @functools.cached_property
+    def parts(self) -> list[list[zstandard.ZstdCompressor]]:
+        """Made when the first margin is narrow."""
+        return [coders(self.learned[n], PARTS, FINE_LEVEL) for n in self.names]
 
     def __call__(self, text: str | None) -> tuple[str, float, bool]:
         """Name, score and whether it is sure."""

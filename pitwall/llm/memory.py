@@ -20,11 +20,27 @@ def release() -> None:
         pass
 
 
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def keeps(module: str, clear: Callable[[], None]) -> None:
+    """Tell that a module keeps something between its tasks, and how to drop it."""
+    _KEPT[module] = clear
+
+
+def drop_others(module: str) -> None:
+    """Drop what other modules have kept in this process: its memory is the next operator's now."""
+    for name, clear in _KEPT.items():
+        if name != module:
+            clear()
+
+
 def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
-    """The same function over batches, with ``release`` at the end of the task."""
+    """The same function over batches, without what other operators have kept, and with ``release`` at the end of the task."""
 
     @functools.wraps(run)
     def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_others(run.__module__)
         try:
             yield from run(batches)
         finally:

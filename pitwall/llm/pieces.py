@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitwall.llm.memory import tidy
+from pitwall.llm.memory import keeps, tidy
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -210,6 +210,9 @@ def compiled(model: bytes) -> Transducer:
     return _COMPILED[key]
 
 
+keeps(__name__, _COMPILED.clear)
+
+
 def _encoder(block, check: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fst = compiled(block.value)
