@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -47,10 +48,15 @@ def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
     That is ``spark.checkpoint.dir``; where it is not set, a folder of the warehouse, which the
-    executors of a session share as well.
+    executors of a session share as well, unless it is a machine's own: then a cluster must set it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    return (root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work").rstrip("/")
+    if not root:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        if not re.match(r"(?!file:)[A-Za-z0-9+.-]+:", warehouse) and not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is not set, and the warehouse is a local folder: executors share no place to write to")
+        root = f"{warehouse.rstrip('/')}/_work"
+    return root.rstrip("/")
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
