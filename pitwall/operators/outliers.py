@@ -37,7 +37,8 @@ def quartiles(df: DataFrame, keys: Sequence[str], value: str, day: str, days: Da
     The sketches over days bracket each quartile between two values. One pass counts, per group, the values under and inside the brackets;
     only those inside, a few in a hundred, are then counted by value, and the quartile is selected among them by rank. Where a
     sketch was off and the rank is not in its bracket, the bracket is the whole group, so the result is exact in any case.
-    ``days`` are the sketches, if they are kept somewhere; they must be of the same rows.
+    ``days`` are the sketches, if they are kept somewhere; they must be of the same rows. ``df`` is read several times: where a join
+    or a de-duplication is behind it, a staged table is best.
     """
     keys = list(keys)
     whole = merged(sketches(df, keys, value, day) if days is None else days, keys)
@@ -69,11 +70,12 @@ def quartiles(df: DataFrame, keys: Sequence[str], value: str, day: str, days: Da
     return placed.groupBy(*keys).agg(F.any_value("n").alias("n"), *[F.max(F.when(F.col("q") == q, F.col("x"))).alias(q) for q in QUARTILES])
 
 
-def outliers(df: DataFrame, keys: Sequence[str], value: str, day: str, reach: float = 1.5, days: DataFrame | None = None) -> DataFrame:
+def outliers(df: DataFrame, keys: Sequence[str], value: str, day: str, reach: float = 1.5, days: DataFrame | None = None,
+             found: DataFrame | None = None) -> DataFrame:
     """The rows of ``df`` whose value is more than ``reach`` times the distance between its group's quartiles beyond them, with
-    ``q1`` and ``q3``. Null and NaN are no outliers."""
+    ``q1`` and ``q3``. Null and NaN are no outliers. ``found`` are the ``quartiles`` of ``df``, if they are at hand."""
     keys = list(keys)
-    q = quartiles(df, keys, value, day, days).select(*[F.col(k).alias(f"_{k}") for k in keys], "q1", "q3")
+    q = (quartiles(df, keys, value, day, days) if found is None else found).select(*[F.col(k).alias(f"_{k}") for k in keys], "q1", "q3")
     x, far = F.col(value).cast("double"), (F.col("q3") - F.col("q1")) * reach
     joined = df.join(q, F.expr(" AND ".join(f"`{k}` <=> `_{k}`" for k in keys) or "true"))
     return joined.where(~F.isnan(x) & ((x < F.col("q1") - far) | (x > F.col("q3") + far))).select(*df.columns, "q1", "q3")

@@ -97,10 +97,10 @@ SELECT session_key, q1, q3, timed, count(*) FILTER (lap_time < q1 - 1.5 * (q3 -
   max(lap_time) FILTER (lap_time < q1 - 1.5 * (q3 - q1) OR lap_time > q3 + 1.5 * (q3 - q1)) AS largest
 FROM laps_dup JOIN q USING (session_key) WHERE timed > 0 GROUP BY ALL""")
 def iqr_outliers(t):
-    laps = t["laps_dup"].select("session_key", "lap_time", "date_start")
+    laps = stage(t["laps_dup"].select("session_key", "lap_time", "date_start"), "timed")  # joined once, read several times
     days = stage(outliers.sketches(laps, ["session_key"], "lap_time", "date_start"), "sketches")  # kept by day, and merged
-    q = outliers.quartiles(laps, ["session_key"], "lap_time", "date_start", days)
-    far = outliers.outliers(laps, ["session_key"], "lap_time", "date_start", days=days).groupBy("session_key").agg(
+    q = stage(outliers.quartiles(laps, ["session_key"], "lap_time", "date_start", days), "quartiles")
+    far = outliers.outliers(laps, ["session_key"], "lap_time", "date_start", found=q).groupBy("session_key").agg(
         F.count(F.lit(1)).alias("outliers"), F.max("lap_time").alias("largest"))
     return q.join(far, "session_key", "left").select("session_key", "q1", "q3", F.col("n").alias("timed"), F.coalesce("outliers", F.lit(0).cast("long")).alias("outliers"), "largest")
 

@@ -13,6 +13,7 @@ from pitwall.operators import outliers, quantiles
 from pitwall.session import stage, work_dir
 from pitwall.sources import readers, tables, writers
 from pitwall.streaming import streams
+from suite import registry
 
 # -- Z-order -------------------------------------------------------------------------------------------------------------
 
@@ -172,6 +173,18 @@ def test_outliers_by_quartiles(spark):
     assert outliers.quartiles(df.where("false"), ["g"], "x", "day").count() == 0
 
 
+def test_iqr_outliers_joins_the_laps_once(spark, monkeypatch):
+    """The join behind the laps is run once and the quartiles are found once, whatever reads them later."""
+    folder = "/root/testdata/sf0.001"
+    if not Path(folder).exists():
+        pytest.skip("test tables are not here")
+    calls, found = [], outliers.quartiles
+    monkeypatch.setattr(outliers, "quartiles", lambda df, *a, **k: (calls.append(df.inputFiles()), found(df, *a, **k))[1])
+    out = registry.load()[0]["iqr_outliers"](spark, folder)
+    assert len(calls) == 1
+    assert not [f for f in [*calls[0], *out.inputFiles()] if "lineitem.parquet" in f]
+
+
 # -- compaction, buckets, statistics --------------------------------------------------------------------------------------
 
 
