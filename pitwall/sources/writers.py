@@ -18,6 +18,8 @@ from pitwall.sources.swap import drop_folders, recover, replace
 # Text formats would otherwise cut timestamps to milliseconds.
 MICROSECONDS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
+LANDED_ROWS = 500_000  # of a compressed text file
+
 
 def with_date_parts(df: DataFrame, date_col: str = "date") -> DataFrame:
     return df.withColumns({"year": F.year(date_col), "month": F.month(date_col), "day": F.dayofmonth(date_col)})
@@ -47,10 +49,14 @@ def write_partitioned(df: DataFrame, path: str, cols: Sequence[str] = ("year", "
 
 
 def land(df: DataFrame, root: str, endpoint: str, extracted_at: Column, fmt: str = "parquet") -> None:
-    """Append fetched rows, which carry their ``year``, below ``year=/endpoint=``."""
+    """Append fetched rows, which carry their ``year``, below ``year=/endpoint=``.
+
+    Text repeats every field's name in every row, so it is landed compressed. Such a file is read by one task; it ends at LANDED_ROWS.
+    """
     tagged = tag_metadata(df, endpoint, extracted_at).withColumn("endpoint", F.lit(endpoint))
     writer = tagged.write.mode("append").partitionBy("year", "endpoint")
-    (writer if fmt == "parquet" else writer.options(**MICROSECONDS)).format(fmt).save(root)
+    text = {**MICROSECONDS, "compression": "gzip", "maxRecordsPerFile": LANDED_ROWS}
+    (writer if fmt == "parquet" else writer.options(**text)).format(fmt).save(root)
 
 
 def write_processed(df: DataFrame, root: str, endpoint: str) -> None:

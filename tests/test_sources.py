@@ -1,6 +1,7 @@
 """Files, landing, tables, upserts, jobs and streams in temporary folders."""
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -63,6 +64,20 @@ def test_landing_appends_and_filters(spark, there):
     assert readers.scan_raw(spark, there("raw"), "laps", schema=df.schema).count() == 0
 
 
+def test_text_is_landed_compressed_in_files_of_bounded_rows(spark, there, monkeypatch):
+    monkeypatch.setattr(writers, "LANDED_ROWS", 100)
+    df = spark.range(1000).coalesce(1).selectExpr("id AS session_key", "id / 8 AS pit_duration", "timestamp_ntz'2024-01-01 00:00:00.000001' + make_dt_interval(0, 0, 0, id) AS date",
+                                                  "2022 + id % 2 AS year")
+    for fmt in ("json", "csv"):
+        writers.land(df, there(fmt), "pit", stamp(), fmt)
+        files = [f for f in Path(there(fmt)).rglob("part-*")]
+        assert len(files) == 10 and all(f.name.endswith(f".{fmt}.gz") for f in files)
+    schema = df.drop("year").schema
+    back = readers.scan_raw(spark, there("json"), "pit", None, schema, "json")
+    assert rows(back, *df.columns) == rows(df.withColumn("year", F.col("year").cast("int")), *df.columns)
+    assert sum(f.stat().st_size for f in Path(there("json")).rglob("part-*.gz")) < back.count() * 40  # a line has about 170 bytes
+
+
 def test_endpoint_filters_reach_the_scan(spark, there):
     df = spark.range(10).selectExpr("id AS session_key", "CAST(id AS int) AS driver_number", "2023 AS year")
     writers.land(df, there("raw"), "laps", stamp())
