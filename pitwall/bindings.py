@@ -25,6 +25,8 @@ from pitwall.sources.readers import file_versions, path_exists
 
 WEEK = 604_800
 NO_TIME = 999.0  # stands for a missing lap time when ordering
+TASK_BYTES = 8 << 20  # of Parquet, about 600,000 line items
+FEW_TASKS = 16
 
 
 def _at(seconds: str) -> Column:
@@ -128,17 +130,28 @@ class Tables(Mapping):
 
     # timing -------------------------------------------------------------------
 
-    def _laps_dup(self) -> DataFrame:
-        orders = self.source("orders").select("o_orderkey", _week("o_orderdate").alias("session_key"))
-        keyed = self.source("lineitem").join(orders, F.expr("l_orderkey = o_orderkey")).select(
+    def _dealt(self, name: str, key: str, inputs: tuple[str, ...]) -> DataFrame:
+        """A table's rows dealt by the key of a join into tasks of TASK_BYTES of both sides' files, so that a task's sorts do not grow with the
+        tables. Of small tables the join is left to Spark."""
+        size = sum(length for _, length, _ in file_versions(self.spark, [f"{self.folder}/{i}.parquet" for i in inputs]))
+        tasks = -(-size // TASK_BYTES)
+        return self.source(name).repartition(tasks, key) if tasks > FEW_TASKS else self.source(name)
+
+    def _timed(self) -> DataFrame:
+        """Line items with their session, driver and lap; the other columns of laps are derived from these (``_as_laps``)."""
+        both = ("orders", "lineitem")
+        orders = self._dealt("orders", "o_orderkey", both).select("o_orderkey", _week("o_orderdate").alias("session_key"))
+        return self._dealt("lineitem", "l_orderkey", both).join(orders, F.expr("l_orderkey = o_orderkey")).select(
             "session_key",
             F.expr("CAST(l_suppkey % 20 + 1 AS INT)").alias("driver_number"),
             F.expr("CAST((l_linenumber - 1) * 10 + l_orderkey % 10 + 1 AS INT)").alias("lap_number"),
-            F.expr("(80000 + floor(l_extendedprice / 10)) / 1000.0D").alias("seconds"),
             "l_orderkey", "l_partkey", "l_extendedprice", "l_quantity", "l_tax", "l_discount",
             "l_returnflag", "l_linestatus", "l_linenumber",
         )
-        return keyed.select(
+
+    @staticmethod
+    def _as_laps(timed: DataFrame) -> DataFrame:
+        return timed.withColumn("seconds", F.expr("(80000 + floor(l_extendedprice / 10)) / 1000.0D")).select(
             "session_key",
             "driver_number",
             "lap_number",
@@ -157,12 +170,16 @@ class Tables(Mapping):
             "l_orderkey", "l_partkey", "l_extendedprice", "l_quantity", "l_tax",
         )
 
+    def _laps_dup(self) -> DataFrame:
+        return self._as_laps(self._timed())
+
     LAP_KEYS = ("session_key", "driver_number", "lap_number")
     LAP_ORDER = ("l_orderkey", "l_partkey", "l_extendedprice", "l_quantity", "l_tax")
 
     def _laps(self) -> DataFrame:
+        """Rows are sorted and shuffled before the lap's columns are derived: they are half as wide then."""
         return self._staged("laps", ("orders", "lineitem"), lambda: (
-            first_match(self["laps_dup"], self.LAP_KEYS, [F.desc(c) for c in self.LAP_ORDER])
+            self._as_laps(first_match(self._timed(), self.LAP_KEYS, [F.desc(c) for c in self.LAP_ORDER]))
         ))
 
     def _drivers(self) -> DataFrame:

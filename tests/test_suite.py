@@ -67,3 +67,23 @@ def test_entry(spark):
     assert df.columns == ["driver_name", "team_name", "lap_time", "meeting_name", "session_name", "lap_number"]
     assert df.count() == 10
     assert set(QUERIES) <= set(driver.queries()) and set(SQL) <= set(driver.oracle_sql())
+
+
+@pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables are not here")
+def test_laps_are_dealt_by_the_size_of_their_inputs(spark, monkeypatch):
+    """The join's tasks are as many as the inputs' bytes ask for, and the sort per lap comes before the lap's columns are derived."""
+    from pitwall import bindings
+
+    plain = sorted(map(str, bindings.Tables(spark, FOLDER)["laps_dup"].collect()))
+    size = sum((Path(FOLDER) / f"{n}.parquet").stat().st_size for n in ("orders", "lineitem"))
+    monkeypatch.setattr(bindings, "TASK_BYTES", size // 40)
+    built = []
+    monkeypatch.setattr(bindings.Tables, "_staged", lambda self, name, inputs, build: built.append(build()) or built[-1])
+    t = bindings.Tables(spark, FOLDER)
+    dealt = t["laps_dup"]
+    plan = dealt._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"RepartitionByExpression \[\w+#\d+L?\], (?:40|41)\b", plan)) == 2
+    assert sorted(map(str, dealt.collect())) == plain
+    t["laps"]
+    steps = built[-1]._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= steps.index("SOFT") < steps.index("Window")
