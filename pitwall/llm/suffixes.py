@@ -26,11 +26,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitwall.llm.packing import pack, runs, unpack
-from pitwall.llm.words import mix, powers, prefix_hash, raw_bytes, substring_hash
+from pitwall.llm.words import INVERSE, mix, powers, prefix_hash, raw_bytes, substring_hash
 from pitwall.session import stage
 
 LENGTH = 50
 CHUNK_BYTES = 3 << 20
+BLOCK = 1 << 14  # strings whose anchors are found at a time
 NO_ID = np.iinfo(np.int64).max
 # Text whose fingerprints, and whose suffixes, one task gathers from all chunks.
 BUCKET_TEXT, PART_TEXT = 24 << 20, 16 << 20
@@ -69,15 +70,21 @@ class Anchors:
             self.place = self.low = self.high = np.zeros(0, np.int64)
             self.doc, self.gram = self.place, np.zeros(0, np.uint64)
             return
-        at = np.arange(n - gram + 1)
-        hashes = mix(substring_hash(prefix_hash(self.data), at, at + gram))
-        key = (hashes & np.uint64(0xFFFFFFFF00000000)) | at.astype(np.uint64)
-        step = 1
-        while step * 2 <= width:
-            key = np.minimum(key[:-step], key[step:])
-            step *= 2
-        key = np.minimum(key[:full], key[width - step : width - step + full])  # the leftmost smallest of each string
-        place = (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        prefix = prefix_hash(self.data)
+        inverse = powers(INVERSE, len(prefix))
+        place = np.empty(full, np.int64)
+        for s in range(0, full, BLOCK):  # blocks that stay in the processor's cache
+            e = min(s + BLOCK, full)
+            grams = e + width - 1
+            key = mix((prefix[s + gram : grams + gram] - prefix[s:grams]) * inverse[s:grams])
+            key &= np.uint64(0xFFFFFFFF00000000)
+            key |= np.arange(s, grams, dtype=np.uint64)
+            step = 1
+            while step * 2 <= width:
+                key = np.minimum(key[:-step], key[step:])
+                step *= 2
+            key = np.minimum(key[: e - s], key[width - step : width - step + e - s])  # the leftmost smallest of each string
+            place[s:e] = key & np.uint64(0xFFFFFFFF)
         valid = np.ones(full, bool)
         for end in self.starts[1:]:
             valid[max(0, end - length + 1) : end] = False
@@ -88,15 +95,16 @@ class Anchors:
         self.high = self.place - start[new]
         self.low = self.place - start[np.r_[new[1:], len(start)] - 1] if len(new) else self.place
         self.doc = np.searchsorted(self.starts, self.place, side="right") - 1
-        self.gram = hashes[self.place]
+        self.gram = mix(substring_hash(prefix, self.place, self.place + gram))
 
     def fingerprints(self, bits: int) -> np.ndarray:
         return mix(self.gram ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(64 - bits)
 
     def several(self, prints: np.ndarray) -> np.ndarray:
-        """Fingerprints that more than one document of this chunk has."""
-        pairs = np.unique(np.stack([prints, self.ids[self.doc].view(np.uint64)], 1), axis=0)[:, 0]
-        return np.unique(pairs[1:][pairs[1:] == pairs[:-1]])
+        """Fingerprints that more than one document of this chunk has: of equal ones side by side, some two neighbours differ in the id."""
+        order = np.argsort(prints, kind="stable")
+        prints, ids = prints[order], self.ids[self.doc[order]]
+        return np.unique(prints[1:][(prints[1:] == prints[:-1]) & (ids[1:] != ids[:-1])])
 
 
 def _listed(bits: int, buckets: int, length: int):

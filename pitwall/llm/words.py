@@ -11,7 +11,7 @@ import pyarrow as pa
 
 # An odd multiplier has an inverse modulo 2**64, so a word's hash follows from two prefix sums.
 _MULTIPLIER = 0x9E3779B97F4A7C15
-_INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
+INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 _POWERS: dict[int, np.ndarray] = {}
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -59,7 +59,7 @@ def prefix_hash(data: np.ndarray) -> np.ndarray:
 
 def substring_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Unmixed hashes of data[start:end]; equal bytes give equal hashes wherever they stand."""
-    inverse = powers(_INVERSE, len(prefix))
+    inverse = powers(INVERSE, len(prefix))
     return (prefix[end] - prefix[start]) * inverse[start]
 
 
